@@ -493,7 +493,7 @@ def statement(body: str, dates: tuple[str, ...] = (), extra: dict[str, str] | No
     order: list[str] = []
 
     def visit(sql: str, own: str) -> None:
-        names = re.findall(r"(?:FROM|JOIN|,)\s+\(?([a-z_][a-z_0-9]*)", sql)
+        names = re.findall(r"(?:FROM|JOIN)\s+\(?([a-z_][a-z_0-9]*)", sql)
         for name in dict.fromkeys(names):
             if name in known and name != own and name not in order:
                 visit(known[name], name)
@@ -505,4 +505,45 @@ def statement(body: str, dates: tuple[str, ...] = (), extra: dict[str, str] | No
         casts = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in dates)
         body = f"SELECT * REPLACE ({casts}) FROM ({body})"
     head = ",\n".join(f"{n} AS ({known[n]})" for n in order)
-    return f"WITH {head}\n{body}" if head else body
+    recursive = "RECURSIVE " if "reach" in order else ""
+    return f"WITH {recursive}{head}\n{body}" if head else body
+
+
+# -- feed snapshots from events -----------------------------------------------------------------
+
+CTES["ev"] = """SELECT event_id AS e, CAST(event_id AS VARCHAR) AS entity_id, user_id, event_type, ts,
+    CAST(floor(epoch(ts)) AS BIGINT) // 60 * 60 AS polled_at, CAST(floor(value) AS INTEGER) % 4 * 30 AS delay,
+    CASE WHEN event_id % 13 = 0 THEN '' ELSE 'u' || user_id END AS trip_id,
+    CASE WHEN event_id % 17 <> 0 THEN strftime(ts, '%Y%m%d') END AS start_date,
+    CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'CANCELED' ELSE 'SCHEDULED' END AS trip_relationship
+    FROM events"""
+CTES["poll_numbers"] = """SELECT polled_at, row_number() OVER (ORDER BY polled_at) - 1 AS poll FROM (SELECT DISTINCT polled_at FROM ev)"""
+CTES["feed"] = """SELECT p.poll, x.* FROM (
+      SELECT e, 0 AS stop_pos, entity_id, coalesce(start_date, '') AS betriebstag, trip_id, '' AS stop_id, 0 AS stop_sequence,
+             trip_relationship AS schedule_relationship, trip_relationship, CAST(NULL AS INTEGER) AS arrival_delay, CAST(NULL AS BIGINT) AS arrival_time,
+             CAST(NULL AS INTEGER) AS departure_delay, CAST(NULL AS BIGINT) AS departure_time, polled_at AS observed_at, ts
+      FROM ev WHERE event_type = 'error' AND e % 11 <> 0 AND trip_id <> ''
+      UNION ALL
+      SELECT e, i, entity_id, coalesce(start_date, ''), trip_id, 's' || ((e + i) % 5), i,
+             CASE WHEN (e + i) % 9 = 0 THEN 'SKIPPED' ELSE 'SCHEDULED' END, trip_relationship,
+             CASE WHEN (e + i) % 4 <> 0 THEN delay END, CASE WHEN (e + i) % 4 <> 0 THEN polled_at // 86400 * 86400 + (e + i) % 5 * 600 + delay END,
+             CASE WHEN (e + i) % 6 <> 0 THEN delay + 15 END, CASE WHEN (e + i) % 6 <> 0 THEN polled_at // 86400 * 86400 + (e + i) % 5 * 600 + delay + 15 END, polled_at, ts
+      FROM ev JOIN (VALUES (0), (1), (2)) AS n(i) ON i <= e % 3
+      WHERE event_type <> 'error' AND e % 11 <> 0 AND trip_id <> '') x JOIN poll_numbers p ON p.polled_at = x.observed_at"""
+CTES["feed_trips"] = """SELECT e, max(poll) AS poll, max(observed_at) AS polled_at, max(trip_id) AS trip_id,
+    coalesce(nullif(max(betriebstag), ''), '?') AS start_date, max(trip_relationship) AS relationship, max(strftime(ts, '%H')) AS start_hour,
+    count(*) FILTER (WHERE stop_id <> '') AS stops,
+    count(*) FILTER (WHERE stop_id <> '' AND (arrival_delay IS NOT NULL OR departure_delay IS NOT NULL)) AS with_time,
+    count(*) FILTER (WHERE stop_id <> '' AND schedule_relationship = 'SKIPPED') AS skipped FROM feed GROUP BY 1"""
+CTES["changes"] = """SELECT * EXCLUDE (same, gone) FROM (
+      SELECT *, lag(poll) OVER w IS NULL OR poll - lag(poll) OVER w > 240 AS gone,
+        schedule_relationship IS NOT DISTINCT FROM lag(schedule_relationship) OVER w
+        AND arrival_delay IS NOT DISTINCT FROM lag(arrival_delay) OVER w AND arrival_time IS NOT DISTINCT FROM lag(arrival_time) OVER w
+        AND departure_delay IS NOT DISTINCT FROM lag(departure_delay) OVER w AND departure_time IS NOT DISTINCT FROM lag(departure_time) OVER w AS same
+      FROM feed WINDOW w AS (PARTITION BY trip_id, stop_id ORDER BY poll, entity_id, stop_pos)) WHERE gone OR NOT same"""
+
+CTES["pair_edges"] = """SELECT DISTINCT route_id, coalesce(direction, -1) AS d, route_id || '/' || coalesce(direction, -1) AS g, a, b
+    FROM (SELECT route_id, direction, station_id AS a,
+          lead(station_id) OVER (PARTITION BY route_id, direction, schedule_version, run_id ORDER BY step) AS b FROM runs_axis)
+    WHERE b IS NOT NULL AND a <> b"""
+CTES["reach"] = """SELECT g, a, b FROM pair_edges UNION SELECT r.g, r.a, e.b FROM reach r JOIN pair_edges e ON e.g = r.g AND e.a = r.b"""
