@@ -211,7 +211,7 @@ def source_daily(states: DataFrame) -> DataFrame:
     return (
         states.groupBy("route_id", "service_day")
         .pivot("state", vl.STATES)
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
         .na.fill(0, vl.STATES)
         .withColumn("planned", sum(F.col(s) for s in vl.STATES))
         .withColumn("assessable", F.col(vl.MEASURED) + F.col(vl.DEPARTURE_ONLY))

@@ -439,7 +439,7 @@ CTES["hour_profile"] = f"""SELECT service_day, route_id, direction, service_hour
 CTES["growth"] = """SELECT service_day, route_id, direction, trip_id, stop_sequence, station_id, stop_name, delay_arr,
     lag(delay_arr) OVER w AS delay_before, delay_arr - lag(delay_arr) OVER w AS growth_sec FROM fact WHERE delay_arr IS NOT NULL
     WINDOW w AS (PARTITION BY service_day, trip_id ORDER BY stop_sequence, stop_id)"""
-CTES["stop_profile"] = f"""SELECT h.*, z.growth_mean_sec, z.growth_median_sec, z.growth_cases, lw.position FROM (
+CTES["stop_profile"] = f"""SELECT h.*, z.growth_mean_sec, z.growth_median_sec, z.growth_cases, CAST(lw.position AS INTEGER) AS position FROM (
       SELECT service_day, route_id, direction, station_id, min(stop_name) AS stop_name, {COUNTS},
              {state_counts('skipped', 'trip_cancelled')}, {MEAN}, {MEDIAN}, {on_time(3)} FROM fact GROUP BY 1, 2, 3, 4) h
     LEFT JOIN stop_axis lw ON lw.route_id = h.route_id AND lw.direction IS NOT DISTINCT FROM h.direction AND lw.station_id = h.station_id

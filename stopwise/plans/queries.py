@@ -567,8 +567,7 @@ register("jn22_one_to_one_bridge", _bridge,
          f"""SELECT count(*) FILTER (WHERE na IS NOT NULL AND nb IS NOT NULL) AS common, count(*) FILTER (WHERE na = 1 AND nb = 1) AS one_to_one,
              count(*) FILTER (WHERE nb IS NULL) AS only_first, count(*) FILTER (WHERE na IS NULL) AS only_second,
              CAST(sum(na) AS BIGINT) AS trips_first, CAST(sum(nb) AS BIGINT) AS trips_second
-             FROM (SELECT line_key, dep_sec, station_id, count(*) AS na FROM ({_BRIDGE.format(line=_SHORT, trips='trips', lines='lines', st='stop_times', stops='stops')})
-                   WHERE dep_sec IS NOT NULL GROUP BY 1, 2, 3) a
+             FROM (SELECT line_key, dep_sec, station_id, count(*) AS na FROM ({_BRIDGE.format(line=_SHORT, trips='trips', lines='lines', st='stop_times', stops='stops')}) GROUP BY 1, 2, 3) a
              FULL JOIN (SELECT line_key, dep_sec, station_id, count(*) AS nb FROM ({_BRIDGE.format(line='l.line', trips='trips2', lines='lines2', st='stop_times2', stops='stops2')})
                    GROUP BY 1, 2, 3) b USING (line_key, dep_sec, station_id)""")
 

@@ -20,7 +20,7 @@ from stopwise.sources.store import lazy
 class Source:
     """Staging, frame and states of one source."""
 
-    def __init__(self, name: str, raw: dict, stage_stops, min_trips: int, keep, bridge=None):
+    def __init__(self, name: str, raw, stage_stops, min_trips: int, keep, bridge=None):
         self.name = name
         self.raw = raw
         self.stage_stops = stage_stops
@@ -35,29 +35,29 @@ class Source:
     def reports(self) -> DataFrame:
         return self.keep(
             "reports",
-            lambda: staging.with_service_day(staging.normalise_report(self.raw["reports"])),
+            lambda: staging.with_service_day(staging.normalise_report(self.raw("reports"))),
         )
 
     @cached_property
     def all_trips(self) -> DataFrame:
-        return self.keep("trips", lambda: staging.stage_trips(self.raw["trips"]))
+        return self.keep("trips", lambda: staging.stage_trips(self.raw("trips")))
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self.keep("lines", lambda: staging.stage_lines(self.raw["routes"]))
+        return self.keep("lines", lambda: staging.stage_lines(self.raw("routes")))
 
     @cached_property
     def stop_times(self) -> DataFrame:
-        return self.keep("stop_times", lambda: staging.stage_stop_times(self.raw["stop_times"]))
+        return self.keep("stop_times", lambda: staging.stage_stop_times(self.raw("stop_times")))
 
     @cached_property
     def stops(self) -> DataFrame:
-        return self.keep("stops", lambda: self.stage_stops(self.raw["stops"]))
+        return self.keep("stops", lambda: self.stage_stops(self.raw("stops")))
 
     @cached_property
     def calendar(self) -> DataFrame:
         return self.keep(
-            "calendar", lambda: staging.calendar_long(self.raw["calendar"], self.raw.get("calendar_dates"))
+            "calendar", lambda: staging.calendar_long(self.raw("calendar"), self.raw("calendar_dates"))
         )
 
     @cached_property
@@ -157,37 +157,22 @@ class Warehouse:
     def __init__(self, raw, min_trips: int = versions.MIN_TRIPS, keep=lazy):
         self.raw = raw
         self.keep = keep
-        self.first = Source(
-            "first",
-            {
-                "reports": raw.raw_reports,
-                "trips": raw.raw_trips,
-                "routes": raw.raw_routes,
-                "stop_times": raw.raw_stop_times,
-                "stops": raw.raw_stops,
-                "calendar": raw.raw_calendar,
-                "calendar_dates": raw.raw_calendar_dates,
-            },
-            staging.stage_stops,
-            min_trips,
-            keep,
-        )
+        self.first = Source("first", self._raw("raw", dated=True), staging.stage_stops, min_trips, keep)
         self.second = Source(
             "second",
-            {
-                "reports": raw.second_reports,
-                "trips": raw.second_trips,
-                "routes": raw.second_routes,
-                "stop_times": raw.second_stop_times,
-                "stops": raw.second_stops,
-                "calendar": raw.second_calendar,
-            },
+            self._raw("second"),
             staging.stage_second_stops,
             min_trips,
             keep,
             bridge=lambda: self.takeover,
         )
 
+    def _raw(self, prefix: str, dated: bool = False):
+        """Raw tables by name, touched only when a layer has to be built from them."""
+        tables = ["reports", "trips", "routes", "stop_times", "stops", "calendar"]
+        tables += ["calendar_dates"] if dated else []
+        return lambda name: getattr(self.raw, f"{prefix}_{name}") if name in tables else None
+
     # -- lookups ------------------------------------------------------------------------
 
     @cached_property

@@ -151,9 +151,7 @@ def columnar(df: DataFrame, by: list[str], order: list[Column | str], fields: li
         keys += [c.isNull().alias(f"_n{i}"), c.alias(f"_o{i}")]
     rows = F.sort_array(F.collect_list(F.struct(*keys, *fields)))
     grouped = df.groupBy(*by).agg(rows.alias("_rows")) if by else df.agg(rows.alias("_rows"))
-    return grouped.select(
-        *by, *[F.transform("_rows", lambda r, f=f: r[f]).alias(f) for f in fields]
-    )
+    return grouped.select(*by, *[F.col("_rows").getField(f).alias(f) for f in fields])
 
 
 def line_document(line_profile: DataFrame) -> DataFrame:

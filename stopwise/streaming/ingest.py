@@ -20,6 +20,9 @@ STATE = ["schedule_relationship", "arrival_delay", "arrival_time", "departure_de
 ORDER = ["poll", "entity_pos", "entity_id", "stop_pos"]
 MAX_IDLE_POLLS = 240
 POLLS_PER_BUCKET = 2880
+LATE_POLLS = 2
+# The event clock must start above the initial watermark of zero, else poll 0 counts as late.
+CLOCK_START = 1_000
 
 REPORT_DDL = (
     "betriebstag string, trip_id string, stop_id string, stop_sequence int, schedule_relationship string, "
@@ -69,7 +72,7 @@ def _changes(max_idle: int):
             keep.append(last is None or row[-1] - last[-1] > max_idle or row[:-1] != tuple(last[:-1]))
             last = row
         state.update(tuple(int(v) if isinstance(v, float) else v for v in last))
-        state.setTimeoutTimestamp((int(last[-1]) + max_idle + 2) * 1000)
+        state.setTimeoutTimestamp((CLOCK_START + int(last[-1]) + max_idle + LATE_POLLS) * 1000)
         out = rows[keep][[f.name for f in schemas.REPORT]]
         if len(out):
             yield out
@@ -83,7 +86,8 @@ def change_only_stream(rows: DataFrame, max_idle: int = MAX_IDLE_POLLS) -> DataF
     The poll number, read as seconds, is the event time: the watermark then advances by
     polls, and the state of a key that does not come back is removed by the same count.
     """
-    clocked = rows.withColumn("poll_clock", F.timestamp_seconds("poll")).withWatermark("poll_clock", "2 seconds")
+    clock = F.timestamp_seconds(F.col("poll") + CLOCK_START)
+    clocked = rows.withColumn("poll_clock", clock).withWatermark("poll_clock", f"{LATE_POLLS} seconds")
     return clocked.groupBy(*KEY).applyInPandasWithState(
         _changes(max_idle), REPORT_DDL, STATE_DDL, "append", GroupStateTimeout.EventTimeTimeout
     )
