@@ -14,6 +14,11 @@ from stopwise.operators.neighbours import with_previous
 MIN_ACTIVE_TRIPS = 1000
 
 
+def percent(share: Column) -> Column:
+    """One decimal; rounded finely first, so the last bits of a sum do not decide a tie."""
+    return F.round(F.round(share * 100, 8), 1)
+
+
 def run_coverage(reports: DataFrame, day_version: DataFrame, stop_times: DataFrame) -> DataFrame:
     """Per day: how much of each seen trip's plan was reported."""
     seen = (
@@ -32,8 +37,8 @@ def run_coverage(reports: DataFrame, day_version: DataFrame, stop_times: DataFra
         .agg(
             F.count("*").alias("trips"),
             F.count_if(F.col("planned").isNull()).alias("without_plan"),
-            F.round(F.avg(share) * 100, 1).alias("mean_pct"),
-            F.round(F.median(share) * 100, 1).alias("median_pct"),
+            percent(F.avg(share)).alias("mean_pct"),
+            percent(F.median(share)).alias("median_pct"),
             F.count_if(share >= 0.9).alias("trips_90"),
             F.count_if(share >= 0.5).alias("trips_50"),
         )

@@ -89,7 +89,7 @@ _ASOF = """SELECT service_day, coalesce((SELECT max(schedule_version) FROM trips
     (SELECT min(schedule_version) FROM trips)) AS schedule_version FROM (SELECT DISTINCT day_in_feed AS service_day FROM reports WHERE day_in_feed IS NOT NULL) d"""
 register("ag26_run_coverage", lambda c: diagnostics.run_coverage(c.first.reports, c.asof_days, c.first.stop_times),
          f"""SELECT service_day, schedule_version, count(*) AS trips, count(*) FILTER (WHERE planned IS NULL) AS without_plan,
-             round(avg(share) * 100, 1) AS mean_pct, round(median(share) * 100, 1) AS median_pct,
+             round(round(avg(share) * 100, 8), 1) AS mean_pct, round(round(median(share) * 100, 8), 1) AS median_pct,
              count(*) FILTER (WHERE share >= 0.9) AS trips_90, count(*) FILTER (WHERE share >= 0.5) AS trips_50
              FROM (SELECT b.service_day, v.schedule_version, s.planned, CAST(b.seen AS DOUBLE) / s.planned AS share
                    FROM (SELECT day_in_feed AS service_day, trip_id, count(DISTINCT stop_sequence) AS seen FROM reports WHERE day_in_feed IS NOT NULL GROUP BY 1, 2) b

@@ -21,8 +21,8 @@ def log_partitions(reports: DataFrame) -> DataFrame:
 def write_reports(reports: DataFrame, root: str) -> None:
     """Append reports to `date=/hour=` partitions.
 
-    Rows are spread by hour plus a piece of the trip's hash, so an hour becomes a few files
-    and one very full hour is not one task. Nothing is written for an empty batch.
+    The rebalance gives each hour few files and splits a very full hour over several tasks,
+    by size. Nothing is written for an empty batch.
     """
     from stopwise.sources.schemas import REPORT
 
@@ -30,7 +30,7 @@ def write_reports(reports: DataFrame, root: str) -> None:
     if rows.isEmpty():
         return
     (
-        rows.repartition("date", "hour", F.pmod(F.xxhash64("trip_id"), F.lit(4)))
+        rows.hint("rebalance", F.col("date"), F.col("hour"))
         .write.partitionBy("date", "hour")
         .option("compression", "zstd")
         .mode("append")
@@ -48,7 +48,7 @@ def write_incremental(df: DataFrame, path: str, key: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(staging)
     (
         spark.read.parquet(staging)
-        .repartition(key, F.pmod(F.xxhash64(*[c for c in df.columns if c != key]), F.lit(8)))
+        .hint("rebalance", F.col(key))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")

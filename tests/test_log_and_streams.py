@@ -14,6 +14,7 @@ from stopwise.operators.neighbours import dense_numbers, with_previous
 from stopwise.plans.warehouse import Warehouse
 from stopwise.sources import feed as fd
 from stopwise.sources import scan, schemas, sinks
+from stopwise.sources.store import TableStore
 from stopwise.streaming import increments, ingest
 
 ROW = "poll long, entity_pos int, entity_id string, stop_pos int, trip_id string, stop_id string, schedule_relationship string, arrival_delay int"
@@ -245,7 +246,8 @@ def test_columnar_json_documents(spark, folder):
 
 
 def test_incremental_mart_equals_full_rebuild(spark, folder):
-    w = Warehouse(DriverTables(spark, "/root/testdata/sf0.001"), 5)
+    sf = "/root/testdata/sf0.001"
+    w = Warehouse(DriverTables(spark, sf), 5, TableStore(spark, sf).keep)
     fact = w.first.states.withColumns({"source": F.lit("first")}).where(F.year("service_day") == 1996).cache()
     newest = fact.agg(F.max("service_day")).first()[0]
     path = f"{folder}/mart"
