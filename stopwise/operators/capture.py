@@ -74,11 +74,11 @@ def unmatched_reports(reports: DataFrame, chosen_days: DataFrame, trips: DataFra
         .select("service_day", "trip_id", "stop_id", "stop_sequence")
         .distinct()
     )
-    known = trips.select("trip_id", "schedule_version").distinct().withColumn("known", F.lit(True))
+    known = trips.select("trip_id", "schedule_version", F.lit(True).alias("known"))
     per_trip = (
         stops.groupBy("service_day", "trip_id")
         .agg(F.count("*").alias("stops"))
-        .join(chosen_days.select("service_day", "schedule_version"), "service_day")
+        .join(F.broadcast(chosen_days.select("service_day", "schedule_version")), "service_day")
         .join(known, ["trip_id", "schedule_version"], "left")
     )
     unknown = F.col("known").isNull()

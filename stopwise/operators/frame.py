@@ -38,15 +38,18 @@ def calendar_set(days: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
-def scheduled_trips(services: DataFrame, trips: DataFrame) -> DataFrame:
-    """Distinct trips of all active services, as several services can list one trip."""
-    return (
-        services.join(trips, ["schedule_version", "service_id"])
-        .select("service_day", "schedule_version", "version_substituted", "trip_id")
-        .distinct()
+def trips_of_services(services: DataFrame, trips: DataFrame) -> DataFrame:
+    """Trips of all active services; a trip that several services list comes several times."""
+    return services.join(trips, ["schedule_version", "service_id"]).select(
+        "service_day", "schedule_version", "version_substituted", "trip_id"
     )
 
 
+def scheduled_trips(services: DataFrame, trips: DataFrame) -> DataFrame:
+    """Distinct trips of all active services."""
+    return trips_of_services(services, trips).distinct()
+
+
 def with_observed_trips(scheduled: DataFrame, seen: DataFrame, days: DataFrame) -> DataFrame:
     """Trips seen in the feed enter the frame even where the calendar misses them."""
     return scheduled.unionByName(seen.join(F.broadcast(days), "service_day")).distinct()

@@ -46,7 +46,7 @@ def asof_version(days: DataFrame, trips: DataFrame) -> DataFrame:
 def version_scores(seen: DataFrame, trips: DataFrame, min_trips: int = MIN_TRIPS) -> DataFrame:
     """Observed trips per day and how many of them each candidate version resolves."""
     observed = seen.groupBy("service_day").agg(F.count("*").alias("observed"))
-    known = trips.select("trip_id", "schedule_version").distinct()
+    known = trips.select("trip_id", "schedule_version")
     resolved = (
         seen.join(known, "trip_id")
         .where(F.col("schedule_version") <= F.col("service_day"))
@@ -73,7 +73,7 @@ def choose_version(seen: DataFrame, trips: DataFrame, min_trips: int = MIN_TRIPS
     wins with a share of zero, which is what counting the zeros would give.
     """
     observed = seen.groupBy("service_day").agg(F.count("*").alias("observed"))
-    known = trips.select("trip_id", "schedule_version").distinct()
+    known = trips.select("trip_id", "schedule_version")
     best = (
         seen.join(known, "trip_id")
         .where(F.col("schedule_version") <= F.col("service_day"))

@@ -97,7 +97,8 @@ class Source:
         seen = self.seen
         if self.bridge is not None:
             seen = seen.join(self.trips.select("trip_id"), "trip_id", "left_semi")
-        return frame.with_observed_trips(self.scheduled, seen, self.days)
+        listed = frame.trips_of_services(self.services, self.trips)
+        return frame.with_observed_trips(listed, seen, self.days)
 
     @cached_property
     def cancelled(self) -> DataFrame:
