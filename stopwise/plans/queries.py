@@ -354,16 +354,14 @@ register(
 
 def _lookup(c: Context) -> DataFrame:
     """The holiday list written as CSV and read back with explicit types."""
-    from stopwise.sources import schemas
-
     path = f"{c.store.root}/school_holidays.csv"
     c.holidays.select(
-        F.col("state").alias("bundesland"),
-        F.lit("holiday").alias("art"),
+        "state",
+        F.lit("holiday").alias("kind"),
         "name",
-        F.col("first_day").alias("von"),
-        F.col("last_day").alias("bis"),
-        F.lit("derived").alias("quelle"),
+        "first_day",
+        "last_day",
+        F.lit("derived").alias("origin"),
     ).write.mode("overwrite").option("header", True).csv(path)
     return scan.holiday_lookup(c.spark, path)
 

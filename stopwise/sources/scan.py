@@ -92,29 +92,21 @@ def on_demand_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def second_source_lookup(spark: SparkSession, path: str) -> DataFrame:
-    return read_lookup(spark, path, schemas.SECOND_SOURCE).select(
-        "route_id",
-        F.col("openrnv_linie").alias("line_number"),
-        F.col("openrnv_verkehrsart").alias("mode"),
-    )
+    return read_lookup(spark, path, schemas.SECOND_SOURCE).select("route_id", "line_number", "mode")
 
 
 def holiday_lookup(spark: SparkSession, path: str) -> DataFrame:
-    return read_lookup(spark, path, schemas.HOLIDAYS).select(
-        F.col("bundesland").alias("state"),
-        "name",
-        F.col("von").alias("first_day"),
-        F.col("bis").alias("last_day"),
-    )
+    return read_lookup(spark, path, schemas.HOLIDAYS).select("state", "name", "first_day", "last_day")
 
 
 class FileTables:
     """Raw tables of a data folder in the stored layout, in the shape `Warehouse` expects.
 
     First source: `raw/`, `static/v=*/`; second source: `raw-<second>/`, `static-<second>/v=*/`.
+    `prefix` stands before the names of the ingested tables, as in `<prefix>_trips.parquet`.
     """
 
-    def __init__(self, spark: SparkSession, root: str, lookups: str, second: str = "second", prefix: str = "rnv"):
+    def __init__(self, spark: SparkSession, root: str, lookups: str, second: str = "second", prefix: str = ""):
         def names(p: str) -> dict[str, str]:
             return {t: f"{p}_{t}.parquet" if p else f"{t}.parquet" for t in ("trips", "routes", "stop_times")}
 

@@ -55,8 +55,9 @@ ENTITY = struct(
 )
 FEED = struct(header=struct(timestamp=L), poll=L, entity=T.ArrayType(ENTITY))
 
-ON_DEMAND = struct(route_id=S, linie=S, bemerkung=S)
-SECOND_SOURCE = struct(route_id=S, linie=S, openrnv_linie=S, openrnv_verkehrsart=S, bemerkung=S)
+# Lookup files are read by position, so these names need not equal their headers.
+ON_DEMAND = struct(route_id=S, line=S, note=S)
+SECOND_SOURCE = struct(route_id=S, line=S, line_number=S, mode=S, note=S)
 HOLIDAYS = struct(
-    bundesland=S, art=S, name=S, von=T.DateType(), bis=T.DateType(), quelle=S
+    state=S, kind=S, name=S, first_day=T.DateType(), last_day=T.DateType(), origin=S
 )

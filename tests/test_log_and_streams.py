@@ -206,9 +206,9 @@ def test_csv_versions_with_other_column_order_and_bom(spark, folder):
 def test_schedule_version_is_written_once(spark, folder):
     trips = spark.createDataFrame([("t", "r", "s", "0")], schemas.TRIPS)
     day = dt.date(2026, 8, 27)
-    assert sinks.write_schedule_version({"rnv_trips": trips}, folder, day) is True
-    assert sinks.write_schedule_version({"rnv_trips": trips.union(trips)}, folder, day) is False
-    back = scan.scan_schedule(spark, folder, "rnv_trips.parquet", schemas.TRIPS)
+    assert sinks.write_schedule_version({"agency_trips": trips}, folder, day) is True
+    assert sinks.write_schedule_version({"agency_trips": trips.union(trips)}, folder, day) is False
+    back = scan.scan_schedule(spark, folder, "agency_trips.parquet", schemas.TRIPS)
     assert [(r["trip_id"], r["v"]) for r in back.collect()] == [("t", day)]
 
 
@@ -268,3 +268,51 @@ def test_lookup_signature_ignores_row_order(spark):
     c = spark.createDataFrame([("y", 0), ("x", 1)], "k string, n int")
     sig = [increments.lookup_signature(d).first()[0] for d in (a, b, c)]
     assert sig[0] == sig[1] != sig[2]
+
+
+# -- real files in the stored layout ------------------------------------------------------------------
+
+
+def test_warehouse_over_files(spark, folder):
+    """Reports, two schedule versions, CSV files and lookups on disk; no second source yet."""
+    from stopwise.sources.scan import FileTables
+
+    day, version = "20260831", dt.date(2026, 8, 30)  # a Monday
+    write = {
+        "routes": spark.createDataFrame([("r1", "Net 1", "A - B", 0)], schemas.ROUTES),
+        "trips": spark.createDataFrame([("t1", "r1", "s", "0"), ("t2", "r1", "s", "1")], schemas.TRIPS),
+        "stop_times": spark.createDataFrame(
+            [(t, f"de:1:{s}:1", s, "25:30:00", "25:31:00") for t in ("t1", "t2") for s in (1, 2)], schemas.STOP_TIMES
+        ),
+    }
+    assert sinks.write_schedule_version(write, f"{folder}/static", version)
+    texts = {
+        "stops.txt": "stop_id,stop_name,stop_lat,stop_lon,parent_station\n" + "".join(f"de:1:{s}:1,Stop {s} Bstg. 1,49.0,8.0,\n" for s in (1, 2)),
+        "calendar.txt": "service_id,monday,tuesday,wednesday,thursday,friday,saturday,sunday,start_date,end_date\ns,1,0,0,0,0,0,0,20260801,20260930\n",
+        "calendar_dates.txt": "service_id,date,exception_type\nother,20260831,1\n",
+    }
+    for name, text in texts.items():
+        with open(f"{folder}/static/v={version}/{name}", "w") as f:
+            f.write(text)
+    os.makedirs(f"{folder}/lookups")
+    for name, text in {
+        "on_demand.csv": "route_id,line,note\n",
+        "second_source.csv": "route_id,line,number,mode,note\nr9,Net 9,9,tram,none yet\n",
+        "school_holidays.csv": "state,kind,name,from,to,origin\nBW,summer,Summer,2026-07-30,2026-09-12,list\n",
+    }.items():
+        with open(f"{folder}/lookups/{name}", "w") as f:
+            f.write(text)
+    at = 1788219000  # 2026-08-31 23:30 UTC, 01:30 in Berlin
+    reports = [(day, "t1", "de:1:1:1", 1, "SCHEDULED", 30, at, None, None, at), (day, "t2", "", 0, "CANCELED", None, None, None, None, at)]
+    sinks.write_reports(spark.createDataFrame(reports, schemas.REPORT), f"{folder}/raw")
+
+    w = Warehouse(FileTables(spark, folder, f"{folder}/lookups"), 1, TableStore(spark, folder).keep)
+    got = sorted(map(tuple, w.fact.select("trip_id", "stop_sequence", "state", "service_hour", "station_id").collect()))
+    assert got == [
+        ("t1", 1, "measured", 25, "de:1:1"),
+        ("t1", 2, "unreported", 25, "de:1:2"),
+        ("t2", 1, "trip_cancelled", 25, "de:1:1"),
+        ("t2", 2, "trip_cancelled", 25, "de:1:2"),
+    ]
+    assert w.line_profile.agg(F.sum("planned_stops")).first()[0] == 4
+    assert [r["holiday_bw"] for r in w.school_calendar.collect()] == [True]
