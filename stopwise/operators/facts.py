@@ -70,10 +70,10 @@ def taken_over_days(second: DataFrame) -> DataFrame:
 def source_takeover(first: DataFrame, taken: DataFrame) -> DataFrame:
     """Rows of the first source drop out where the second reports the line on that day.
 
-    `taken` has at most one row per day and line of the maintained take-over list, which
-    bounds the broadcast.
+    `taken` comes as a stored table, so its size is known to the planner, which broadcasts it
+    below the threshold and joins by shuffle above.
     """
-    return first.join(F.broadcast(taken), ["service_day", "route_id"], "left_anti")
+    return first.join(taken, ["service_day", "route_id"], "left_anti")
 
 
 def first_source_rows(states: DataFrame) -> DataFrame:

@@ -242,9 +242,12 @@ class Warehouse:
     @cached_property
     def taken_over_days(self) -> DataFrame:
         """Days and lines the second source reports, from stops with a known direction."""
-        known = self.inferred_directions.select("trip_id", "schedule_version")
-        states = self.second.states.join(known, ["trip_id", "schedule_version"], "left_semi")
-        return facts.taken_over_days(states)
+        def build() -> DataFrame:
+            known = self.inferred_directions.select("trip_id", "schedule_version")
+            states = self.second.states.join(known, ["trip_id", "schedule_version"], "left_semi")
+            return facts.taken_over_days(states)
+
+        return self.keep("taken_over_days", build)
 
     @cached_property
     def shown_versions(self) -> DataFrame:
