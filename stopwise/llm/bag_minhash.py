@@ -11,9 +11,9 @@ process ends once its time exceeds the largest entry of the signature.
 
 `near_duplicates` collapses equal multisets, bands the signatures, and finds the connected components
 of the verified links. Within a bucket no pairs are listed: every member is compared with one pivot
-(the member that shares most buckets). Members not linked to it are then compared with those members
-of other components that the triangle inequality of the Jaccard distance does not rule out, so that no
-link is lost.
+(the member that shares most buckets). Where the members of a pivot do not all come out in one component,
+they are compared with each other exactly, in pairs of blocks of about `BLOCK` members; a pair of blocks
+returns a spanning forest of its links. So no link is lost, and rows stay in proportion to the members.
 
 Defined cases: null texts and texts without words are a class of their own each; rows of equal text
 are one class; a class of rows that all have a null id has a null class; `doc_id` names a document, and
@@ -31,12 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.llm import textarrays as ta
-from stopwise.llm.shared import components, cut, ship
+from stopwise.llm.shared import components, cut, forest, ship
 
 COMPONENTS = 128
 ROWS = 4
 SHINGLE = 5
 THRESHOLD = 0.8
+#: Members of a pivot that are compared as one block.
+BLOCK = 1024
+#: Columns of the incidence matrix that are multiplied at a time.
+COLUMNS = 4096
 #: A pair of true similarity s is estimated with a deviation of at most sqrt(s(1-s)/128) = 0.044; estimates
 #: this far below a bound rule the pair out (six deviations).
 MARGIN = 0.26
@@ -215,37 +219,81 @@ def links(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> Da
     )
     seats = cut(members.select("rep", "band").join(pivots, "band").where("rep <> pivot"))
     first = _estimate(seats.select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct(), reps)
-    # A distance beyond twice the allowed one cannot matter: nearer members are then ruled out by the pivot.
-    distance = 1 - threshold
-    near = cut(_verify(cut(first.where(F.col("share") >= 1 - 2 * distance - MARGIN)), texts))
-    linked = near.where(F.col("similarity") >= threshold).select("a", "b")
+    near = _verify(cut(first.where(F.col("share") >= threshold - MARGIN)), texts)
+    linked = cut(near.where(F.col("similarity") >= threshold).select("a", "b"))
     group = components(linked)
 
-    seen = near.select(F.col("a").alias("rep"), F.col("b").alias("pivot"), (1 - F.col("similarity")).alias("d"))
-    placed = (
-        seats.join(seen, ["rep", "pivot"], "left")
+    placed = cut(
+        seats.select("pivot", "rep")
+        .distinct()
         .join(group.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("band", "rep", "d", F.coalesce("component", "rep").alias("component"))
+        .select("pivot", "rep", F.coalesce("component", "rep").alias("component"))
     )
-    apart = placed.where(F.col("d").isNull() | (F.col("d") > distance))
-    placed = placed.withColumnsRenamed({"rep": "other", "d": "e", "component": "their"})
-    rest = (
-        apart.join(placed, "band")
-        .where("component <> their")
-        # either distance is known and the two differ by no more than the link allows, or one is unknown (large)
-        .where(
-            F.when(F.col("d").isNotNull() & F.col("e").isNotNull(), F.abs(F.col("d") - F.col("e")) <= distance)
-            .when(F.col("e").isNull(), F.col("d").isNull() | (F.col("d") > distance))
-            .otherwise(F.col("e") > distance)
-        )
-        .select(F.greatest("rep", "other").alias("a"), F.least("rep", "other").alias("b"))
-        .distinct()
+    apart = (
+        placed.groupBy("pivot")
+        .agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high")
+        .select("pivot", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    again = cut(_estimate(rest, reps).where(F.col("share") >= threshold - MARGIN))
-    more = _verify(again, texts).where(F.col("similarity") >= threshold).select("a", "b")
+    own = placed.join(apart, "pivot").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    own = own.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    rows = own.select("pivot", "rep", "component", "text", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = rows.select(
+        "pivot",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        (F.col("block") <= F.col("other")).alias("first"),
+        "rep",
+        "component",
+        "text",
+    )
+    more = met.groupBy("pivot", "i", "j").applyInArrow(_compare(threshold), "a long, b long")
     return linked.union(more)
 
 
+def _compare(threshold: float):
+    def run(rows: pa.Table) -> pa.Table:
+        """Links between two blocks (or within one) of members of different components, as a forest."""
+        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        rep, component = rows["rep"].to_numpy(), rows["component"].to_numpy()
+        text, key, count = bag(ta.from_arrow(rows["text"].combine_chunks()))
+        # the k-th copy of a shingle is an element of its own, so that sets have the overlap of the multisets
+        again = np.repeat(np.arange(len(key)), count)
+        nth = np.arange(len(again)) - np.repeat(np.cumsum(count) - count, count)
+        text, key = text[again], ta.mix(key[again] + nth.astype(_U) * _U(0x9E3779B97F4A7C15))
+        size = np.bincount(text, minlength=len(rep))
+        _, column, often = np.unique(key, return_inverse=True, return_counts=True)
+        shared = often[column] > 1
+        text, column = text[shared], np.unique(column[shared], return_inverse=True)[1]
+        left = np.flatnonzero(rows["first"].to_numpy(zero_copy_only=False))
+        right = left if i == j else np.setdiff1d(np.arange(len(rep)), left)
+        place = np.zeros(len(rep), np.int64)
+        place[left] = np.arange(len(left))
+        place[right] = np.arange(len(right))
+        common = np.zeros((len(left), len(right)), np.float32)
+        is_left, is_right = np.zeros(len(rep), bool), np.zeros(len(rep), bool)
+        is_left[left], is_right[right] = True, True
+        order = np.argsort(column, kind="stable")
+        text, column = text[order], column[order]
+        for at in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+            part = slice(*np.searchsorted(column, (at, at + COLUMNS)))
+            t, c = text[part], column[part] - at
+            matrix = []
+            for side, n in ((is_left, len(left)), (is_right, len(right))):
+                m = np.zeros((n, COLUMNS), np.float32)
+                m[place[t[side[t]]], c[side[t]]] = 1
+                matrix.append(m)
+            common += matrix[0] @ matrix[1].T
+        union = size[left][:, None] + size[right][None, :] - common.astype(np.float64)
+        x, y = np.nonzero((common >= threshold * union - 1e-6 * union) & (component[left][:, None] != component[right][None, :]))
+        exact = common[x, y].astype(np.float64) / union[x, y] >= threshold
+        a, b = rep[left[x[exact]]], rep[right[y[exact]]]
+        tree = forest(a, b)
+        return pa.table({"a": a[tree], "b": b[tree]})
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, rep (smallest id of the equal multisets), class_id (smallest id
     of the component), kept (doc_id = class_id)."""

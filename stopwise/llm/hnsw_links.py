@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.llm.shared import components, cut, ship
+from stopwise.llm.shared import components, cut, forest, ship
 
 THRESHOLD = 0.95
 SHARDS = 8
@@ -224,33 +224,6 @@ def search(graph: Graph, vectors: np.ndarray, queries: np.ndarray, threshold: fl
         beam *= 2
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Places of edges that connect what all edges connect: one edge for each vertex that joins a larger tree."""
-    names, inverse = np.unique(np.concatenate((a, b)), return_inverse=True)
-    x, y = inverse[: len(a)], inverse[len(a) :]
-    root = np.arange(len(names))
-    keep = []
-    alive = np.flatnonzero(x != y)
-    while len(alive):
-        low, high = np.minimum(root[x[alive]], root[y[alive]]), np.maximum(root[x[alive]], root[y[alive]])
-        apart = low != high
-        alive, low, high = alive[apart], low[apart], high[apart]
-        if not len(alive):
-            break
-        # each root hooks to one smaller root; roots only point down, so no cycle forms
-        _, first = np.unique(high, return_index=True)
-        keep.append(alive[first])
-        root_of = np.arange(len(names))
-        root_of[high[first]] = low[first]
-        while True:
-            next_root = root_of[root_of]
-            if (next_root == root_of).all():
-                break
-            root_of = next_root
-        root = root_of[root]
-    return np.concatenate(keep) if keep else np.zeros(0, int)
-
-
 def _build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("rep").reset_index(drop=True)
     width = int(pdf["width"].iloc[0])
