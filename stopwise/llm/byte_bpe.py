@@ -181,6 +181,15 @@ def encode_units(units: DataFrame, column: str, ranks: Ranks) -> DataFrame:
     return units.withColumn("ids", _let(ranks.token_literal(), with_pairs))
 
 
+def _nullable(kind: pa.DataType) -> pa.DataType:
+    """The type with nulls allowed everywhere, as Spark names types in a schema string."""
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, _nullable(f.type)) for f in kind])
+    if pa.types.is_list(kind):
+        return pa.list_(_nullable(kind.value_type))
+    return kind
+
+
 def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
     """left: documents of a group. right: its units and their ids."""
     units = right["unit"].to_pylist()
@@ -211,7 +220,7 @@ def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
     offsets = np.concatenate(([0], np.cumsum(lengths)))
     values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
     lists = pa.LargeListArray.from_arrays(pa.array(offsets), values) if offsets[-1] >= 1 << 31 else pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
-    return pa.table({"row": left["row"], "ids": lists})
+    return pa.table({"row": left["row"].cast(_nullable(left["row"].type)), "ids": lists})
 
 
 def encode(docs: DataFrame, ranks: Ranks, group_bytes: int = GROUP_BYTES) -> DataFrame:

@@ -6,7 +6,8 @@ neighbours found by beam search. Then the vectors of every shard are searched in
 top level down to level 0 with a beam; what the beam finds at or above the threshold is expanded over its
 neighbours until nothing new appears. Cosines are verified in double precision. Each shard audits its
 recall: a number of queries of each block is also answered by brute force, and while the share of found links is
-below `RECALL`, the beam is doubled and the block is searched again, up to the whole shard.
+below `RECALL`, the beam is doubled and the block is searched again. A beam beyond `WIDEST` is the whole shard: the block
+is then answered by exact products, in blocks.
 
 A block of queries against a shard returns how many links each query has (copies counted) and a spanning
 forest of the links, not the links themselves, so a dense group costs rows in proportion to its vectors.
@@ -37,6 +38,7 @@ SHARD_ROWS = 100_000
 NEIGHBOURS = 12
 BUILD_BEAM = 32
 BEAM = 16
+WIDEST = 64
 AUDIT = 24
 RECALL = 0.98
 LOCKSTEP = 1024
@@ -215,13 +217,20 @@ def search(graph: Graph, vectors: np.ndarray, queries: np.ndarray, threshold: fl
     audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
     truth = int((wide[audit] @ own.T >= threshold).sum())
     beam = BEAM
-    while True:
+    while beam <= WIDEST:
         q, v = graph.within(wide, threshold, min(beam, len(own)))
         good = verified(wide, own, q, v, threshold)
         q, v = q[good], v[good]
-        if np.isin(q, audit).sum() >= RECALL * truth or beam >= len(own):
+        if np.isin(q, audit).sum() >= RECALL * truth:
             return q, v, beam
         beam *= 2
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    rows = max(1, (1 << 22) // len(own))
+    for at in range(0, len(wide), rows):
+        q, v = np.nonzero(wide[at : at + rows] @ own.T >= threshold - 1e-9)
+        good = verified(wide, own, q + at, v, threshold)
+        found.append((q[good] + at, v[good]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), len(own)
 
 
 def _build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
