@@ -230,8 +230,10 @@ def read_all(spark: SparkSession, folder: str) -> DataFrame:
     """All records of the archives, by way of directory, blocks and ranges."""
     ship(spark)
     directory = spark.read.schema(DIRECTORY).parquet(f"{folder}/directory")
-    lines = directory.repartition("file", "offset").mapInArrow(_blocks, LINES)
-    dealt = lines.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # numbers that are given are not merged, however few bytes the lines have: a task per block, and as many for the records
+    blocks = max(1, directory.count())
+    lines = directory.repartition(blocks, "file", "offset").mapInArrow(_blocks, LINES)
+    dealt = lines.repartitionByRange(blocks, "archive", "offset").sortWithinPartitions("archive", "offset")
     return dealt.mapInArrow(_records, RECORDS)
 
 

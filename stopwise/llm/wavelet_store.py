@@ -287,7 +287,8 @@ def read(spark, folder: str) -> DataFrame:
         .join(parts, "part")
         .select("part", "number", (F.col("before") + F.col("inner")).alias("first"))
     )
-    docs = manifest.repartition("path").mapInArrow(_reader, DOCUMENTS)
+    # one task per shard: a number that is given is not merged, however few bytes the paths have
+    docs = manifest.repartition(max(1, manifest.count()), "path").mapInArrow(_reader, DOCUMENTS)
     return docs.join(firsts, ["part", "number"]).select(
         "doc_id", (F.col("first") + F.col("inner_start")).alias("start"), "n_tokens", "ids_crc32"
     )
