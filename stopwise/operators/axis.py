@@ -210,18 +210,19 @@ def duplicate_names(shown: DataFrame) -> DataFrame:
     )
 
 
-def cyclic_groups(pairs: DataFrame, spark_checkpoint=None, max_rounds: int = 10_000) -> DataFrame:
+def cyclic_groups(pairs: DataFrame, spark_checkpoint=None) -> DataFrame:
     """Line-directions whose successor graph has a cycle.
 
     Stations without successor are peeled off round by round on all graphs at once; what
     cannot be peeled lies on or before a cycle. A round shortens the longest remaining
-    acyclic path by one, so the number of rounds is the length of a line in stops.
+    acyclic path by one, so the number of rounds is the length of a line in stops. The number of
+    edges falls strictly until the loop ends, so no limit of rounds is needed.
     """
     edges = pairs.select(*LINE_DIR, "a", "b").distinct()
     keep = spark_checkpoint or (lambda df: df.checkpoint())
     edges = keep(edges)
     remaining = edges.count()
-    for _ in range(max_rounds):
+    while True:
         with_successor = edges.select(*LINE_DIR, F.col("a").alias("b")).distinct()
         edges = keep(nullsafe_join(edges, with_successor, [*LINE_DIR, "b"], "left_semi"))
         left = edges.count()

@@ -302,7 +302,7 @@ _NAMED = "SELECT DISTINCT 'unclear ' || coalesce(direction_name || ' ', '') || r
 register("dq23_finding_diff", _finding_diff,
          f"""SELECT coalesce(n.key, o.key) AS key, CASE WHEN o.key IS NULL THEN 'new' WHEN n.key IS NULL THEN 'vanished' ELSE 'lasting' END AS status, count(*) AS findings
              FROM (SELECT DISTINCT {_KEY} AS key FROM ({_NAMED}) WHERE length(finding) % 3 = 0) n
-             FULL JOIN (SELECT {_KEY} AS key FROM ({_NAMED}) WHERE length(finding) % 2 = 0) o ON o.key = n.key GROUP BY 1, 2""")
+             FULL JOIN (SELECT DISTINCT {_KEY} AS key FROM ({_NAMED}) WHERE length(finding) % 2 = 0) o ON o.key = n.key GROUP BY 1, 2""")
 
 
 def _escalation(c: Context) -> DataFrame:

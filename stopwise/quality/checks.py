@@ -232,13 +232,11 @@ def finding_diff(previous: DataFrame, current: DataFrame, now: Column, repeat_ho
     """New, lasting and vanished findings between two runs.
 
     `previous`: finding, since, reported; `current`: finding. Findings are matched by their
-    text with numbers masked. A lasting one is reported again once per `repeat_hours`.
+    text with numbers masked; stored findings of one key count as one, with the earliest start
+    and the latest report. A lasting one is reported again once per `repeat_hours`.
     """
-    old = previous.select(
-        tx.finding_key(F.col("finding")).alias("key"),
-        F.col("finding").alias("old_finding"),
-        "since",
-        "reported",
+    old = previous.groupBy(tx.finding_key(F.col("finding")).alias("key")).agg(
+        F.min("finding").alias("old_finding"), F.min("since").alias("since"), F.max("reported").alias("reported")
     )
     new = current.select(tx.finding_key(F.col("finding")).alias("key"), "finding").groupBy("key").agg(
         F.min("finding").alias("finding")

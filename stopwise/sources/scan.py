@@ -63,6 +63,7 @@ def scan_schedule_csv(spark: SparkSession, root: str, file: str, schema: T.Struc
             spark.read.option("header", True)
             .option("mode", "PERMISSIVE")
             .option("encoding", "UTF-8")
+            .option("escape", '"')
             .csv(p)
             .withColumn("source_file", F.col("_metadata.file_path"))
             for p in paths

@@ -372,3 +372,34 @@ def test_finding_diff_and_escalation(spark):
     keyed = previous.select(tx.finding_key(F.col("finding")).alias("key"), "since")
     levels = dict(rows(checks.finding_escalation(keyed, current, now), "finding", "level"))
     assert levels == {"rebuild 28 h ago": "high", "disk 9 % free": "normal", "fresh": "normal"}
+
+
+def test_stored_findings_of_one_key_count_once(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from stopwise.quality import checks
+
+    at = lambda h: dt.datetime(2026, 1, 1, h)
+    previous = spark.createDataFrame(
+        [("line 7: 3 stops", at(1), at(2)), ("line 7: 9 stops", at(3), at(4))], "finding string, since timestamp, reported timestamp"
+    )
+    current = spark.createDataFrame([("line 7: 5 stops",)], "finding string")
+    rows = checks.finding_diff(previous, current, F.lit(at(5))).collect()
+    assert [(r.status, r.since, r.reported) for r in rows] == [("known", at(1), at(4))]
+
+
+def test_csv_quotes_inside_a_field(spark, folder):
+    import os
+
+    from pyspark.sql import types as T
+
+    from stopwise.sources import scan
+
+    os.makedirs(f"{folder}/v=2026-01-01")
+    with open(f"{folder}/v=2026-01-01/stops.txt", "w") as out:
+        out.write('stop_id,stop_name,stop_lat\n1,"Am ""Markt"", Nord",49.5\n')
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("stop_id", "stop_name", "stop_lat")])
+    rows = scan.scan_schedule_csv(spark, folder, "stops.txt", schema).collect()
+    assert [(r.stop_name, r.stop_lat) for r in rows] == [('Am "Markt", Nord', "49.5")]
