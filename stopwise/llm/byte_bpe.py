@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding by folds over distinct words.
 
-Texts are split before every space that precedes a character other than white space. No match of the
-tokenizer's pattern crosses such a place, so the ids of a text are those of its units in order. Documents are
+Texts are split before every space that precedes a character other than white space, and between a Latin letter
+and a mark of ASCII. No match of the tokenizer's pattern crosses such a place, so the ids of a text are those of its units in order. Documents are
 dealt into groups of about `group_bytes` of text by a hash. Each distinct unit of a group is sent once, with
 all groups that hold it, to where the unit is encoded: a higher-order fold takes the pattern's matches as
 arrays of bytes and merges, again and again, the neighbouring pair of lowest rank (the first of equal ones)
@@ -39,12 +39,17 @@ SECOND_PLACES = 140_009
 #: Above every id; a pair and the rank it joins to take three times so many bits.
 BITS = 17
 SPAN = 1 << BITS
-NO_RANK = 2147483647
+NO_RANK = (1 << 31) - 1
 #: Characters that the tokenizer's pattern counts as white space, as the body of a character class.
 SPACE = r"\t-\r \u0085   -     　"
-CUT = rf"(?= [^{SPACE}])"
+LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+MARK = r"!-/:-@\[-`{-~"
+WORD_CUT = rf"(?= [^{SPACE}])"
+MARK_CUT = rf"(?<=[{LETTER}])(?=[{MARK}])"
+CUT = rf"{WORD_CUT}|{MARK_CUT}"
 ODD = re.compile(rf" (?:[{SPACE}]|\Z)")
-EXACT_CUT = re.compile(CUT)
+EXACT_WORD_CUT = re.compile(WORD_CUT)
+EXACT_MARK_CUT = re.compile(MARK_CUT)
 
 
 class Ranks:
@@ -104,67 +109,59 @@ class Ranks:
 
 
 def _let(value: Column, body) -> Column:
-    """body of value, with value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """body of value, with value computed once: the last step of a fold over nothing that starts from it."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda x, _: x, body)
 
 
 def _token_rank(tokens: Column, key: Column) -> Column:
     return F.try_element_at(F.get(tokens, (F.crc32(key.cast("binary")) % BUCKETS).cast("int")), key)
 
 
-def _pair(left: Column, right: Column) -> Column:
-    return (left.cast("bigint") + 1) * SPAN + right + 1
-
-
 def _pair_rank(table: Column, pair: Column) -> Column:
     def at(place: Column, otherwise: Column) -> Column:
-        entry = lambda e: F.when(F.shiftright(e, BITS) == pair, e.bitwiseAND(SPAN - 1).cast("int")).otherwise(otherwise)
+        entry = lambda e: F.when(F.shiftright(e, BITS) == pair, e.bitwiseAND(SPAN - 1)).otherwise(otherwise)
         return _let(F.get(table, place.cast("int")), entry)
 
     return at(pair % FIRST_PLACES, at(pair % SECOND_PLACES + FIRST_PLACES, F.lit(NO_RANK)))
 
 
-def merge(piece: Column, tokens: Column, pairs: Column, single: Column) -> Column:
-    """Ids of one match of the pattern, given in hex.
+def merge(piece: Column, key: Column, tokens: Column, pairs: Column, single: Column) -> Column:
+    """Ids of one match of the pattern, given as text and as the key of the tokens.
 
-    The state holds the ids so far, between two ids of -1, and the rank of each pair of neighbours.
+    The state of the fold is one array: for each id between two ends, and the left end, the rank of its pair with its right
+    neighbour times SPAN, and the id itself plus 1. The ends count as 0, which no pair has.
     """
-    ends = F.array(F.lit(-1))
-    size = (F.length(piece) / 2).cast("int")
-    parts = F.concat(
-        ends,
-        F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.get(single, F.conv(F.substring(piece, 2 * i + 1, F.lit(2)), 16, 10).cast("int"))),
-        ends,
-    )
+    size = F.length(key) / 2
 
-    def ranked(p: Column) -> Column:
-        ranks = F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: _let(_pair(F.get(p, i), F.get(p, i + 1)), lambda x: _pair_rank(pairs, x)))
-        return F.struct(p.alias("p"), ranks.alias("r"))
+    def entry(left: Column, right: Column) -> Column:
+        return _let(left * SPAN + right, lambda x: F.shiftleft(_pair_rank(pairs, x), BITS)) + left
 
-    def step(state: Column, _: Column) -> Column:
-        p, r = state["p"], state["r"]
+    def start() -> Column:
+        ends = F.array(F.lit(0).cast("bigint"))
+        letters = F.split(F.decode(F.encode(piece, "UTF-8"), "ISO-8859-1"), "")
+        ids = F.concat(ends, F.transform(letters, lambda c: (F.get(single, F.ascii(c)) + 1).cast("bigint")), ends)
+        return _let(ids, lambda p: F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: entry(F.get(p, i), F.get(p, i + 1))))
 
+    def id_at(state: Column, at: Column) -> Column:
+        return F.coalesce(F.get(state, at).bitwiseAND(SPAN - 1), F.lit(0).cast("bigint"))
+
+    def step(state: Column, _: Column) -> Column:
         def joined(low: Column, at: Column) -> Column:
-            ids = F.concat(F.slice(p, F.lit(1), at - 1), F.array(low), F.slice(p, at + 2, F.size(p)))
-            ranks = F.concat(
-                F.slice(r, F.lit(1), at - 2),
-                F.transform(F.array(_pair(F.get(p, at - 2), low), _pair(low, F.get(p, at + 1))), lambda x: _pair_rank(pairs, x)),
-                F.slice(r, at + 2, F.size(r)),
-            )
-            return F.struct(ids.alias("p"), ranks.alias("r"))
-
-        return _let(
-            F.array_min(r),
-            lambda low: F.when(low == NO_RANK, state).otherwise(
-                _let(F.array_position(r, low).cast("int"), lambda at: joined(low, at))
-            ),
-        )
+            # at: the place of the left id, counted from 1; the entry before it and the joined one are new
+            fresh = F.array(entry(id_at(state, at - 2), low + 1), entry(low + 1, id_at(state, at + 1)))
+            return F.concat(F.slice(state, F.lit(1), at - 2), fresh, F.slice(state, at + 2, F.size(state)))
+
+        def lowest(low: Column) -> Column:
+            first = F.array_position(F.transform(state, lambda e: F.shiftright(e, BITS)), low).cast("int")
+            return _let(first, lambda at: joined(low, at))
+
+        return _let(F.shiftright(F.array_min(state), BITS), lambda low: F.when(low == NO_RANK, state).otherwise(lowest(low)))
 
     def folded() -> Column:
-        end = _let(parts, lambda p: F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), ranked(p), step))["p"]
-        return _let(end, lambda p: F.slice(p, F.lit(2), F.size(p) - 2))
+        end = F.aggregate(F.sequence(F.lit(1), F.greatest(size.cast("int") - 1, F.lit(1))), start(), step)
+        return _let(end, lambda p: F.transform(F.slice(p, F.lit(2), F.size(p)), lambda e: (e.bitwiseAND(SPAN - 1) - 1).cast("int")))
 
-    return _let(_token_rank(tokens, piece), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded()))
+    return _let(_token_rank(tokens, key), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded()))
 
 
 def encode_units(units: DataFrame, column: str, ranks: Ranks) -> DataFrame:
@@ -172,7 +169,7 @@ def encode_units(units: DataFrame, column: str, ranks: Ranks) -> DataFrame:
     matches = F.regexp_extract_all(F.col(column), F.lit(ranks.pattern), F.lit(0))
 
     def encoded(tokens: Column, pairs: Column, single: Column) -> Column:
-        piece = lambda m: _let(F.hex(F.encode(m, "UTF-8")), lambda h: merge(h, tokens, pairs, single))
+        piece = lambda m: _let(F.hex(F.encode(m, "UTF-8")), lambda h: merge(m, h, tokens, pairs, single))
         return F.flatten(F.transform(matches, piece))
 
     # each literal stands in the plan once and is bound to a name; plans with many copies of it take long to print
@@ -194,6 +191,7 @@ def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
     """left: documents of a group. right: its units and their ids."""
     units = right["unit"].to_pylist()
     number = {u: k for k, u in enumerate(units)}
+    known: dict[str, list[int]] = {}
     ids = right["ids"].combine_chunks()
     ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
     flat = np.asarray(ids.flatten().to_numpy(zero_copy_only=False), np.int32)
@@ -210,8 +208,14 @@ def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
             if not parts[0]:
                 del parts[0]
         else:
-            parts = [p for p in EXACT_CUT.split(text) if p]
-        at = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+            parts = [p for p in EXACT_WORD_CUT.split(text) if p]
+        pieces = []
+        for part in parts:
+            places = known.get(part)
+            if places is None:
+                places = known[part] = [number[p] for p in EXACT_MARK_CUT.split(part) if p]
+            pieces += places
+        at = np.array(pieces, np.int64)
         count = sizes[at]
         total = int(count.sum())
         before = np.cumsum(count) - count
