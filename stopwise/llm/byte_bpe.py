@@ -2,11 +2,12 @@
 
 Texts are split before every space that precedes a character other than white space, and between a Latin letter
 and a mark of ASCII. No match of the tokenizer's pattern crosses such a place, so the ids of a text are those of its units in order. Documents are
-dealt into groups of about `group_bytes` of text by a hash. Each distinct unit of a group is sent once, with
-all groups that hold it, to where the unit is encoded: a higher-order fold takes the pattern's matches as
-arrays of bytes and merges, again and again, the neighbouring pair of lowest rank (the first of equal ones)
+stored once, in compressed files of about `group_bytes` of text in the shared folder; they are not shuffled. Each distinct unit of a
+file is sent once, with the numbers of all files that hold it, to where the unit is encoded: a higher-order fold takes the
+pattern's matches as arrays of bytes and merges, again and again, the neighbouring pair of lowest rank (the first of equal ones)
 until no pair has a rank. Ranks are a literal: an array of pairs of ids and the ranks they
-join to, in which a pair has two possible places, because a search in a map value reads all of it. The encoded units return to their groups, where each document is put together.
+join to, in which a pair has two possible places, because a search in a map value reads all of it. The encoded units return to
+their files, where each document is put together.
 
 Decoding looks up the bytes of each id in a literal array and concatenates the pieces.
 
@@ -19,17 +20,19 @@ null ids are kept. Other columns pass through unread by way of a struct. An empt
 from __future__ import annotations
 
 import base64
-import math
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.llm import textarrays as ta
-from stopwise.llm.shared import ship
+from stopwise.llm.shared import filesystem, new_folder, ship, write_file
 
 GROUP_BYTES = 24 << 20
 BUCKETS = 8192
@@ -46,7 +49,6 @@ LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 MARK = r"!-/:-@\[-`{-~"
 WORD_CUT = rf"(?= [^{SPACE}])"
 MARK_CUT = rf"(?<=[{LETTER}])(?=[{MARK}])"
-CUT = rf"{WORD_CUT}|{MARK_CUT}"
 ODD = re.compile(rf" (?:[{SPACE}]|\Z)")
 EXACT_WORD_CUT = re.compile(WORD_CUT)
 EXACT_MARK_CUT = re.compile(MARK_CUT)
@@ -187,64 +189,140 @@ def _nullable(kind: pa.DataType) -> pa.DataType:
     return kind
 
 
-def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-    """left: documents of a group. right: its units and their ids."""
-    units = right["unit"].to_pylist()
-    number = {u: k for k, u in enumerate(units)}
-    known: dict[str, list[int]] = {}
-    ids = right["ids"].combine_chunks()
-    ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-    flat = np.asarray(ids.flatten().to_numpy(zero_copy_only=False), np.int32)
-    sizes = np.diff(np.asarray(ids.offsets)) if len(ids) else np.zeros(0, np.int64)
-    starts = np.cumsum(sizes) - sizes
-    rows, lengths = [], []
-    for text in left["text"].to_pylist():
-        if not text:
-            lengths.append(0)
-            continue
-        if ODD.search(text) is None:
-            parts = text.split(" ")
-            parts[1:] = [" " + p for p in parts[1:]]
-            if not parts[0]:
-                del parts[0]
-        else:
-            parts = [p for p in EXACT_WORD_CUT.split(text) if p]
-        pieces = []
-        for part in parts:
-            places = known.get(part)
-            if places is None:
-                places = known[part] = [number[p] for p in EXACT_MARK_CUT.split(part) if p]
-            pieces += places
-        at = np.array(pieces, np.int64)
-        count = sizes[at]
-        total = int(count.sum())
-        before = np.cumsum(count) - count
-        rows.append(flat[np.arange(total) + np.repeat(starts[at] - before, count)])
-        lengths.append(total)
-    offsets = np.concatenate(([0], np.cumsum(lengths)))
-    values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
-    lists = pa.LargeListArray.from_arrays(pa.array(offsets), values) if offsets[-1] >= 1 << 31 else pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
-    return pa.table({"row": left["row"].cast(_nullable(left["row"].type)), "ids": lists})
+def _store(folder: str, group_bytes: int):
+    """Writes documents into files of about group_bytes of text; gives the number of each file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = TaskContext.get().partitionId() << 32
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal g, size
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                for part in held:
+                    stream.write_batch(part)
+            write_file(f"{folder}/{g}.arrow", [out.getvalue()])
+            held.clear()
+            g, size = g + 1, 0
+            return pa.RecordBatch.from_arrays([pa.array([g - 1], pa.int64())], ["g"])
+
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            at = 0
+            while at < batch.num_rows:
+                # rows up to the one that fills the file
+                upto = at + int(np.searchsorted(np.cumsum(sizes[at:]), group_bytes - size)) + 1
+                held.append(batch.slice(at, upto - at))
+                size += int(sizes[at:upto].sum())
+                at = upto
+                if size >= group_bytes:
+                    yield flush()
+        if held:
+            yield flush()
+
+    return run
+
+
+def _stored(folder: str, g: int) -> pa.Table:
+    fs, inner = filesystem(f"{folder}/{g}.arrow")
+    with fs.open_input_file(inner) as source:
+        return pa.ipc.open_stream(source.read()).read_all()
+
+
+def _words(text: str) -> list[str]:
+    """The text cut before spaces."""
+    if ODD.search(text) is not None:
+        return [p for p in EXACT_WORD_CUT.split(text) if p]
+    parts = [" " + p for p in text.split(" ")]
+    parts[0] = parts[0][1:]
+    return parts if parts[0] else parts[1:]
+
+
+def _units(word: str) -> list[str]:
+    return [word] if word[1:].isalpha() and word[0] == " " else [p for p in EXACT_MARK_CUT.split(word) if p]
+
+
+def _distinct_units(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for g in batch.column("g").to_pylist():
+                words: set[str] = set()
+                for text in _stored(folder, g).column("text").to_pylist():
+                    if text:
+                        words.update(_words(text))
+                units = sorted({u for w in words for u in _units(w)})
+                for k in range(0, len(units), 50_000):
+                    some = pa.array(units[k : k + 50_000], pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), g)), some], ["g", "unit"])
+
+    return run
+
+
+class _Lists:
+    """Lists of numbers, one after the other."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes, self.starts = flat, sizes, np.cumsum(sizes) - sizes
+
+    def of(self, at: np.ndarray) -> np.ndarray:
+        """The lists at these places, joined."""
+        count = self.sizes[at]
+        return self.flat[np.arange(int(count.sum())) + np.repeat(self.starts[at] - (np.cumsum(count) - count), count)]
+
+
+def _assembler(folder: str):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        """left: the number of a file. right: its units and their ids."""
+        ids = right["ids"].combine_chunks()
+        ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
+        coded = _Lists(
+            np.asarray(ids.flatten().to_numpy(zero_copy_only=False), np.int32),
+            np.diff(np.asarray(ids.offsets)).astype(np.int64) if len(ids) else np.zeros(0, np.int64),
+        )
+        number = {u: k for k, u in enumerate(right["unit"].to_pylist())}
+        place: dict[str, int] = {}
+        docs = _stored(folder, left["g"][0].as_py())
+        texts = docs["text"].to_pylist()
+        for text in texts:
+            for word in set(_words(text)).difference(place) if text else ():
+                place[word] = len(place)
+        parts = [[number[u] for u in _units(w)] for w in place]
+        words = _Lists(np.fromiter((k for p in parts for k in p), np.int64), np.fromiter(map(len, parts), np.int64, len(parts)))
+        del number, parts
+        rows, lengths = [], []
+        for text in texts:
+            if not text:
+                lengths.append(0)
+                continue
+            found = _words(text)
+            rows.append(coded.of(words.of(np.fromiter(map(place.__getitem__, found), np.int64, len(found)))))
+            lengths.append(len(rows[-1]))
+        offsets = np.concatenate(([0], np.cumsum(lengths)))
+        values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
+        kind, place_type = (pa.LargeListArray, np.int64) if offsets[-1] >= 1 << 31 else (pa.ListArray, np.int32)
+        lists = kind.from_arrays(pa.array(offsets.astype(place_type)), values)
+        return pa.table({"row": docs["row"].cast(_nullable(docs.schema.field("row").type)), "ids": lists})
+
+    return run
 
 
 def encode(docs: DataFrame, ranks: Ranks, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """docs without `text`, with a last column `ids` (array<int>)."""
-    ship(docs.sparkSession)
-    text = F.col("text").cast("string")
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    groups = max(1, math.ceil(total / group_bytes))
+    """docs without `text`, with a last column `ids` (array<int>). Stores the documents at once, in a new shared folder."""
+    spark = docs.sparkSession
+    ship(spark)
+    folder = new_folder(spark, "bpe")
     names = [n for n in docs.columns if n not in ("text", "ids")]
-    dealt = docs.select(
-        F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"),
-        text.alias("text"),
-    )
-    # what tells rows apart decides the group, so that copies of a text spread
-    dealt = dealt.withColumn("g", F.pmod(F.xxhash64(F.to_json("row"), "text"), F.lit(groups)).cast("int")).repartition(groups, "g")
-    own = dealt.select("g", F.explode(F.array_distinct(F.split("text", CUT))).alias("unit")).where("unit <> ''").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col("text").cast("string").alias("text"))
+    rows.mapInArrow(_store(f"{folder}/documents", group_bytes), "g long").write.parquet(f"{folder}/files")
+    files = spark.read.schema("g long").parquet(f"{folder}/files")
+    # a task for each file
+    own = files.repartition(max(1, files.count()), "g").mapInArrow(_distinct_units(f"{folder}/documents"), "g long, unit string")
     units = own.groupBy("unit").agg(F.collect_set("g").alias("gs"))
     coded = encode_units(units, "unit", ranks).select(F.explode("gs").alias("g"), "unit", "ids")
-    kind = dealt.schema["row"].dataType.simpleString()
-    out = dealt.groupBy("g").cogroup(coded.groupBy("g")).applyInArrow(_assemble, f"row {kind}, ids array<int>")
+    kind = rows.schema["row"].dataType.simpleString()
+    out = files.groupBy("g").cogroup(coded.groupBy("g")).applyInArrow(_assembler(f"{folder}/documents"), f"row {kind}, ids array<int>")
     return out.select(*[F.col("row")[n].alias(n) for n in names], "ids")
 
 
