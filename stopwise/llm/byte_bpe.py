@@ -3,7 +3,7 @@
 Texts are split before every space that precedes a character other than white space, and between a Latin letter
 and a mark of ASCII. No match of the tokenizer's pattern crosses such a place, so the ids of a text are those of its units in order. Documents are
 stored once, in compressed files of about `group_bytes` of text in the shared folder; they are not shuffled. Each distinct unit of a
-file is sent once, with the numbers of all files that hold it, to where the unit is encoded: a higher-order fold takes the
+file is sent once, with the numbers of the file and of the unit in it, to where the unit is encoded: a higher-order fold takes the
 pattern's matches as arrays of bytes and merges, again and again, the neighbouring pair of lowest rank (the first of equal ones)
 until no pair has a rank. Ranks are a literal: an array of pairs of ids and the ranks they
 join to, in which a pair has two possible places, because a search in a map value reads all of it. The encoded units return to
@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from stopwise.llm import textarrays as ta
 from stopwise.llm.shared import filesystem, new_folder, ship, write_file
 
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 40 << 20
 BUCKETS = 8192
 #: Places of the table of pairs: enough for all pairs of a vocabulary of 50,000 tokens.
 FIRST_PLACES = 250_007
@@ -200,7 +201,7 @@ def _store(folder: str, group_bytes: int):
         def flush() -> pa.RecordBatch:
             nonlocal g, size
             out = pa.BufferOutputStream()
-            with pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            with pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as stream:
                 for part in held:
                     stream.write_batch(part)
             write_file(f"{folder}/{g}.arrow", [out.getvalue()])
@@ -244,18 +245,29 @@ def _units(word: str) -> list[str]:
     return [word] if word[1:].isalpha() and word[0] == " " else [p for p in EXACT_MARK_CUT.split(word) if p]
 
 
+def _numbered(texts: list[str | None]) -> tuple[list[np.ndarray], list[list[int]], list[str]]:
+    """The words of each text, the units of each word, and the units; all numbered in order of first appearance."""
+    word_number: defaultdict[str, int] = defaultdict()
+    word_number.default_factory = word_number.__len__
+    unit_number: defaultdict[str, int] = defaultdict()
+    unit_number.default_factory = unit_number.__len__
+    found = []
+    for text in texts:
+        words = _words(text) if text else []
+        found.append(np.fromiter(map(word_number.__getitem__, words), np.int32, len(words)))
+    parts = [[unit_number[u] for u in _units(w)] for w in word_number]
+    return found, parts, list(unit_number)
+
+
 def _distinct_units(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for g in batch.column("g").to_pylist():
-                words: set[str] = set()
-                for text in _stored(folder, g).column("text").to_pylist():
-                    if text:
-                        words.update(_words(text))
-                units = sorted({u for w in words for u in _units(w)})
+                units = _numbered(_stored(folder, g).column("text").to_pylist())[2]
                 for k in range(0, len(units), 50_000):
                     some = pa.array(units[k : k + 50_000], pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), g)), some], ["g", "unit"])
+                    number = np.arange(k, k + len(some), dtype=np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), g)), pa.array(number), some], ["g", "k", "unit"])
 
     return run
 
@@ -272,33 +284,23 @@ class _Lists:
         return self.flat[np.arange(int(count.sum())) + np.repeat(self.starts[at] - (np.cumsum(count) - count), count)]
 
 
-def _assembler(folder: str):
+def _assembler(folder: str, least: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        """left: the number of a file. right: its units and their ids."""
+        """left: the number of a file. right: the numbers of its units and their ids, less `least`."""
         ids = right["ids"].combine_chunks()
         ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-        coded = _Lists(
-            np.asarray(ids.flatten().to_numpy(zero_copy_only=False), np.int32),
-            np.diff(np.asarray(ids.offsets)).astype(np.int64) if len(ids) else np.zeros(0, np.int64),
-        )
-        number = {u: k for k, u in enumerate(right["unit"].to_pylist())}
-        place: dict[str, int] = {}
+        flat = np.asarray(ids.flatten().to_numpy(zero_copy_only=False)).astype(np.int32) + np.int32(least)
+        sizes = np.diff(np.asarray(ids.offsets)).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
+        coded = _Lists(flat, sizes)
+        # place[k]: where the ids of unit k came
+        place = np.argsort(right["k"].to_numpy())
         docs = _stored(folder, left["g"][0].as_py())
-        texts = docs["text"].to_pylist()
-        for text in texts:
-            for word in set(_words(text)).difference(place) if text else ():
-                place[word] = len(place)
-        parts = [[number[u] for u in _units(w)] for w in place]
-        words = _Lists(np.fromiter((k for p in parts for k in p), np.int64), np.fromiter(map(len, parts), np.int64, len(parts)))
-        del number, parts
-        rows, lengths = [], []
-        for text in texts:
-            if not text:
-                lengths.append(0)
-                continue
-            found = _words(text)
-            rows.append(coded.of(words.of(np.fromiter(map(place.__getitem__, found), np.int64, len(found)))))
-            lengths.append(len(rows[-1]))
+        found, parts, _ = _numbered(docs["text"].to_pylist())
+        units = np.fromiter((k for p in parts for k in p), np.int64)
+        words = _Lists(place[units], np.fromiter(map(len, parts), np.int64, len(parts)))
+        del parts, units
+        rows = [coded.of(words.of(f)) for f in found]
+        lengths = [len(r) for r in rows]
         offsets = np.concatenate(([0], np.cumsum(lengths)))
         values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
         kind, place_type = (pa.LargeListArray, np.int64) if offsets[-1] >= 1 << 31 else (pa.ListArray, np.int32)
@@ -318,11 +320,16 @@ def encode(docs: DataFrame, ranks: Ranks, group_bytes: int = GROUP_BYTES) -> Dat
     rows.mapInArrow(_store(f"{folder}/documents", group_bytes), "g long").write.parquet(f"{folder}/files")
     files = spark.read.schema("g long").parquet(f"{folder}/files")
     # a task for each file
-    own = files.repartition(max(1, files.count()), "g").mapInArrow(_distinct_units(f"{folder}/documents"), "g long, unit string")
-    units = own.groupBy("unit").agg(F.collect_set("g").alias("gs"))
-    coded = encode_units(units, "unit", ranks).select(F.explode("gs").alias("g"), "unit", "ids")
+    own = files.repartition(max(1, files.count()), "g").mapInArrow(_distinct_units(f"{folder}/documents"), "g long, k int, unit string")
+    # the units of a file are distinct, so nothing can be gathered before the shuffle
+    units = own.repartition("unit").groupBy("unit").agg(F.collect_list(F.struct("g", "k")).alias("at"))
+    # ids travel as short numbers where they all fit
+    least, number = (32768, "short") if max(ranks.ranks.values()) < 65536 else (0, "int")
+    short = F.transform("ids", lambda i: (i - least).cast(number)).alias("ids")
+    coded = encode_units(units, "unit", ranks).select("at", short).select(F.explode("at").alias("at"), "ids").select("at.g", "at.k", "ids")
     kind = rows.schema["row"].dataType.simpleString()
-    out = files.groupBy("g").cogroup(coded.groupBy("g")).applyInArrow(_assembler(f"{folder}/documents"), f"row {kind}, ids array<int>")
+    assemble = _assembler(f"{folder}/documents", least)
+    out = files.groupBy("g").cogroup(coded.groupBy("g")).applyInArrow(assemble, f"row {kind}, ids array<int>")
     return out.select(*[F.col("row")[n].alias(n) for n in names], "ids")
 
 
