@@ -4,10 +4,10 @@ Equal vectors are first collapsed to one row. The distinct vectors are dealt int
 builds a graph: every vector gets a random top level and is linked on each level to its nearest
 neighbours found by beam search. Then the vectors of every shard are searched in the graph of every shard: from the
 top level down to level 0 with a beam; what the beam finds at or above the threshold is expanded over its
-neighbours until nothing new appears. Cosines are verified in double precision. Each shard audits its
-recall: a number of queries of each block is also answered by brute force, and while the share of found links is
-below `RECALL`, the beam is doubled and the block is searched again. A beam beyond `WIDEST` is the whole shard: the block
-is then answered by exact products, in blocks.
+neighbours until nothing new appears. Cosines are verified in double precision. Each block of queries audits its
+recall in a shard: queries in random order are answered by brute force until `LINKED` of them have a link to another
+vector. While the beam finds less than `RECALL` of those links, or of the links of a query on average, it is doubled.
+Where it would exceed `WIDEST`, and where the block has fewer linked queries, brute force answers the whole block.
 
 A block of queries against a shard returns how many links each query has (copies counted) and a spanning
 forest of the links, not the links themselves, so a dense group costs rows in proportion to its vectors.
@@ -39,7 +39,11 @@ NEIGHBOURS = 12
 BUILD_BEAM = 32
 BEAM = 16
 WIDEST = 64
-AUDIT = 24
+#: Queries with a link that an audit sees; they are a sample of the sparse links too, not of one dense group alone.
+LINKED = 256
+#: Queries that an audit answers at a time, and cosines that brute force holds at a time.
+STEP = 512
+COSINES = 1 << 22
 RECALL = 0.98
 LOCKSTEP = 1024
 
@@ -211,26 +215,54 @@ def verified(queries: np.ndarray, vectors: np.ndarray, q: np.ndarray, v: np.ndar
     return out
 
 
-def search(graph: Graph, vectors: np.ndarray, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, int]:
-    """(query, vector, beam): links, with the beam that passed the audit."""
+def exact(queries: np.ndarray, vectors: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, vector) pairs by all products: single precision finds them, double precision decides."""
+    near, far = queries.astype(np.float32), vectors.astype(np.float32).T
+    rows = max(1, COSINES // len(vectors))
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for at in range(0, len(queries), rows):
+        q, v = np.nonzero(near[at : at + rows] @ far >= threshold - 1e-4)
+        good = verified(queries, vectors, q + at, v, threshold)
+        found.append((q[good] + at, v[good]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def search(
+    graph: Graph, vectors: np.ndarray, queries: np.ndarray, threshold: float, reps: np.ndarray, q_reps: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """(query, vector, beam): links between different ids, with the beam that passed the audit (all vectors: brute force)."""
     wide, own = unit(queries), unit(vectors)
-    audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
-    truth = int((wide[audit] @ own.T >= threshold).sum())
+    order = np.random.default_rng(11).permutation(len(wide))
+
+    def links(some: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        if beam:
+            q, v = graph.within(wide[some], threshold, min(beam, len(own)))
+            good = verified(wide[some], own, q, v, threshold)
+            q, v = q[good], v[good]
+        else:
+            q, v = exact(wide[some], own, threshold)
+        other = q_reps[some[q]] != reps[v]
+        return some[q[other]], v[other]
+
+    truth, linked, done = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0, 0
+    while done < len(order) and linked < LINKED:
+        truth.append(links(order[done : done + STEP], 0))
+        linked += len(np.unique(truth[-1][0]))
+        done = min(done + STEP, len(order))
+    q, v = np.concatenate([t[0] for t in truth]), np.concatenate([t[1] for t in truth])
+    if done == len(order):
+        return q, v, len(own)
+    audit, rest = order[:done], order[done:]
+    true = np.bincount(q, minlength=len(wide))
+    some = np.flatnonzero(true)
     beam = BEAM
     while beam <= WIDEST:
-        q, v = graph.within(wide, threshold, min(beam, len(own)))
-        good = verified(wide, own, q, v, threshold)
-        q, v = q[good], v[good]
-        if np.isin(q, audit).sum() >= RECALL * truth:
-            return q, v, beam
+        found = np.bincount(links(audit, beam)[0], minlength=len(wide))[some]
+        if min(found.sum() / true[some].sum(), (found / true[some]).mean()) >= RECALL:
+            break
         beam *= 2
-    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    rows = max(1, (1 << 22) // len(own))
-    for at in range(0, len(wide), rows):
-        q, v = np.nonzero(wide[at : at + rows] @ own.T >= threshold - 1e-9)
-        good = verified(wide, own, q + at, v, threshold)
-        found.append((q[good] + at, v[good]))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), len(own)
+    more = links(rest, beam if beam <= WIDEST else 0)
+    return np.concatenate((q, more[0])), np.concatenate((v, more[1])), beam if beam <= WIDEST else len(own)
 
 
 def _build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -282,9 +314,7 @@ def _search_shard(threshold: float):
                 queries = np.frombuffer(row["q_vectors"], np.float64).reshape(-1, row["width"])
                 reps, q_reps = np.frombuffer(row["reps"], np.int64), np.frombuffer(row["q_reps"], np.int64)
                 copies = np.frombuffer(row["copies"], np.int64)
-                q, v, beam = search(graph, own, queries, threshold)
-                other = q_reps[q] != reps[v]
-                q, v = q[other], v[other]
+                q, v, beam = search(graph, own, queries, threshold, reps, q_reps)
                 links = np.bincount(q, copies[v], len(q_reps)).astype(np.int64)
                 tree = forest(q_reps[q], reps[v])
                 some = np.flatnonzero(links)

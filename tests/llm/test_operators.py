@@ -181,6 +181,22 @@ def test_hnsw_finds_links_and_components(spark):
     assert all(got[600 + k].component_id == got[0].component_id for k in range(5))
 
 
+@pytest.mark.parametrize("planted", [40, 1500])
+def test_hnsw_finds_planted_pairs_between_large_shards(planted):
+    """Few linked queries are answered exactly; many are held to RECALL, both against brute force."""
+    random = np.random.default_rng(4)
+    own, queries = random.normal(size=(3000, 256)), random.normal(size=(3000, 256))
+    at = random.permutation(3000)[:planted]
+    queries[at] = own[at[::-1]] + random.normal(size=(planted, 256)) * 0.15
+    a, b = hnsw_links.unit(queries), hnsw_links.unit(own)
+    want = set(zip(*map(np.ndarray.tolist, np.nonzero(a @ b.T >= 0.95)), strict=True))
+    reps = np.arange(3000)
+    q, v, _ = hnsw_links.search(hnsw_links.Graph(b), own, queries, 0.95, reps, reps + 3000)
+    got = set(zip(q.tolist(), v.tolist(), strict=True))
+    assert len(want) >= planted * 0.9 and len(q) == len(got) and got <= want
+    assert len(got) >= (1 if planted == 40 else hnsw_links.RECALL) * len(want)
+
+
 def test_wavelet_shard_answers_from_its_planes():
     ids = np.random.default_rng(0).integers(0, 300, 3000)
     shard = wavelet_store.Shard(wavelet_store.encode_shard([5, None], np.array([1000, 2000]), ids))
