@@ -8,7 +8,8 @@ lengths, and the planes, each compressed by itself. `Shard` reads such a file: `
 `select` (place of the k-th occurrence) and `decode` (all tokens) work on the planes.
 
 Encoding uses the tokenizers library. White space separates words for the tokenizer, so texts are cut at spaces
-and line feeds, and each distinct word of a task is encoded once. Texts of a batch are worked on 512 at a time.
+and line feeds, and each distinct word of a task is encoded once. A special token written in a text gets its own id, as the library
+gives it with add_special_tokens=False. Texts of a batch are worked on 512 at a time.
 
 Defined cases: null and empty texts have the end id alone; rows that share an id stay apart, in order of their text; a null id
 comes first. Other columns are not read. An empty table writes no file.
@@ -158,7 +159,6 @@ class WordMemory:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.reset()
 
     def reset(self) -> None:

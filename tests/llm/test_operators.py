@@ -225,6 +225,19 @@ def test_wavelet_store_gives_the_library_s_ids(spark, docs):
     assert sorted(tuple(r) for r in wavelet_store.read(spark, folder).collect()) == want
 
 
+def test_wavelet_words_give_the_library_s_special_ids(docs):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b<|startoftext|>c", "x<|endoftext|>", "<|ENDOFTEXT|>", "a <|endoftext |>\n<|startoftext|><|endoftext|>", "", None]
+    texts += [r.text for r in docs.where("doc_id < 0").collect()]
+    want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    assert want[0][:-1] == [320, 49407, 321, 49406, 322]
+    ids, lengths = wavelet_store.WordMemory(path).encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == want
+
+
 def test_jump_hash_moves_rows_only_to_the_new_shard(docs, nothing):
     rows = jump_shards.shard_documents(docs, 16, 4).collect()
     assert all(r.grown_shard in (r.shard, 16) for r in rows) and {r.shard for r in rows} == set(range(16))
