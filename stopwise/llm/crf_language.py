@@ -12,7 +12,8 @@ borders give every word's exact posterior, however long the text.
 A document's language is the one with the largest sum of posteriors; its score is that sum's share.
 
 The model is fitted on a bounded sample: at most `per_language` documents per language, chosen by a
-hash of the id, of at most `max_languages` languages (the most frequent ones).
+hash of the id, of every language that a row names. The weights grow with the number of languages; training goes
+through the sequences in passes, so that its other tables do not grow with its square.
 
 Defined cases: null texts and texts without a letter are `und` with score 0; without a labelled document
 every text with letters is `und`, too. Equal texts get equal results; equal sums go to the first language in
@@ -26,19 +27,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopwise.llm import textarrays as ta
 from stopwise.llm.shared import ship
 
 PER_LANGUAGE = 150
-MAX_LANGUAGES = 64
 TABLE = 1 << 17
 LEXICON_COUNT = 3
 EPOCHS = 25
 BLOCK = 32
 SPLICE = 64
+#: Posteriors (words times languages) that a pass of the training holds.
+PASS_CELLS = 1 << 23
 UNKNOWN = "und"
 
 _U = np.uint64
@@ -112,9 +114,26 @@ def emissions(words: Vocabulary, weights: np.ndarray) -> np.ndarray:
 
 def posteriors(scores: np.ndarray, first: np.ndarray, moves: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Forward-backward: (words, languages) posteriors of words in runs that begin at `first`."""
-    n, size = scores.shape
-    if n == 0:
+    if len(scores) == 0:
         return scores
+    forward, behind, _ = messages(scores, first, moves, start)
+    forward *= behind
+    return forward / forward.sum(1, keepdims=True)
+
+
+def expected_moves(forward: np.ndarray, after: np.ndarray, inner: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Sum over the words `inner` of the joint posterior of the languages of a word and the one before it.
+    after: messages from behind times the word's own score."""
+    step = np.exp(moves - moves.max())
+    into, here = forward[inner - 1], after[inner]
+    total = ((into @ step) * here).sum(1, keepdims=True)
+    return step * ((into / total).T @ here)
+
+
+def messages(scores: np.ndarray, first: np.ndarray, moves: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, languages) messages from before with the word's own score and from behind without it, each up to a factor
+    for the word, and the scores as factors."""
+    n, size = scores.shape
     local = np.exp(scores - scores.max(1, keepdims=True))
     step, begin = np.exp(moves - moves.max()), np.exp(start - start.max())
     lengths = np.diff(first)
@@ -165,6 +184,7 @@ def posteriors(scores: np.ndarray, first: np.ndarray, moves: np.ndarray, start:
         part /= part.sum(1, keepdims=True)
         state[use] = part
         forward[where[use] + k] = part
+    behind = np.zeros((n, size))
     back = out_of
     for k in range(BLOCK - 1, -1, -1):
         use = np.flatnonzero(width > k)
@@ -172,10 +192,10 @@ def posteriors(scores: np.ndarray, first: np.ndarray, moves: np.ndarray, start:
             continue
         at = where[use] + k
         here = back[use]
-        forward[at] *= here
+        behind[at] = here
         part = (local[at] * here) @ step.T
         back[use] = part / part.sum(1, keepdims=True)
-    return forward / forward.sum(1, keepdims=True)
+    return forward, behind, local
 
 
 @dataclass
@@ -223,24 +243,30 @@ def fit_arrays(texts: ta.Texts, labels: np.ndarray, languages: list[str], epochs
 
     weights, moves, start = np.zeros((size, TABLE)), np.zeros((size, size)), np.zeros(size)
     sums = [np.full_like(x, 1e-6) for x in (weights, moves, start)]
-    truth = np.zeros((n, size))
-    truth[np.arange(n), gold] = 1
     seen_moves = np.zeros((size, size))
     np.add.at(seen_moves, (gold[inner - 1], gold[inner]), 1)
+    runs = max(1, PASS_CELLS // (SPLICE * max(size, 1)))
     for _ in range(epochs if n and size > 1 else 0):
-        scores = emissions(words, weights)[inverse]
-        post = posteriors(scores, first, moves, start)
-        slope = truth - post
-        by_word = np.stack([np.bincount(inverse, slope[:, k], len(words.hashes)) for k in range(size)])
+        table = emissions(words, weights)
+        by_word = np.zeros((size, len(words.hashes)))
+        step_m, step_s = seen_moves.copy(), np.zeros(size)
+        for run in range(0, len(first) - 1, runs):
+            own = first[run : run + runs + 1]
+            s, own = slice(own[0], own[-1]), own - own[0]
+            forward, behind, local = messages(table[inverse[s]], own, moves, start)
+            slope = -forward * behind
+            slope /= -slope.sum(1, keepdims=True)
+            slope[np.arange(len(slope)), gold[s]] += 1
+            for k in range(size):
+                by_word[k] += np.bincount(inverse[s], slope[:, k], len(words.hashes))
+            within = inner[(inner >= s.start) & (inner < s.stop)] - s.start
+            behind *= local
+            step_m -= expected_moves(forward, behind, within, moves)
+            step_s += slope[own[:-1]].sum(0)
         step_w = np.zeros_like(weights)
         for owner, feature in words.groups:
             for k in range(size):
                 step_w[k] += np.bincount(feature, by_word[k][owner], TABLE)
-        # expected moves from the posteriors of both words and the transition between them
-        pair = post[inner - 1].T @ post[inner] * np.exp(moves)
-        pair *= len(inner) / max(pair.sum(), 1e-12)
-        step_m = seen_moves - pair
-        step_s = truth[first[:-1]].sum(0) - post[first[:-1]].sum(0)
         for value, step, total, penalty in ((weights, step_w, sums[0], 0.05), (moves, step_m, sums[1], 0.5), (start, step_s, sums[2], 0.5)):
             step = step - penalty * value
             total += step * step
@@ -248,22 +274,20 @@ def fit_arrays(texts: ta.Texts, labels: np.ndarray, languages: list[str], epochs
     return Field(languages, lexicon, weights.astype(np.float32), moves, start)
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Field:
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Field:
     """docs: doc_id, text, lang."""
-    known = docs.select("doc_id", F.lower(F.col("text").cast("string")).alias("text"), F.col("lang").cast("string")).where(
-        "text is not null and lang is not null and doc_id is not null"
-    )
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    languages = sorted(r["lang"] for r in counts)
-    rows = None
-    for language in languages:
-        own = known.where(F.col("lang") == language).select("lang", "text", F.xxhash64("doc_id").alias("h"))
-        own = own.orderBy("h", "text").limit(per_language)
-        rows = own if rows is None else rows.union(own)
-    if rows is None:
-        return Field([], np.zeros(0, _U), np.zeros((0, TABLE), np.float32), np.zeros((0, 0)), np.zeros(0))
+    known = docs.select(
+        F.col("lang").cast("string").alias("lang"), F.lower(F.col("text").cast("string")).alias("text"), "doc_id"
+    ).where("text is not null and lang is not null and doc_id is not null")
+    # a filter on the rank lets each task cut its languages before the shuffle
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    rows = known.select("lang", "text", F.xxhash64("doc_id").alias("h")).withColumn("place", place).where(F.col("place") <= per_language)
     sample = rows.orderBy("lang", "h", "text").select("lang", "text").toArrow()
-    labels = np.searchsorted(languages, sample["lang"].to_pylist())
+    named = sample["lang"].to_pylist()
+    languages = sorted(set(named))
+    if not languages:
+        return Field([], np.zeros(0, _U), np.zeros((0, TABLE), np.float32), np.zeros((0, 0)), np.zeros(0))
+    labels = np.searchsorted(languages, named)
     return fit_arrays(ta.from_arrow(sample["text"].combine_chunks()), labels, languages)
 
 

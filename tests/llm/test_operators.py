@@ -1,5 +1,6 @@
 """The training-data operators on small hand-made tables: brute-force versions, round trips and odd rows."""
 
+import itertools
 import re
 import zlib
 
@@ -284,6 +285,31 @@ def test_forward_backward_against_plain_recursion():
         assert np.allclose(got[a:b], want / want.sum(1, keepdims=True))
 
 
+def test_expected_moves_against_all_labellings():
+    random = np.random.default_rng(1)
+    scores, moves, start = random.normal(size=(5, 3)), random.normal(size=(3, 3)) * 2, random.normal(size=3)
+    want, total = np.zeros((3, 3)), 0.0
+    for path in itertools.product(range(3), repeat=5):
+        pairs = list(zip(path[:-1], path[1:], strict=True))
+        weight = np.exp(start[path[0]] + scores[np.arange(5), path].sum() + sum(moves[p] for p in pairs))
+        total += weight
+        for p in pairs:
+            want[p] += weight
+    forward, behind, local = crf_language.messages(scores, np.array([0, 5]), moves, start)
+    assert np.allclose(crf_language.expected_moves(forward, behind * local, np.arange(1, 5), moves), want / total)
+
+
+def test_every_language_is_learned(spark):
+    names = [f"l{k:02d}" for k in range(70)]
+    text = {n: " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}q{chr(97 + j)}" for j in range(12)) for k, n in enumerate(names)}
+    # the last languages have the fewest rows
+    rows = [(100 * k + j, text[n], n) for k, n in enumerate(names) for j in range(3 if k < 64 else 2)]
+    field = crf_language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert field.languages == names
+    docs = spark.createDataFrame([(k, text[n]) for k, n in enumerate(names)], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in crf_language.predict(docs, field).collect()} == dict(enumerate(names))
+
+
 def test_language_and_quality_on_held_out_rows(spark, docs):
     real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
