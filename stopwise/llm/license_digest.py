@@ -7,11 +7,13 @@ entire texts, and, by the same digests, lines that are statements of their own i
 
 Defined cases: null texts, and texts whose canonical form is empty, match nothing; repeated rows match each;
 a license given in several spellings under one name counts once; where one canonical text has several names, the
-first in alphabetical order counts. Other columns are not read. An empty table of licenses matches nothing.
+first in alphabetical order counts. Every line is looked up, of whatever length and words. Other columns are not read. An empty table of licenses matches nothing.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,9 +53,6 @@ LICENSES = [
 
 #: A line that names a holder or year of copyright and nothing else.
 COPYRIGHT_LINE = r"(?mi)^[^\S\n]*(?:copyright\b[^\n]*\d{4}|\(c\)|©)[^\n]*$"
-#: Lines that can be a known statement: those with one of these words, up to this length.
-LINE_MARK = r"(?i)licen[sc]|reserved|permission"
-LONGEST_LINE = 2000
 NOT_WORD = r"[^\p{L}\p{N}]+"
 # Spellings that count as one.
 SPELLINGS = [
@@ -79,12 +78,18 @@ def canonical(text: Column) -> Column:
     return F.get(F.transform(F.array(plain), respelled), F.lit(0))
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """License and text of each file in the folder of full texts; read on the driver."""
+    return [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+
+
 def known(spark: SparkSession, licenses: list[tuple[str, str]] | None = None) -> DataFrame:
     """digest, license of known texts."""
-    table = spark.createDataFrame(LICENSES if licenses is None else licenses, "license string, text string")
-    form = canonical(F.col("text"))
+    table = spark.createDataFrame(LICENSES + full_texts() if licenses is None else licenses, "license string, text string")
+    # on one line, a text keeps what in lines of its own counts as a holder of copyright
+    forms = table.select("license", F.explode(F.array("text", F.regexp_replace("text", r"\s+", " "))).alias("text"))
     return (
-        table.select("license", form.alias("form"))
+        forms.select("license", canonical(F.col("text")).alias("form"))
         .where("form <> ''")
         .groupBy(F.sha2("form", 256).alias("digest"))
         .agg(F.min("license").alias("license"))
@@ -95,17 +100,15 @@ def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     """doc_id, place, digest, license: a row of place 0 for every entire text (license is null unless it is known), and a row for
     each line (from 1) that is a known text by itself."""
     text = F.col("text").cast("string")
-    lines = F.filter(
-        F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x, i: F.struct((i + 1).alias("place"), x.alias("unit"))),
-        lambda x: (F.length(x["unit"]) <= LONGEST_LINE) & x["unit"].rlike(LINE_MARK),
-    )
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x, i: F.struct((i + 1).alias("place"), x.alias("unit")))
     units = F.concat(F.array(F.struct(F.lit(0).alias("place"), text.alias("unit"))), lines)
     form = F.col("form")
     return (
         docs.select("doc_id", F.explode(units).alias("u"))
         .select("doc_id", "u.place", canonical(F.col("u.unit")).alias("form"))
         .select("doc_id", "place", F.when(form != "", F.sha2(form, 256)).alias("digest"))
-        .join(licenses.select("digest", "license"), "digest", "left")
+        # every line takes part: the known texts go to the lines, not the lines through a shuffle
+        .join(F.broadcast(licenses.select("digest", "license")), "digest", "left")
         .where("place = 0 or license is not null")
         .select("doc_id", "place", "digest", "license")
     )

@@ -268,6 +268,19 @@ def test_licenses_by_canonical_digest(spark):
     assert all(r.digest is None for r in got if r.doc_id in (3, 4, 5))
 
 
+def test_full_license_texts_and_lines_of_any_kind(spark):
+    texts = license_digest.full_texts()
+    assert {"Apache-2.0", "GPL-3.0", "BSD-3-Clause", "Zlib"} <= {n for n, _ in texts}
+    rows = [(k, "Copyright (c) 2021 Someone\n\n" + t.upper()) for k, (_, t) in enumerate(texts)]
+    one_line = " ".join(next(t for n, t in texts if n == "GPL-2.0").split())
+    rows += [(100, f"notes\n{one_line}\nmore"), (101, "x\nDo as you like.\ny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.place): r.license for r in license_digest.scan(docs, license_digest.known(spark)).collect()}
+    assert all(got[k, 0] == n for k, (n, _) in enumerate(texts)) and got[100, 2] == "GPL-2.0"
+    own = license_digest.known(spark, [("Own", "Do as you like")])
+    assert {(r.doc_id, r.place) for r in license_digest.scan(docs, own).where("license = 'Own'").collect()} == {(101, 2)}
+
+
 def test_forward_backward_against_plain_recursion():
     random = np.random.default_rng(0)
     first = np.array([0, 1, 1, 80, 83, 150])
