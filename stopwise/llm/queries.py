@@ -15,14 +15,17 @@ from stopwise.llm import (
     hnsw_links,
     jump_shards,
     license_digest,
+    maxscore_search,
+    source_divergence,
     suffix_automaton,
+    token_alignment,
     vote_quality,
     wavelet_store,
 )
 from stopwise.llm.shared import crc_of_id
 
 #: Paths of the public tokenizer files; they must exist on every executor.
-TOKENIZERS = {"bytes": "byte_bpe_multi_50k.tiktoken", "words": "word_bpe_49k.json"}
+TOKENIZERS = {"bytes": "byte_bpe_multi_50k.tiktoken", "words": "word_bpe_49k.json", "letters": "byte_bpe_50k.json", "pieces": "piece_bpe_32k.model"}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -131,6 +134,24 @@ def op10_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture_index.read_all(spark, folder).drop("url")
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.audit(docs, public_tokenizers.path(TOKENIZERS["letters"]), public_tokenizers.path(TOKENIZERS["pieces"]))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_maxscore_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 # DuckDB statements. They start from the written definitions and share no code with the operators.
 
 _LOW = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -197,6 +218,48 @@ FROM r
 """
 
 
+SQL["op12_source_divergence"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOW.format("text")} AS text FROM documents),
+w AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+full_count AS (
+    SELECT g.lang, g.source, kept.term, coalesce(c.n, 0)::HUGEINT AS n, kept.n AS all_n
+    FROM g JOIN kept ON kept.lang = g.lang
+    LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL) c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+),
+total AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM full_count GROUP BY lang, source),
+p AS (
+    SELECT f.lang, f.source, term, f.n, 1 + (1000000000 * (f.n + 5)) // (t.n + 5 * v.v) AS p, 1 + (1000000000 * (all_n + 5)) // (v.n + 5 * v.v) AS q
+    FROM full_count f JOIN total t ON t.lang = f.lang AND t.source = f.source JOIN v ON v.lang = f.lang
+),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+           coalesce((SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y ON y.lang = x.lang AND y.term = x.term WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+    FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+    UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+SQL["op13_maxscore_search"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+score AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0)::BIGINT AS score
+    FROM v q JOIN v c ON c.vec_id IS DISTINCT FROM q.vec_id WHERE q.vec_id % 50 = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM score)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def _license_sql() -> str:
     def canonical(text: str) -> str:
         out = f"lower(regexp_replace({text}, '(?mi)^[^\\S\\n]*(?:copyright\\b[^\\n]*\\d{{4}}|\\(c\\)|©)[^\\n]*$', ' ', 'g'))"
