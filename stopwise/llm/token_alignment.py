@@ -5,6 +5,10 @@ same bytes, so each token has a byte range. Per pass over some documents, `panda
 the B token that covers it, and each start of a B token the A token that covers it; the union of both directions is all overlapping pairs,
 and equal ends close groups.
 
+Texts are encoded in units: a unit begins at a space after a printable ASCII character. The pattern of A ends a match there, and no piece of B goes on
+over a space (checked when the model is loaded; else a text is one unit), so the tokens of a text are those of its units. A task remembers the
+tokens of units that it has seen.
+
 Counting the pairs of ids over the corpus: a task aligns its documents in passes, writes one compressed file of per-document results for
 every `FILE_BYTES` of text into the shared folder, and emits each distinct pair of the file once, with its number of links. So no pair has more
 rows than there are files, whatever its frequency. Pairs are summed, the highest count of each B id is found, and both return to the files, where
@@ -37,6 +41,8 @@ from stopwise.llm.shared import cut, filesystem, new_folder, ship, write_file
 #: Bytes of text of one file of results, and of one pass of the tokenizers.
 FILE_BYTES = 24 << 20
 PASS_BYTES = 1 << 20
+#: Bytes of units that a task remembers; beyond them it starts anew.
+MEMORY_BYTES = 6 << 20
 
 PER_DOC = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
 
@@ -57,6 +63,7 @@ class Pair:
     bytes_a: pa.Array
     bytes_b: pa.Array
     marks: pa.Array
+    units: bool
 
     @property
     def size_a(self) -> int:
@@ -88,8 +95,9 @@ def load(path_a: str, path_b: str) -> Pair:
     for k in range(b.vocab_size()):
         piece = b.id_to_piece(k)
         of_b.append(bytes([int(piece[3:5], 16)]) if b.is_byte(k) else piece.replace("▁", " ").encode())
+    crossing = any(" " in piece.lstrip(b" ").decode("latin-1") for piece in of_b)
     marks = [f"{k}{s}" for s in ",|" for k in range(len(of_a))] + [f"{k}{s}" for s in (",", ";", "") for k in range(len(of_b))]
-    return Pair(a, b, pa.array(of_a, pa.large_binary()), pa.array(of_b, pa.large_binary()), pa.array(marks, pa.large_string()))
+    return Pair(a, b, pa.array(of_a, pa.large_binary()), pa.array(of_b, pa.large_binary()), pa.array(marks, pa.large_string()), not crossing)
 
 
 def _buffer(array: pa.Array) -> tuple[np.ndarray, memoryview]:
@@ -103,6 +111,64 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum())), n
 
 
+class Memory:
+    """Encodes texts by both tokenizers through their distinct units."""
+
+    def __init__(self, pair: Pair):
+        self.pair = pair
+        self.forget()
+
+    def forget(self) -> None:
+        """known: the number of each unit; of each side, the ids of all units in a row and where those of a unit end."""
+        self.held = 0
+        self.known: dict[bytes, int] = {}
+        self.sides = [(np.zeros(0, np.int32), np.zeros(1, np.int64)) for _ in "ab"]
+
+    def _units(self, spaced: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """All units, and how many each text has."""
+        ends = np.cumsum([len(x) for x in spaced])
+        data = np.frombuffer(b"".join(spaced), np.uint8)
+        starts = np.concatenate(([0], ends[:-1]))
+        cut = np.zeros(len(data), bool)
+        if self.pair.units:
+            cut[1:] = (data[1:] == 0x20) & (data[:-1] > 0x20) & (data[:-1] < 0x7F)
+            # a last space is no start: B would not see it
+            cut[ends - 1] = False
+        cut[starts] = True
+        cuts = np.flatnonzero(cut)
+        places = pa.py_buffer(np.append(cuts, len(data)).astype(np.int64))
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, places, pa.py_buffer(data)])
+        return units, np.append(np.searchsorted(cuts, starts), len(cuts))
+
+    def encode(self, spaced: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B: the ids of all texts in a row, and how many each text has."""
+        units, ends = self._units(spaced)
+        coded = units.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if self.held > MEMORY_BYTES:
+            self.forget()
+        fresh = [w for w in words if w not in self.known]
+        if fresh:
+            plain = [w.decode() for w in fresh]
+            found = [[e.ids for e in self.pair.a.encode_batch_fast(plain, add_special_tokens=False)], self.pair.b.encode([w[1:] for w in plain], out_type=int, num_threads=1)]
+            for k, (ids, n) in enumerate(map(_flat, found)):
+                old, upto = self.sides[k]
+                self.sides[k] = np.concatenate((old, ids.astype(np.int32))), np.concatenate((upto, upto[-1] + np.cumsum(n)))
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+            self.held += sum(map(len, fresh))
+        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        place = numbers[coded.indices.to_numpy()]
+        return [_spread(ids, upto, place, ends) for ids, upto in self.sides]
+
+
+def _spread(ids: np.ndarray, upto: np.ndarray, place: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the units at `place` in a row, and how many there are between the ends."""
+    first = upto[place]
+    lengths = upto[place + 1] - first
+    total = np.concatenate(([0], np.cumsum(lengths)))
+    return ids[np.repeat(first - total[:-1], lengths) + np.arange(total[-1])].astype(np.int64), np.diff(total[ends])
+
+
 @dataclass
 class Aligned:
     """Of each document: tokens, groups, links, the text of its groups; and its distinct pairs of ids (a * size_b + b) with their links."""
@@ -126,18 +192,16 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([starts_in_b[["doc", "a", "b"]], starts_in_a.loc[later, ["doc", "a", "b"]]], ignore_index=True)
 
 
-def align(texts: list[str], pair: Pair) -> Aligned:
+def align(texts: list[str], memory: Memory) -> Aligned:
     """Aligns some texts; nothing in the result depends on which texts stand together."""
-    n = len(texts)
-    spaced = [" " + t for t in texts]
-    ids_a, n_a = _flat([e.ids for e in pair.a.encode_batch_fast(spaced, add_special_tokens=False)] if n else [])
-    ids_b, n_b = _flat(pair.b.encode(texts, out_type=int, num_threads=1) if n else [])
+    n, pair = len(texts), memory.pair
+    spaced = [b" " + t.encode() for t in texts]
+    (ids_a, n_a), (ids_b, n_b) = memory.encode(spaced)
     at_a, data_a = _buffer(pair.bytes_a.take(pa.array(ids_a)))
     at_b, data_b = _buffer(pair.bytes_b.take(pa.array(ids_b)))
     ends_a, ends_b = np.concatenate(([0], np.cumsum(n_a))), np.concatenate(([0], np.cumsum(n_b)))
     good = np.zeros(n, bool)
-    for k, text in enumerate(spaced):
-        want = text.encode()
+    for k, want in enumerate(spaced):
         good[k] = (
             len(want) > 1
             and data_a[at_a[ends_a[k]] : at_a[ends_a[k + 1]]] == want
@@ -200,10 +264,11 @@ def groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = load(path_a, path_b)
+        memory = Memory(pair)
         for batch in batches:
             at = 0
             for texts in _passes(batch.column(1)):
-                got = align([t or "" for t in texts.to_pylist()], pair)
+                got = align([t or "" for t in texts.to_pylist()], memory)
                 links = pa.StructArray.from_arrays(
                     [pa.array(got.pairs // pair.size_b), pa.array(got.pairs % pair.size_b), pa.array(got.times)], ["a", "b", "n"]
                 )
@@ -259,7 +324,7 @@ def _pack(ids: list[pa.Array], parts: list[Aligned], digests: list[str]) -> tupl
 
 def _store(folder: str, path_a: str, path_b: str, digest: Callable[[memoryview], str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = load(path_a, path_b)
+        memory = Memory(load(path_a, path_b))
         ids, parts, digests, held = [], [], [], 0
 
         def close() -> pa.RecordBatch:
@@ -272,7 +337,7 @@ def _store(folder: str, path_a: str, path_b: str, digest: Callable[[memoryview],
         for batch in batches:
             at = 0
             for texts in _passes(batch.column(1)):
-                got = align([t or "" for t in texts.to_pylist()], pair)
+                got = align([t or "" for t in texts.to_pylist()], memory)
                 ids.append(batch.column(0).slice(at, len(texts)))
                 digests += [digest(g) for g in got.groups]
                 got.groups = []
