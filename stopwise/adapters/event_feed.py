@@ -55,6 +55,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         F.struct(polled.alias("timestamp")).alias("header"),
         F.lit(None).cast("long").alias("poll"),
+        polled.alias("polled_at"),
         F.array(entity).alias("entity"),
     )
 

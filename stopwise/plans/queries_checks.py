@@ -161,14 +161,17 @@ register("str2_idle_eviction", lambda c: ingest.idle_evictions(c.feed_rows),
 
 
 def _stream_ingest(c: Context) -> DataFrame:
-    """Snapshot files through the streaming path; the same log as the batch path must come out."""
+    """Snapshot files through the streaming path, one file a micro-batch and the polls of a file from all
+    over the time; the same log as the batch path must come out."""
     root = c.store.root
     done = f"{root}/stream_done"
     from stopwise.sources.store import path_exists
 
     if not path_exists(c.spark, f"{done}/_SUCCESS"):
-        c.snapshots.write.mode("overwrite").json(f"{root}/snapshot_files")
-        query = ingest.stream_ingest(c.spark, f"{root}/snapshot_files", f"{root}/stream_log", f"{root}/stream_checkpoint")
+        c.snapshots.repartition(4, F.xxhash64("poll")).write.mode("overwrite").json(f"{root}/snapshot_files")
+        query = ingest.stream_ingest(
+            c.spark, f"{root}/snapshot_files", f"{root}/stream_log", f"{root}/stream_checkpoint", files_per_trigger=1, late_polls=1 << 40
+        )
         query.awaitTermination()
         c.spark.range(1).write.mode("overwrite").parquet(done)
     from stopwise.sources import scan

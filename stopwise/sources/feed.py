@@ -14,7 +14,7 @@ def trip_updates(snapshots: DataFrame) -> DataFrame:
     """One row per entity with a trip update and a trip id; `entity_pos` is its place in the feed."""
     return (
         snapshots.select(
-            F.col("header.timestamp").alias("polled_at"), "poll", F.posexplode("entity").alias("entity_pos", "e")
+            "polled_at", "poll", F.posexplode("entity").alias("entity_pos", "e")
         )
         .where(F.col("e.tripUpdate").isNotNull() & (F.coalesce("e.tripUpdate.trip.tripId", F.lit("")) != ""))
         .select(
@@ -80,12 +80,7 @@ def poll_trips(snapshots: DataFrame) -> DataFrame:
 
 
 def with_poll_number(snapshots: DataFrame) -> DataFrame:
-    """Numbers the successful polls in time order; failed polls leave no gap."""
-    times = snapshots.select(F.col("header.timestamp").alias("_t"))
-    numbers = dense_numbers(times, "_t", F.floor(F.col("_t") / POLL_BUCKET_SEC), "_number")
-    return (
-        snapshots.withColumn("_t", F.col("header.timestamp"))
-        .join(numbers, "_t")
-        .withColumn("poll", F.col("_number"))
-        .drop("_t", "_number")
-    )
+    """Numbers the successful polls in time order; failed polls leave no gap. The clock is the collector's,
+    because the time in a feed's header may stand still."""
+    numbers = dense_numbers(snapshots.select("polled_at"), "polled_at", F.floor(F.col("polled_at") / POLL_BUCKET_SEC), "_number")
+    return snapshots.join(numbers, "polled_at").withColumn("poll", F.col("_number")).drop("_number")

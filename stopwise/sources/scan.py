@@ -26,18 +26,31 @@ def scan_or_empty(spark: SparkSession, glob: str, schema: T.StructType, read) ->
 
 
 def scan_reports(spark: SparkSession, root: str) -> DataFrame:
-    """Hour-partitioned report files with columns matched by name, and their source path."""
+    """Hour-partitioned report files with columns matched by name, and their source path.
+
+    A log that the stream wrote also holds withdrawals; they and the rows that they withdraw are left out.
+    """
     schema = T.StructType(
         [*schemas.REPORT, T.StructField("date", T.DateType()), T.StructField("hour", T.StringType())]
     )
     if not matching_paths(spark, f"{root}/date=*"):
         return spark.createDataFrame([], T.StructType([*schema, T.StructField("source_file", T.StringType())]))
-    return (
-        spark.read.schema(schema)
+    streamed = bool(matching_paths(spark, f"{root}/_spark_metadata"))
+    marks = [T.StructField("emission", T.LongType()), T.StructField("withdrawn", T.BooleanType())] if streamed else []
+    rows = (
+        spark.read.schema(T.StructType([*schema, *marks]))
         .option("recursiveFileLookup", False)
         .parquet(root)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
+    return settled(rows) if streamed else rows
+
+
+def settled(log: DataFrame) -> DataFrame:
+    """Reports without those withdrawn later. Both stand in the same hour, and withdrawals are few."""
+    names = ["date", "hour", "trip_id", "stop_id", "emission"]
+    gone = log.where("withdrawn").groupBy(*names).agg(F.lit(1).alias("_gone"))
+    return log.where("withdrawn is null or not withdrawn").join(gone, names, "left_anti").drop("emission", "withdrawn")
 
 
 def scan_schedule(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:

@@ -53,7 +53,7 @@ ENTITY = struct(
     tripUpdate=struct(trip=TRIP, stopTimeUpdate=T.ArrayType(STOP_UPDATE)),
     alert=struct(effect=S),
 )
-FEED = struct(header=struct(timestamp=L), poll=L, entity=T.ArrayType(ENTITY))
+FEED = struct(header=struct(timestamp=L), poll=L, polled_at=L, entity=T.ArrayType(ENTITY))
 
 # Lookup files are read by position, so these names need not equal their headers.
 ON_DEMAND = struct(route_id=S, line=S, note=S)

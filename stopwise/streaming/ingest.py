@@ -2,36 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stopwise.operators.neighbours import with_previous
 from stopwise.operators.versions import allow_list_filter
-from stopwise.sources import schemas
 from stopwise.sources.feed import explode_feed
 from stopwise.sources.sinks import log_partitions
+from stopwise.streaming import changes
+from stopwise.streaming.changes import KEY, ORDER, STATE
+from stopwise.streaming.landing import land_snapshots, landed_snapshots
 
-KEY = ["trip_id", "stop_id"]
-STATE = ["schedule_relationship", "arrival_delay", "arrival_time", "departure_delay", "departure_time"]
-ORDER = ["poll", "entity_pos", "entity_id", "stop_pos"]
 MAX_IDLE_POLLS = 240
 POLLS_PER_BUCKET = 2880
-LATE_POLLS = 2
-# The event clock must start above the initial watermark of zero, else poll 0 counts as late.
-CLOCK_START = 1_000
+#: Polls that a key's state remembers, so that a poll that arrives late still falls into its place.
+LATE_POLLS = 30
+#: How long an untouched key is stored. Whether a key is new again is decided by polls, never by this.
+STATE_TTL_MS = 14 * 86_400_000
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 REPORT_DDL = (
     "betriebstag string, trip_id string, stop_id string, stop_sequence int, schedule_relationship string, "
     "arrival_delay int, arrival_time long, departure_delay int, departure_time long, observed_at long"
 )
-STATE_DDL = (
-    "schedule_relationship string, arrival_delay int, arrival_time long, departure_delay int, "
-    "departure_time long, poll long"
-)
+STREAM_DDL = f"{REPORT_DDL}, emission long, withdrawn boolean"
 
 
 def change_only(rows: DataFrame, max_idle: int = MAX_IDLE_POLLS) -> DataFrame:
@@ -58,53 +53,20 @@ def idle_evictions(rows: DataFrame, max_idle: int = MAX_IDLE_POLLS) -> DataFrame
     )
 
 
-def _changes(max_idle: int):
-    def per_key(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get if state.exists else None
-        rows = pd.concat(frames).sort_values(ORDER, kind="stable")
-        values = list(rows[[*STATE, "poll"]].astype(object).itertuples(index=False, name=None))
-        keep = []
-        for row in values:
-            row = tuple(None if pd.isna(v) else v for v in row)
-            keep.append(last is None or row[-1] - last[-1] > max_idle or row[:-1] != tuple(last[:-1]))
-            last = row
-        state.update(tuple(int(v) if isinstance(v, float) else v for v in last))
-        state.setTimeoutTimestamp((CLOCK_START + int(last[-1]) + max_idle + LATE_POLLS) * 1000)
-        out = rows[keep][[f.name for f in schemas.REPORT]]
-        if len(out):
-            yield out
-
-    return per_key
-
-
-def change_only_stream(rows: DataFrame, max_idle: int = MAX_IDLE_POLLS) -> DataFrame:
-    """`change_only` on a stream.
-
-    The poll number, read as seconds, is the event time: the watermark then advances by
-    polls, and the state of a key that does not come back is removed by the same count.
-    """
-    clock = F.timestamp_seconds(F.col("poll") + CLOCK_START)
-    clocked = rows.withColumn("poll_clock", clock).withWatermark("poll_clock", f"{LATE_POLLS} seconds")
-    return clocked.groupBy(*KEY).applyInPandasWithState(
-        _changes(max_idle), REPORT_DDL, STATE_DDL, "append", GroupStateTimeout.EventTimeTimeout
-    )
-
+def change_only_stream(
+    rows: DataFrame, max_idle: int = MAX_IDLE_POLLS, late_polls: int = LATE_POLLS, ttl_ms: int = STATE_TTL_MS
+) -> DataFrame:
+    """`change_only` on a stream, with `emission` and `withdrawn`; `scan_reports` settles the log.
 
-def read_snapshots(spark: SparkSession, folder: str, stream: bool = False, files_per_trigger: int = 1000) -> DataFrame:
-    """Snapshot files; a file that is no valid snapshot is dropped and costs only itself."""
-    schema = schemas.struct(**{f.name: f.dataType for f in schemas.FEED}, _corrupt=schemas.S)
-    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger) if stream else spark.read
-    return (
-        reader.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(folder)
-        .where(F.col("_corrupt").isNull() & F.col("entity").isNotNull())
-        .drop("_corrupt")
-    )
+    There is no watermark: the order of polls is kept per key, so no row is too late to count. An outage ages
+    nothing, because only polls decide whether a key is new again.
+    """
+    # the class travels with the plan, so no Python worker needs this library on its path
+    cloudpickle.register_pickle_by_value(changes)
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    # with processing time, an available-now run would go on forever with empty batches
+    rows.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    return rows.groupBy(*KEY).transformWithStateInPandas(changes.Changes(max_idle, late_polls, ttl_ms), STREAM_DDL, "Append", "ProcessingTime")
 
 
 def ingest(rows: DataFrame, allowed: DataFrame | None) -> DataFrame:
@@ -119,17 +81,20 @@ def stream_ingest(
     allow_list_path: str | None = None,
     max_idle: int = MAX_IDLE_POLLS,
     files_per_trigger: int = 1000,
+    late_polls: int = LATE_POLLS,
 ):
-    """Snapshot files -> flat rows -> allow-list -> changes only -> report log.
+    """Snapshot files -> numbered polls -> flat rows -> allow-list -> changes only -> report log.
 
-    Each run takes what has arrived and ends, and each run reads the allow-list anew. The
-    file sink commits whole micro-batches, so a repeated batch adds no rows.
+    Each run takes what has arrived and ends, and each run reads the allow-list anew. Both
+    steps commit whole micro-batches, so a repeated batch adds no rows.
     """
-    rows = explode_feed(read_snapshots(spark, snapshots, True, files_per_trigger))
+    landing = f"{checkpoint}-landing"
+    land_snapshots(spark, snapshots, landing, files_per_trigger)
+    rows = explode_feed(landed_snapshots(spark, landing, files_per_trigger))
     if allow_list_path:
         rows = allow_list_filter(rows, spark.read.parquet(allow_list_path))
     return (
-        log_partitions(change_only_stream(rows, max_idle))
+        log_partitions(change_only_stream(rows, max_idle, late_polls))
         .writeStream.format("parquet")
         .partitionBy("date", "hour")
         .option("compression", "zstd")

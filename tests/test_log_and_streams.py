@@ -15,7 +15,7 @@ from stopwise.plans.warehouse import Warehouse
 from stopwise.sources import feed as fd
 from stopwise.sources import scan, schemas, sinks
 from stopwise.sources.store import TableStore
-from stopwise.streaming import increments, ingest
+from stopwise.streaming import changes, increments, ingest, landing
 
 ROW = "poll long, entity_pos int, entity_id string, stop_pos int, trip_id string, stop_id string, schedule_relationship string, arrival_delay int"
 
@@ -99,6 +99,10 @@ def stop(seq, delay=None, rel="SCHEDULED"):
     return s
 
 
+def snapshots(spark, folder):
+    return landing.valid_snapshots(landing.read_snapshots(spark, folder))
+
+
 def snapshot_file(folder, name, poll, entities):
     os.makedirs(folder, exist_ok=True)
     with open(os.path.join(folder, name), "w") as f:
@@ -117,7 +121,7 @@ def snapshot_file(folder, name, poll, entities):
 )
 def test_explode_feed(spark, folder, entities, expected):
     snapshot_file(folder, "a.json", 0, entities)
-    rows = fd.explode_feed(ingest.read_snapshots(spark, folder))
+    rows = fd.explode_feed(snapshots(spark, folder))
     got = sorted(tuple(r) for r in rows.select("trip_id", "stop_id", "stop_sequence", "arrival_delay").collect())
     assert got == expected
     if expected and expected[0][1] == "" and entities[0]["tripUpdate"]["trip"]["scheduleRelationship"] == "CANCELED":
@@ -127,7 +131,7 @@ def test_explode_feed(spark, folder, entities, expected):
 def test_same_snapshot_twice_adds_nothing(spark, folder):
     for p in (0, 1):
         snapshot_file(folder, f"{p}.json", p, [entity(updates=[stop(1, 30), stop(2, 0)])])
-    assert ingest.change_only(fd.explode_feed(ingest.read_snapshots(spark, folder))).count() == 2
+    assert ingest.change_only(fd.explode_feed(snapshots(spark, folder))).count() == 2
 
 
 def test_stream_equals_batch_over_several_runs(spark, folder):
@@ -142,12 +146,93 @@ def test_stream_equals_batch_over_several_runs(spark, folder):
                 f.write("{ no json")
         if p in (2, 5, 8):
             ingest.stream_ingest(spark, src, log, cp, max_idle=3).awaitTermination()
-    batch = ingest.change_only(fd.explode_feed(ingest.read_snapshots(spark, src)), 3)
+    batch = ingest.change_only(fd.explode_feed(snapshots(spark, src)), 3)
+    cols = ["trip_id", "stop_id", "arrival_delay", "observed_at"]
+    got = sorted(map(tuple, scan.scan_reports(spark, log).select(*cols).collect()), key=repr)
+    assert got == sorted(map(tuple, batch.select(*cols).collect()), key=repr)
+
+
+def random_polls(rng, n):
+    return {
+        p: [entity(t, [stop(s, rng.choice([None, 0, 30])) for s in (1, 2)], key=t) for t in ("a", "b", "c") if rng.random() < 0.7]
+        for p in range(n)
+    }
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_changes_do_not_depend_on_the_order_of_arrival(seed):
+    """Net of withdrawals, any order and any cut into batches gives what brute force gives; rows delivered twice add nothing."""
+    rng = random.Random(seed)
+    data = [(p, e, f"e{e}", 0, "t", "s", "SCHEDULED", rng.choice([None, 0, 30])) for p in range(30) if rng.random() < 0.6 for e in range(rng.choice([1, 1, 2]))]
+    step = changes.Changes(4, 1 << 40, 0)
+    fields = step.FIELDS
+    full = []
+    for r in data:
+        values = dict.fromkeys(fields) | {"trip_id": r[4], "stop_id": r[5], "schedule_relationship": r[6], "arrival_delay": r[7], "observed_at": r[0] * 10 + r[1]}
+        full.append([*r[:4], *(values[f] for f in fields)])
+    rng.shuffle(full)
+    seen, out = {"next": None, "cut": False, "rows": []}, []
+    while full:
+        n = rng.randint(1, 4)
+        out += step.step(seen, full[:n] + full[:1])
+        seen = json.loads(json.dumps(seen))
+        full = full[n:]
+    gone = {r[-2] for r in out if r[-1]}
+    net = sorted(r[fields.index("observed_at")] for r in out if not r[-1] and r[-2] not in gone)
+    assert len({r[-2] for r in out if not r[-1]}) == sum(not r[-1] for r in out)
+    assert net == sorted(p * 10 + int(e[1:]) for p, e, _ in _brute_changes(data, 4))
+
+
+def test_remembered_polls_are_bounded_and_older_rows_are_not_lost():
+    step = changes.Changes(240, 3, 0)
+    row = lambda p, d: [p, 0, "e", 0, "d", "t", "s", 1, "SCHEDULED", d, None, None, None, p]
+    seen, out = {"next": None, "cut": False, "rows": []}, []
+    for p in range(20):
+        out += step.step(seen, [row(p, 0)])
+    assert len(out) == 1 and len(seen["rows"]) == 5
+    assert [(r[-3], r[-1]) for r in step.step(seen, [row(17, 9)])] == []
+    assert [(r[-3], r[-1]) for r in step.step(seen, [row(2, 7)])] == [(2, False)]
+
+
+def test_stream_takes_one_file_at_a_time_in_any_order(spark, folder):
+    """Polls arrive shuffled, one file a micro-batch, in three runs; one comes very late, one file is delivered twice."""
+    src, log, cp = f"{folder}/in", f"{folder}/log", f"{folder}/cp"
+    rng = random.Random(5)
+    polls = random_polls(rng, 10)
+    order = [0, 5, 2, 9, 1, 7, 8, 4, 6, 3]
+    for k, p in enumerate(order):
+        snapshot_file(src, f"{p}.json", p, polls[p])
+        os.utime(f"{src}/{p}.json", (1756500000 + p * 60,) * 2)
+        if k in (3, 6, 9):
+            ingest.stream_ingest(spark, src, log, cp, max_idle=3, files_per_trigger=1).awaitTermination()
+    batch = ingest.change_only(fd.explode_feed(snapshots(spark, src)), 3)
     cols = ["trip_id", "stop_id", "arrival_delay", "observed_at"]
     got = sorted(map(tuple, scan.scan_reports(spark, log).select(*cols).collect()), key=repr)
     assert got == sorted(map(tuple, batch.select(*cols).collect()), key=repr)
 
 
+def test_polls_without_number_are_counted_by_file_time(spark, folder):
+    """Pretty-printed documents, a header that stands still, no `poll`: each file is a poll of its own, and an outage ages nothing."""
+    src, log, cp = f"{folder}/in", f"{folder}/log", f"{folder}/cp"
+    os.makedirs(src)
+    for p, (delay, at) in enumerate([(30, 0), (30, 60), (None, 90_000), (30, 90_060), (45, 90_120)]):
+        updates = [stop(1, delay)] if delay is not None else []
+        with open(f"{src}/{p}.json", "w") as f:
+            f.write(json.dumps({"header": {"timestamp": 1756500000}, "entity": [entity(updates=updates)] if updates else []}, indent=2))
+        os.utime(f"{src}/{p}.json", (1756500000 + at,) * 2)
+        if p == 2:
+            with open(f"{src}/bad.json", "w") as f:
+                f.write("<html>busy</html>")
+            os.utime(f"{src}/bad.json", (1756500000 + at + 1,) * 2)
+        if p in (1, 4):
+            ingest.stream_ingest(spark, src, log, cp, max_idle=3, files_per_trigger=2).awaitTermination()
+    polls = spark.read.parquet(f"{cp}-landing/polls").select("poll", "polled_at").collect()
+    assert sorted((r.poll, r.polled_at - 1756500000) for r in polls) == [(0, 0), (1, 60), (2, 90_000), (3, 90_060), (4, 90_120)]
+    assert [os.path.basename(r.file) for r in spark.read.parquet(f"{cp}-landing/rejected").collect()] == ["bad.json"]
+    got = scan.scan_reports(spark, log).select("arrival_delay", "observed_at").collect()
+    assert sorted((r.observed_at - 1756500000, r.arrival_delay) for r in got) == [(0, 30), (90_120, 45)]
+
+
 def test_stream_filters_by_allow_list(spark, folder):
     snapshot_file(f"{folder}/in", "0.json", 0, [entity("a", [stop(1, 5)], key="1"), entity("z", [stop(1, 5)], key="2")])
     spark.createDataFrame([("a",)], "trip_id string").write.parquet(f"{folder}/allowed")
