@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stopwise.operators import frame, rollup
 from stopwise.plans.oracle_base import ONTIME
 from stopwise.plans.queries import LINE_DIR, Context, r6, register, rounded
-from stopwise.plans.queries_marts import _AGREE, _MASTER, _TOTALS
+from stopwise.plans.queries_marts import _MASTER, _TOTALS, _agree
 from stopwise.quality import checks
 from stopwise.streaming import increments, ingest
 
@@ -244,7 +244,7 @@ register("dq13_check_station_merge", lambda c: checks.check_station_merge(c.firs
          """SELECT schedule_version, station_id, count(DISTINCT station_source) AS forms, round(greatest(max(lat) - min(lat), max(lon) - min(lon)) * 111000) AS span_m
             FROM stops GROUP BY 1, 2 HAVING count(DISTINCT station_source) > 1 AND greatest(max(lat) - min(lat), max(lon) - min(lon)) * 111000 > 1000""", "schedule_version")
 register("dq14_check_axis_follows_plan", lambda c: checks.check_axis_follows_plan(c.stop_axis, c.first.axis_per_version),
-         _AGREE.format(version="(SELECT max(schedule_version) FROM axis)"))
+         f"SELECT * EXCLUDE (schedule_version) FROM ({_agree('SELECT max(schedule_version) AS schedule_version FROM axis')})")
 register("dq15_check_stop_has_position", lambda c: checks.check_stop_has_position(c.mart("stop_profile")),
          """SELECT route_id, direction, station_id, min(stop_name) AS stop_name, count(*) AS days, CAST(sum(planned_stops) AS BIGINT) AS planned_stops
             FROM stop_profile WHERE position IS NULL GROUP BY 1, 2, 3""")
@@ -289,23 +289,34 @@ register("dq22_schedule_staleness",
             WHERE date_diff('day', newest_version, d + INTERVAL 900 DAY) > 21""", "newest_version")
 
 
-def _finding_diff(c: Context) -> DataFrame:
-    """One finding per line direction; what the stop checks found is the current run."""
-    names = c.direction_names.select(F.concat_ws(" ", F.lit("unclear"), "direction_name", "route_id").alias("finding")).distinct()
-    previous = names.where(F.length("finding") % 2 == 0).select(
-        "finding", F.lit("2001-01-01 00:00:00").cast("timestamp_ntz").alias("since"), F.lit("2001-01-02 06:00:00").cast("timestamp_ntz").alias("reported")
+def _line_findings(c: Context, version) -> DataFrame:
+    """What a run over one version reports: every line with its course and mode."""
+    return c.lines.where(F.col("schedule_version") == version).select(
+        F.concat_ws(" ", F.lit("line"), "line", F.lit("runs"), "route_text", F.lit("as"), "mode").alias("finding"), "schedule_version"
     )
-    current = names.where(F.length("finding") % 3 == 0)
-    now = F.lit("2001-01-03 12:00:00").cast("timestamp_ntz")
-    return checks.finding_diff(previous, current, now).groupBy("key", "status").agg(F.count("*").alias("findings"))
+
+
+def _finding_diff(c: Context) -> DataFrame:
+    """The run over the newest version against the run over the one before; each reported at the date of its version."""
+    newest = c.lines.agg(F.max("schedule_version")).scalar()
+    earlier = c.lines.where(F.col("schedule_version") < newest).agg(F.max("schedule_version")).scalar()
+    at = F.col("schedule_version").cast("timestamp_ntz")
+    previous = _line_findings(c, earlier).select("finding", at.alias("since"), at.alias("reported"))
+    found = checks.finding_diff(previous, _line_findings(c, newest).select("finding"), newest.cast("timestamp_ntz"))
+    return found.select("key", "status", "finding", "age_days")
 
 
 _KEY = "regexp_replace(finding, '[0-9]+([.,][0-9]+)?', '#', 'g')"
-_NAMED = "SELECT DISTINCT 'unclear ' || coalesce(direction_name || ' ', '') || route_id AS finding FROM names"
+_LINE_RUN = "SELECT concat_ws(' ', 'line', line, 'runs', route_text, 'as', mode) AS finding FROM lines WHERE schedule_version = {0}"
+_NEWEST = "(SELECT max(schedule_version) FROM lines)"
+_EARLIER = f"(SELECT max(schedule_version) FROM lines WHERE schedule_version < {_NEWEST})"
 register("dq23_finding_diff", _finding_diff,
-         f"""SELECT coalesce(n.key, o.key) AS key, CASE WHEN o.key IS NULL THEN 'new' WHEN n.key IS NULL THEN 'vanished' ELSE 'lasting' END AS status, count(*) AS findings
-             FROM (SELECT DISTINCT {_KEY} AS key FROM ({_NAMED}) WHERE length(finding) % 3 = 0) n
-             FULL JOIN (SELECT DISTINCT {_KEY} AS key FROM ({_NAMED}) WHERE length(finding) % 2 = 0) o ON o.key = n.key GROUP BY 1, 2""")
+         f"""SELECT * FROM (WITH o AS (SELECT {_KEY} AS key, min(finding) AS finding FROM ({_LINE_RUN.format(_EARLIER)}) GROUP BY 1),
+             n AS (SELECT {_KEY} AS key, min(finding) AS finding FROM ({_LINE_RUN.format(_NEWEST)}) GROUP BY 1),
+             age AS (SELECT date_diff('day', {_EARLIER}, {_NEWEST}) AS days)
+             SELECT key, CASE WHEN o.key IS NULL THEN 'new' WHEN n.key IS NULL THEN 'vanished' WHEN days >= 1 THEN 'lasting' ELSE 'known' END AS status,
+                    coalesce(n.finding, o.finding) AS finding, CASE WHEN o.key IS NULL THEN 0 ELSE days END::BIGINT AS age_days
+             FROM n FULL JOIN o USING (key), age)""")
 
 
 def _escalation(c: Context) -> DataFrame:
@@ -325,3 +336,37 @@ register("dq24_finding_escalation", _escalation,
          """SELECT 'last seen ' || CAST(d AS VARCHAR) || ' on ' || translate(route_id, '0123456789', 'abcdefghij') AS finding, CAST(24 - dayofmonth(d) AS DOUBLE) AS age_hours,
             CASE WHEN 24 - dayofmonth(d) >= 24 THEN 'high' WHEN 24 - dayofmonth(d) >= 3 THEN 'raised' ELSE 'normal' END AS level
             FROM (SELECT route_id, max(service_day) AS d FROM line_profile GROUP BY 1)""")
+
+# -- checks on tables in which their rule is broken ---------------------------------------------------
+# The real tables keep most rules, so that a check that finds nothing proves little. Here a rule is broken
+# in a known part of the rows of the same table.
+
+
+
+def _seventh():
+    return F.when(F.dayofmonth(DAY) % 7 == 0, 1).otherwise(0)
+
+
+register("dq6_broken_states_sum", lambda c: checks.check_states_sum(c.mart("line_profile").withColumn("planned_stops", F.col("planned_stops") + _seventh())).select(DAY, *LINE_DIR),
+         "SELECT service_day, route_id, direction FROM line_profile WHERE day(service_day) % 7 = 0", DAY)
+register("dq7_broken_cover",
+         lambda c: checks.check_lines_cover_network(c.mart("line_profile"), c.mart("network_profile").withColumn(_RC[0], F.col(_RC[0]) + _seventh())),
+         f"""SELECT service_day, mode, {', '.join(f'CAST(sum(l.{m}) AS BIGINT) AS {m}_a' for m in _RC)},
+             {', '.join(f"any_value(n.{m}){' + 1' if m == _RC[0] else ''} AS {m}_b" for m in _RC)}
+             FROM line_profile l JOIN network n USING (service_day, mode) WHERE NOT on_demand AND day(service_day) % 7 = 0 GROUP BY 1, 2""", DAY)
+register("dq8_broken_single_source",
+         lambda c: checks.check_no_double_source(c.fact.unionByName(c.fact.where(F.dayofmonth(DAY) % 7 == 0).withColumn("source", F.concat("source", F.lit(" again"))))),
+         "SELECT DISTINCT service_day, route_id, source AS source_a, source || ' again' AS source_b FROM fact WHERE day(service_day) % 7 = 0", DAY)
+register("dq9_broken_subset", lambda c: checks.check_unmatched_subset(c.first.unmatched.withColumn("unmatched_trips", F.col("unmatched_trips") - 1_000_000 * _seventh())).select(DAY),
+         "SELECT service_day FROM unmatched WHERE day(service_day) % 7 = 0", DAY)
+_FLIPPED = "right(trip_id, 1) IN ('0', '2', '4', '6', '8')"
+register("dq12_broken_directions",
+         lambda c: checks.check_direction_agree(c.inferred_directions.withColumn(
+             "direction_by_ends", F.when(F.expr(_FLIPPED), 1 - F.col("direction")).otherwise(F.col("direction")).cast("tinyint"))),
+         f"SELECT route_id, count(*) FILTER (WHERE {_FLIPPED}) AS disagreeing FROM inferred WHERE direction IS NOT NULL GROUP BY 1 HAVING count(*) FILTER (WHERE {_FLIPPED}) > 1")
+register("dq14_broken_axis",
+         lambda c: checks.check_axis_follows_plan(c.stop_axis.withColumn("position", -F.col("position")), c.first.axis_per_version),
+         f"SELECT * EXCLUDE (schedule_version) FROM ({_agree('SELECT max(schedule_version) AS schedule_version FROM axis').replace('s.position,', '-s.position,')})")
+register("fn17_broken_slugs", lambda c: checks.assert_slug_unique(c.lines.unionByName(c.lines.withColumn("route_id", F.concat("route_id", F.lit("!"))))),
+         """SELECT trim(regexp_replace(lower(route_id), '[^a-z0-9]+', '-', 'g'), '-') AS slug, 2 * count(DISTINCT route_id) AS keys, min(route_id) AS example
+            FROM lines GROUP BY 1""")

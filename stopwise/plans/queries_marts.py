@@ -10,6 +10,7 @@ from stopwise.adapters.driver_tables import OPERATOR_PREFIX
 from stopwise.functions import text as tx
 from stopwise.operators import axis as ax
 from stopwise.operators import diagnostics, direction, rollup, staging, versions
+from stopwise.operators.neighbours import dense_numbers
 from stopwise.plans.oracle_base import MIN_TRIPS
 from stopwise.plans.queries import LINE_DIR, Context, r6, register, rounded
 from stopwise.quality import checks
@@ -292,20 +293,22 @@ register("wn13_is_cyclic", lambda c: ax.is_cyclic(c.pairs),
              (SELECT DISTINCT route_id, d, g FROM pair_edges)""")
 
 def _membership(c: Context) -> DataFrame:
-    base = c.first.seen.where(F.year("service_day") == 1998).select("trip_id").distinct()
+    """The trips of the newest observed day, looked up as of every observed day."""
+    newest = c.first.seen.agg(F.max(DAY)).scalar()
+    base = c.first.seen.where(F.col(DAY) == newest).select("trip_id").distinct()
     return versions.rolling_version_membership(base, c.first.all_trips, versions.observed_days(c.first.reports), 7)
 
 
 register("wn14_rolling_version_membership", _membership,
-         """SELECT w.service_day, min(w.v) AS window_from, max(w.v) AS window_to, count(DISTINCT t.trip_id) AS in_window,
-            (SELECT count(DISTINCT trip_id) FROM trips WHERE trip_id IN (SELECT trip_id FROM reports WHERE year(service_day) = 1998)) AS in_any,
-            (SELECT count(DISTINCT trip_id) FROM reports WHERE year(service_day) = 1998) AS base_trips,
-            CAST(count(DISTINCT t.trip_id) AS DOUBLE) / nullif((SELECT count(DISTINCT trip_id) FROM reports WHERE year(service_day) = 1998), 0) AS share
-            FROM (SELECT d.service_day, v.schedule_version AS v FROM (SELECT DISTINCT service_day FROM reports) d
-                  JOIN (SELECT DISTINCT schedule_version FROM trips) v ON v.schedule_version <= d.service_day
-                  QUALIFY row_number() OVER (PARTITION BY d.service_day ORDER BY v.schedule_version DESC) <= 7) w
-            LEFT JOIN (SELECT trip_id, schedule_version FROM trips WHERE trip_id IN (SELECT trip_id FROM reports WHERE year(service_day) = 1998)) t
-              ON t.schedule_version = w.v GROUP BY 1""", "service_day window_from window_to")
+         """WITH base AS (SELECT DISTINCT trip_id FROM reports WHERE service_day = (SELECT max(service_day) FROM reports)),
+            listed AS (SELECT list_sort(list(DISTINCT schedule_version)) AS all_versions FROM trips),
+            spans AS (SELECT service_day, list_filter(all_versions, lambda v: v <= service_day)[-7:] AS span FROM (SELECT DISTINCT service_day FROM reports), listed)
+            SELECT service_day, span[1] AS window_from, span[-1] AS window_to,
+              (SELECT count(DISTINCT t.trip_id) FROM trips t JOIN base USING (trip_id) WHERE t.schedule_version BETWEEN span[1] AND span[-1]) AS in_window,
+              (SELECT count(DISTINCT trip_id) FROM trips JOIN base USING (trip_id)) AS in_any, (SELECT count(*) FROM base) AS base_trips,
+              (SELECT count(DISTINCT t.trip_id) FROM trips t JOIN base USING (trip_id) WHERE t.schedule_version BETWEEN span[1] AND span[-1])
+                / nullif((SELECT count(*) FROM base), 0)::DOUBLE AS share
+            FROM spans WHERE len(span) > 0""", "service_day window_from window_to")
 _POLLS = "SELECT DISTINCT event_type AS source, date_trunc('minute', ts) AS polled_at FROM events"
 register("wn15_poll_gaps", lambda c: diagnostics.poll_gaps(event_feed.event_polls(c.spark, c.sf_dir), 600),
          f"""SELECT * FROM (SELECT source, lag(polled_at) OVER w AS gap_from, polled_at AS gap_to, date_diff('second', lag(polled_at) OVER w, polled_at) AS gap_sec
@@ -322,25 +325,30 @@ register("wn16_missing_hours", lambda c: diagnostics.missing_hours(c.log),
 register("wn17_last_n_days", lambda c: rollup.last_n_days(c.mart("network_profile"), ["mode"], 30).select(DAY, "mode", "planned_stops", "on_time_3min", F.col("day_rank").cast("long").alias("day_rank")),
          """SELECT service_day, mode, planned_stops, on_time_3min, dense_rank() OVER (PARTITION BY mode ORDER BY service_day DESC) AS day_rank FROM network
             QUALIFY dense_rank() OVER (PARTITION BY mode ORDER BY service_day DESC) <= 30""", DAY)
-_AGREE = """SELECT * FROM (SELECT lw.route_id, lw.direction, lw.station_id, CAST(row_number() OVER (PARTITION BY lw.route_id, lw.direction ORDER BY jv.nr) AS INTEGER) AS rank_planned,
-    CAST(row_number() OVER (PARTITION BY lw.route_id, lw.direction ORDER BY lw.position) AS INTEGER) AS rank_shown FROM stop_axis lw
-    JOIN axis jv ON jv.route_id = lw.route_id AND jv.direction IS NOT DISTINCT FROM lw.direction AND jv.station_id = lw.station_id
-     AND jv.schedule_version = {version}) WHERE rank_planned <> rank_shown"""
-register("wn18_rank_agreement",
-         lambda c: ax.rank_agreement(c.stop_axis, c.first.axis_per_version.where(F.col("schedule_version") == F.lit("1998-01-01").cast("date"))),
-         _AGREE.format(version="DATE '1998-01-01'"))
 
 
-def _ranking(c: Context, sort: str) -> DataFrame:
-    """The order itself as a column, since the comparison ignores row order."""
-    from pyspark.sql import Window
+def _agree(versions_: str) -> str:
+    """Stations of a line in plan order next to the same stations in shown order."""
+    return f"""SELECT schedule_version, route_id, direction, station_id, CAST(rank_planned AS INTEGER) AS rank_planned, CAST(list_position(shown, station_id) AS INTEGER) AS rank_shown
+        FROM (SELECT *, unnest(planned) AS station_id, generate_subscripts(planned, 1) AS rank_planned FROM (
+            SELECT p.schedule_version, p.route_id, p.direction, list(p.station_id ORDER BY p.nr, p.station_id) AS planned, list(p.station_id ORDER BY s.position, p.station_id) AS shown
+            FROM axis p SEMI JOIN ({versions_}) v ON v.schedule_version = p.schedule_version
+            JOIN stop_axis s ON (s.route_id, s.station_id) = (p.route_id, p.station_id) AND s.direction IS NOT DISTINCT FROM p.direction GROUP BY 1, 2, 3))
+        WHERE list_position(shown, station_id) <> rank_planned"""
+
+
+register("wn18_rank_agreement", lambda c: ax.rank_agreement(c.stop_axis, c.first.axis_per_version), _agree("SELECT schedule_version FROM axis"), "schedule_version")
 
-    share = F.when(F.col("assessable_stops") > 0, F.col("on_time_3min") / F.col("assessable_stops")).otherwise(F.lit(-1.0))
+
+def _ranking(c: Context, sort: str) -> DataFrame:
+    """The order itself as a column, since the comparison ignores row order; places are numbered in buckets of the order."""
     ranked = rollup.line_ranking(c.totals, sort)
-    first = F.col("assessable_stops").desc() if sort == "stops" else (share.desc() if sort == "share_desc" else share.asc())
-    then = F.col("planned_stops").desc() if sort == "stops" else F.col("assessable_stops").desc()
-    place_ = F.row_number().over(Window.orderBy(first, then, "route_id")).cast("long")
-    return ranked.select("route_id", "rank_value", "assessable_stops", place_.alias("place"))
+    stops, plan = -F.col("assessable_stops"), -F.col("planned_stops")
+    keys = {"stops": [stops, plan], "share_desc": [-F.col("rank_value"), stops], "share_asc": [F.col("rank_value"), stops]}[sort]
+    keyed = ranked.withColumn("_key", F.struct(keys[0].alias("first"), keys[1].alias("second"), F.col("route_id").alias("id")))
+    bucket = F.floor(-F.log2(1 - F.col("_key.first"))) if sort == "stops" else F.floor(F.col("_key.first") * 50)
+    numbers = dense_numbers(keyed, "_key", bucket, "_number")
+    return keyed.join(numbers, "_key").select("route_id", "rank_value", "assessable_stops", (F.col("_number") + 1).cast("long").alias("place"))
 
 
 _RANKED = f"""SELECT route_id, CASE WHEN assessable_stops > 0 THEN CAST(on_time_3min AS DOUBLE) / assessable_stops ELSE -1 END AS rank_value, assessable_stops, planned_stops FROM ({_TOTALS})"""

@@ -20,13 +20,15 @@ from stopwise.sources.store import lazy
 class Source:
     """Staging, frame and states of one source."""
 
-    def __init__(self, name: str, raw, stage_stops, min_trips: int, keep, bridge=None):
+    def __init__(self, name: str, raw, stage_stops, min_trips: int, keep, bridge=None, start=None, per_version=None):
         self.name = name
         self.raw = raw
         self.stage_stops = stage_stops
         self.min_trips = min_trips
         self.bridge = bridge
+        self.start = start
         self._keep = keep
+        self._per_version = per_version
 
     def keep(self, layer: str, build) -> DataFrame:
         return self._keep(f"{self.name}_{layer}", build)
@@ -71,7 +73,9 @@ class Source:
 
     @cached_property
     def seen(self) -> DataFrame:
-        return versions.observed_trips(self.reports)
+        """Trips by day; an incremental run looks at its window only, and all days follow from here."""
+        seen = versions.observed_trips(self.reports)
+        return seen if self.start is None else seen.where(F.col("service_day") >= F.lit(self.start))
 
     @cached_property
     def chosen_versions(self) -> DataFrame:
@@ -147,18 +151,31 @@ class Source:
     def runs(self) -> DataFrame:
         return ax.station_runs(self.trips, self.stop_times, self.stops)
 
+    def per_version(self, layer: str, build) -> DataFrame:
+        """`build(trips, stop_times, stops)`: from a store that builds each version once, or whole."""
+        tables = (self.trips, self.stop_times, self.stops)
+        if self._per_version is None:
+            return build(*tables)
+        return self._per_version(f"{self.name}_{layer}", self.trips, lambda only: build(*[only(t) for t in tables]))
+
     @cached_property
     def axis_per_version(self) -> DataFrame:
-        return self.keep("axis", lambda: ax.stop_axis_per_version(self.runs))
+        build = lambda *tables: ax.stop_axis_per_version(ax.station_runs(*tables))
+        if self._per_version is None:
+            return self.keep("axis", lambda: build(self.trips, self.stop_times, self.stops))
+        return self.per_version("axis", build)
 
 
 class Warehouse:
     """Both sources, the fact table and the marts."""
 
-    def __init__(self, raw, min_trips: int = versions.MIN_TRIPS, keep=lazy):
+    def __init__(self, raw, min_trips: int = versions.MIN_TRIPS, keep=lazy, start=None, per_version=None):
+        """`start`: first service day of an incremental run; `per_version`: `VersionStore.layer`."""
         self.raw = raw
         self.keep = keep
-        self.first = Source("first", self._raw("raw", dated=True), staging.stage_stops, min_trips, keep)
+        self.first = Source(
+            "first", self._raw("raw", dated=True), staging.stage_stops, min_trips, keep, start=start, per_version=per_version
+        )
         self.second = Source(
             "second",
             self._raw("second"),
@@ -166,6 +183,7 @@ class Warehouse:
             min_trips,
             keep,
             bridge=lambda: self.takeover,
+            start=start,
         )
 
     def _raw(self, prefix: str, dated: bool = False):
@@ -196,8 +214,7 @@ class Warehouse:
 
     @cached_property
     def trip_shapes(self) -> DataFrame:
-        s = self.first
-        return direction.trip_shape(s.trips, s.stop_times, s.stops)
+        return self.first.per_version("trip_shapes", direction.trip_shape)
 
     @cached_property
     def direction_names(self) -> DataFrame:
@@ -205,13 +222,11 @@ class Warehouse:
 
     @cached_property
     def position_partials(self) -> DataFrame:
-        s = self.first
-        return direction.position_partials(s.trips, s.stop_times, s.stops)
+        return self.first.per_version("position_partials", direction.position_partials)
 
     @cached_property
     def end_pairs(self) -> DataFrame:
-        s = self.first
-        return direction.end_pairs(s.trips, s.stop_times, s.stops)
+        return self.first.per_version("end_pairs", direction.end_pairs)
 
     @cached_property
     def second_runs(self) -> DataFrame:

@@ -129,7 +129,7 @@ def check_station_merge(stops: DataFrame) -> DataFrame:
 
 def check_axis_follows_plan(axis: DataFrame, axis_per_version: DataFrame) -> DataFrame:
     newest = axis_per_version.agg(F.max("schedule_version").alias("v")).scalar()
-    return ax.rank_agreement(axis, axis_per_version.where(F.col("schedule_version") == newest))
+    return ax.rank_agreement(axis, axis_per_version.where(F.col("schedule_version") == newest)).drop("schedule_version")
 
 
 def check_stop_has_position(stop_profile: DataFrame) -> DataFrame:

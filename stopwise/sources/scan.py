@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,31 +65,37 @@ def scan_schedule(spark: SparkSession, root: str, table: str, schema: T.StructTy
     return scan_or_empty(spark, f"{root}/v=*/{table}", empty, read)
 
 
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The column names of every file, from one job over the first lines."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "n").alias("line"))
+    names = first.select("file", F.split(F.regexp_replace("line", "[\ufeff\r\"]", ""), ",").alias("names"))
+    return {r.file: [n.strip() for n in r.names] for r in names.collect()}
+
+
 def scan_schedule_csv(spark: SparkSession, root: str, file: str, schema: T.StructType) -> DataFrame:
     """A CSV file of all versions as text, matched by column name.
 
-    Versions differ in column order, and one scan over many files would map columns by
-    position, so each version is its own scan and the union is by name.
+    Versions differ in their columns, and one scan maps columns by position, so each distinct header
+    is one scan over all versions that have it. Short rows end in nulls, surplus fields are dropped, and a quote inside an
+    unquoted field is a character like any other.
     """
 
     def read(paths: list[str]) -> DataFrame:
-        versions = [
-            spark.read.option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("encoding", "UTF-8")
-            .option("escape", '"')
-            .csv(p)
-            .withColumn("source_file", F.col("_metadata.file_path"))
-            for p in paths
-        ]
-        cleaned = [df.toDF(*[c.lstrip("﻿").strip() for c in df.columns]) for df in versions]
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cleaned)
-        present = [
-            F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
+        by_header: dict[tuple[str, ...], list[str]] = {}
+        for path, names in csv_headers(spark, paths).items():
+            by_header.setdefault(tuple(names), []).append(path)
+        scans = []
+        for names, files in by_header.items():
+            columns = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(names))])
+            rows = spark.read.schema(columns).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+            rows = rows.option("encoding", "UTF-8").option("escape", '"').csv(files)
+            wanted = [
+                (F.col(f"_{names.index(f.name)}") if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema
+            ]
+            scans.append(rows.select(*wanted, F.col("_metadata.file_path").alias("source_file")))
         version = F.to_date(F.regexp_extract("source_file", VERSION_IN_PATH, 1))
-        return rows.select(*present, version.alias("v"), "source_file")
+        return reduce(DataFrame.unionByName, scans).select(*schema.names, version.alias("v"), "source_file")
 
     empty = T.StructType(
         [*schema, T.StructField("v", T.DateType()), T.StructField("source_file", T.StringType())]
@@ -120,14 +127,25 @@ class FileTables:
     `prefix` stands before the names of the ingested tables, as in `<prefix>_trips.parquet`.
     """
 
-    def __init__(self, spark: SparkSession, root: str, lookups: str, second: str = "second", prefix: str = ""):
+    def __init__(
+        self, spark: SparkSession, root: str, lookups: str, second: str = "second", prefix: str = "",
+        since: dt.date | None = None, older: dict[str, DataFrame] | None = None,
+    ):
+        """`since`: first arrival date of reports to read; `older`: reports from before that all the same, by log folder."""
         def names(p: str) -> dict[str, str]:
             return {t: f"{p}_{t}.parquet" if p else f"{t}.parquet" for t in ("trips", "routes", "stop_times")}
 
+        def log(folder: str) -> DataFrame:
+            rows = scan_reports(spark, f"{root}/{folder}")
+            if since is not None:
+                rows = rows.where(F.col("date") >= F.lit(since))
+            rows = rows.select(*schemas.REPORT.names)
+            return rows.unionByName(older[folder]) if older else rows
+
         def source(reports: str, static: str) -> dict[str, DataFrame]:
             files = names(prefix)
             return {
-                "reports": scan_reports(spark, f"{root}/{reports}").select(*schemas.REPORT.names),
+                "reports": log(reports),
                 "trips": scan_schedule(spark, f"{root}/{static}", files["trips"], schemas.TRIPS),
                 "routes": scan_schedule(spark, f"{root}/{static}", files["routes"], schemas.ROUTES),
                 "stop_times": scan_schedule(spark, f"{root}/{static}", files["stop_times"], schemas.STOP_TIMES),
@@ -135,7 +153,8 @@ class FileTables:
                 "calendar": scan_schedule_csv(spark, f"{root}/{static}", "calendar.txt", schemas.CALENDAR),
             }
 
-        first, other = source("raw", "static"), source(f"raw-{second}", f"static-{second}")
+        self.logs = ["raw", f"raw-{second}"]
+        first, other = source(self.logs[0], "static"), source(self.logs[1], f"static-{second}")
         for name, df in first.items():
             setattr(self, f"raw_{name}", df)
         for name, df in other.items():

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopwise.functions import values as vl
 from stopwise.sources.scan import matching_paths
-from stopwise.sources.store import path_exists
+from stopwise.sources.store import path_exists, remove, replace_text
 
 
 def log_partitions(reports: DataFrame) -> DataFrame:
@@ -38,14 +39,20 @@ def write_reports(reports: DataFrame, root: str) -> None:
     )
 
 
+def unique_path(path: str, purpose: str) -> str:
+    """A name beside the path that no other run uses."""
+    return f"{path}__{purpose}-{uuid.uuid4().hex}"
+
+
 def write_incremental(df: DataFrame, path: str, key: str) -> None:
     """Replace exactly the keys of this batch (delete and insert by partition).
 
-    The batch is staged next to the table first, because it may read the table it replaces.
+    The batch is staged next to the table first, because it may read the table it replaces. Each run
+    stages under a name of its own, which is removed afterwards.
     """
     spark = df.sparkSession
-    staging = f"{path}__staging"
-    df.write.mode("overwrite").option("compression", "zstd").parquet(staging)
+    staging = unique_path(path, "staging")
+    df.write.option("compression", "zstd").parquet(staging)
     (
         spark.read.parquet(staging)
         .hint("rebalance", F.col(key))
@@ -55,6 +62,7 @@ def write_incremental(df: DataFrame, path: str, key: str) -> None:
         .partitionBy(key)
         .parquet(path)
     )
+    remove(spark, staging)
 
 
 def read_incremental(spark: SparkSession, path: str) -> DataFrame:
@@ -97,14 +105,42 @@ def write_schedule_version(tables: dict[str, DataFrame], root: str, version: dt.
     return True
 
 
+POINTER = "current"
+
+
 def write_allow_list(allowed: DataFrame, path: str) -> int:
-    """Replace the list; an empty one is an error and leaves the old list in place."""
+    """Replace the list; an empty one is an error and leaves the old list in place.
+
+    Lists stand side by side under names of their own; a pointer file names the one that holds, and it is
+    replaced in one step, so a reader finds the old list or the new one at any moment.
+    """
     if allowed.isEmpty():
         raise ValueError("no readable trip list; the previous one stays")
-    allowed.write.mode("overwrite").parquet(f"{path}__staging")
-    staged = allowed.sparkSession.read.parquet(f"{path}__staging")
-    staged.write.mode("overwrite").parquet(path)
-    return staged.count()
+    spark = allowed.sparkSession
+    name = f"list-{uuid.uuid4().hex}"
+    allowed.write.parquet(f"{path}/{name}")
+    replace_text(spark, f"{path}/{POINTER}", name)
+    return spark.read.parquet(f"{path}/{name}").count()
+
+
+def read_allow_list(spark: SparkSession, path: str) -> DataFrame:
+    """The list that holds; a folder without pointer is a list itself."""
+    if not path_exists(spark, f"{path}/{POINTER}"):
+        return spark.read.parquet(path)
+    return spark.read.parquet(f"{path}/{spark.read.text(f'{path}/{POINTER}').first()[0]}")
+
+
+def refresh_allow_list(spark: SparkSession, root: str, table: str, path: str, n: int) -> tuple[int, list[str]]:
+    """Builds the list from the newest n versions whose files can be read; returns its size and the files left out."""
+    from stopwise.operators.versions import allow_list
+    from stopwise.sources.scan import VERSION_IN_PATH
+
+    good, bad = readable_versions(spark, root, table)
+    if not good:
+        raise ValueError("no readable trip list; the previous one stays")
+    version = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), VERSION_IN_PATH, 1))
+    trips = spark.read.parquet(*good).withColumn("schedule_version", version)
+    return write_allow_list(allow_list(trips, n), path), bad
 
 
 def readable_versions(spark: SparkSession, root: str, table: str) -> tuple[list[str], list[str]]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file beside its place and moves it over the old one in one step."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = place.getFileSystem(conf).create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    renames = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    renames[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.getFileSystem(conf).getUri(), conf)
+    files.rename(files.makeQualified(draft), files.makeQualified(place), renames)
+
+
 class TableStore:
     """Tables of one application and one input folder."""
 

@@ -47,19 +47,16 @@ def recompute_newest_version(df: DataFrame, newest: dt.date) -> DataFrame:
 def lookup_signature(lookup: DataFrame) -> DataFrame:
     """Content hash of a lookup table, whatever its row order.
 
-    Rows are hashed first and the hashes folded per bucket, then over the 256 buckets.
+    Two 60-bit hashes of each row are added and xor-ed, so rows fold in any order, partly in each
+    task. Sums tell repeated rows apart, which cancel each other in an xor.
     """
     row = F.sha2(F.to_json(F.struct(*sorted(lookup.columns)), {"ignoreNullFields": "false"}), 256)
-    buckets = (
-        lookup.select(row.alias("h"))
-        .groupBy("h")
-        .agg(F.count("*").alias("n"))
-        .groupBy(F.substring("h", 1, 2).alias("b"))
-        .agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "h", "n"))), "|"), 256).alias("h"))
-    )
-    return buckets.agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat("b", "h"))), "|"), 256).alias("signature")
-    )
+    hashes = lookup.select(*[F.conv(F.substring(row, 1 + 15 * k, 15), 16, 10).cast("long").alias(f"h{k}") for k in range(2)])
+    folds = [F.count("*")]
+    for k in range(2):
+        folds += [F.sum(F.col(f"h{k}").cast("decimal(38,0)")), F.bit_xor(f"h{k}")]
+    parts = [F.coalesce(f.cast("string"), F.lit("0")) for f in folds]
+    return hashes.agg(F.sha2(F.concat_ws(":", *parts), 256).alias("signature"))
 
 
 def full_rebuild_guard(lookups: dict[str, DataFrame], logged: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stopwise.operators.neighbours import with_previous
 from stopwise.operators.versions import allow_list_filter
 from stopwise.sources.feed import explode_feed
-from stopwise.sources.sinks import log_partitions
+from stopwise.sources.sinks import log_partitions, read_allow_list
 from stopwise.streaming import changes
 from stopwise.streaming.changes import KEY, ORDER, STATE
 from stopwise.streaming.landing import land_snapshots, landed_snapshots
@@ -92,7 +92,7 @@ def stream_ingest(
     land_snapshots(spark, snapshots, landing, files_per_trigger)
     rows = explode_feed(landed_snapshots(spark, landing, files_per_trigger))
     if allow_list_path:
-        rows = allow_list_filter(rows, spark.read.parquet(allow_list_path))
+        rows = allow_list_filter(rows, read_allow_list(spark, allow_list_path))
     return (
         log_partitions(change_only_stream(rows, max_idle, late_polls))
         .writeStream.format("parquet")

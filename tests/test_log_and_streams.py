@@ -288,6 +288,22 @@ def test_csv_versions_with_other_column_order_and_bom(spark, folder):
     assert got == [(dt.date(2026, 8, 27), "a", "Alpha", "49.1"), (dt.date(2026, 8, 28), "b", "Beta", None)]
 
 
+def test_csv_with_ragged_rows_and_stray_quotes(spark, folder):
+    """Two versions share a header and one scan; short and long rows and quotes cost nothing."""
+    for v, text in (
+        ("2026-08-27", 'stop_id,stop_name,stop_lat\na,Platz "Mitte" 1,49.1\nb\nc,"doubled ""q"", comma",1,surplus\n'),
+        ("2026-08-28", "stop_id,stop_name,stop_lat\nd,Delta,2\n"),
+        ("2026-08-29", "stop_lat,stop_id\n3,e\n"),
+    ):
+        os.makedirs(f"{folder}/v={v}")
+        with open(f"{folder}/v={v}/stops.txt", "w", encoding="utf-8") as f:
+            f.write(text)
+    stops = scan.scan_schedule_csv(spark, folder, "stops.txt", schemas.STOPS)
+    got = sorted(tuple(r) for r in stops.select("stop_id", "stop_name", "stop_lat").collect())
+    assert got == [("a", 'Platz "Mitte" 1', "49.1"), ("b", None, None), ("c", 'doubled "q", comma', "1"), ("d", "Delta", "2"), ("e", None, "3")]
+    assert stops._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+
+
 def test_schedule_version_is_written_once(spark, folder):
     trips = spark.createDataFrame([("t", "r", "s", "0")], schemas.TRIPS)
     day = dt.date(2026, 8, 27)
@@ -302,7 +318,9 @@ def test_empty_allow_list_keeps_the_old_one(spark, folder):
     assert sinks.write_allow_list(spark.createDataFrame([("a",)], "trip_id string"), path) == 1
     with pytest.raises(ValueError):
         sinks.write_allow_list(spark.createDataFrame([], "trip_id string"), path)
-    assert spark.read.parquet(path).count() == 1
+    assert sinks.read_allow_list(spark, path).count() == 1
+    assert sinks.write_allow_list(spark.createDataFrame([("a",), ("b",)], "trip_id string"), path) == 2
+    assert sinks.read_allow_list(spark, path).count() == 2
 
 
 def test_unreadable_version_is_reported(spark, folder):
@@ -310,6 +328,12 @@ def test_unreadable_version_is_reported(spark, folder):
     os.makedirs(f"{folder}/v=2026-08-28")
     with open(f"{folder}/v=2026-08-28/trips.parquet", "w") as f:
         f.write("not parquet")
+    spark.createDataFrame([("t", "r"), ("u", "r")], "trip_id string, route_id string").write.parquet(f"{folder}/v=2026-08-29/agency.parquet")
+    os.makedirs(f"{folder}/v=2026-08-30")
+    with open(f"{folder}/v=2026-08-30/agency.parquet", "w") as f:
+        f.write("cut off")
+    size, left_out = sinks.refresh_allow_list(spark, folder, "agency.parquet", f"{folder}/list", 7)
+    assert size == 2 and len(left_out) == 1 and sorted(r.trip_id for r in sinks.read_allow_list(spark, f"{folder}/list").collect()) == ["t", "u"]
     good, bad = sinks.readable_versions(spark, folder, "trips.parquet")
     assert len(good) == 1 and len(bad) == 1 and "2026-08-28" in bad[0]
 
@@ -351,8 +375,9 @@ def test_lookup_signature_ignores_row_order(spark):
     a = spark.createDataFrame([("x", 1), ("y", None)], "k string, n int")
     b = spark.createDataFrame([("y", None), ("x", 1)], "k string, n int")
     c = spark.createDataFrame([("y", 0), ("x", 1)], "k string, n int")
-    sig = [increments.lookup_signature(d).first()[0] for d in (a, b, c)]
-    assert sig[0] == sig[1] != sig[2]
+    d = a.union(a)
+    sig = [increments.lookup_signature(x).first()[0] for x in (a, b, c, d, a.limit(0), a.repartition(5))]
+    assert sig[0] == sig[1] == sig[5] and len(set(sig)) == 4
 
 
 # -- real files in the stored layout ------------------------------------------------------------------
