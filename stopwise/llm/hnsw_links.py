@@ -1,55 +1,64 @@
 """Near-duplicate embeddings by hierarchical navigable small-world graphs, one per shard.
 
-Equal vectors are first collapsed to one row. The distinct vectors are dealt into shards by a hash; each shard
+Equal vectors are first collapsed to one row. The distinct vectors are dealt into shards of `SHARD_BYTES` by a hash; each shard
 builds a graph: every vector gets a random top level and is linked on each level to its nearest
-neighbours found by beam search. Then the vectors of every shard are searched in the graph of every shard: from the
-top level down to level 0 with a beam; what the beam finds at or above the threshold is expanded over its
-neighbours until nothing new appears. Cosines are verified in double precision. Each block of queries audits its
-recall in a shard: queries in random order are answered by brute force until `LINKED` of them have a link to another
-vector. While the beam finds less than `RECALL` of those links, or of the links of a query on average, it is doubled.
-Where it would exceed `WIDEST`, and where the block has fewer linked queries, brute force answers the whole block.
+neighbours found by beam search. A shard is one file in the shared folder. Then blocks of the vectors of every shard are searched in the graph of
+every shard: from the top level down to level 0 with a beam; what the beam finds at or above the threshold is expanded over its
+neighbours until nothing new appears. Cosines are verified in double precision. Each block audits its beam in a shard by two kinds of
+queries whose links are known: `AUDIT` probes, vectors of the shard turned in a random direction until their cosine to the vector
+is the threshold, which is as hard as a link gets; and the links that brute force finds for `AUDIT` random queries of the block. While the beam finds
+less than `PROBE_RECALL` of the probes or `RECALL` of the links, it is doubled; where it would exceed `WIDEST`, brute force answers the block.
 
 A block of queries against a shard returns how many links each query has (copies counted) and a spanning
 forest of the links, not the links themselves, so a dense group costs rows in proportion to its vectors.
 The forests are joined to connected components.
 
 Defined cases: null vectors, zero vectors, vectors with null or non-finite components link with nothing, not even
-with their copies; vectors of different lengths never link; rows that repeat a vector are linked with each other; a null
+with their copies; components of any finite size are scaled before the cosine; vectors of different lengths never link; rows that repeat a vector are linked with each other; a null
 id is never a representative, and rows of a component whose ids are all null have a null component. Other columns are not read.
 An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import io
 import math
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.llm.shared import components, cut, forest, ship
+from stopwise.llm.shared import components, cut, filesystem, forest, new_folder, ship, write_file
 
 THRESHOLD = 0.95
-SHARDS = 8
-#: Vectors of a shard, so that one shard's graph and one block of queries fit in a task; more rows make more shards.
-SHARD_ROWS = 100_000
+#: Bytes of the vectors of a shard, so that its graph and a block of queries fit in a task whatever the width.
+SHARD_BYTES = 64 << 20
+#: Queries that one task takes.
+BLOCK_ROWS = 8_192
 NEIGHBOURS = 12
 BUILD_BEAM = 32
 BEAM = 16
-WIDEST = 64
-#: Queries with a link that an audit sees; they are a sample of the sparse links too, not of one dense group alone.
-LINKED = 256
-#: Queries that an audit answers at a time, and cosines that brute force holds at a time.
-STEP = 512
+WIDEST = 256
+#: Probes, and queries answered by brute force, of an audit.
+AUDIT = 256
+#: Cosines that brute force holds at a time.
 COSINES = 1 << 22
 RECALL = 0.98
+#: Share of probes that the beam must find.
+PROBE_RECALL = 0.999
 LOCKSTEP = 1024
+#: Tasks; more blocks share them.
+MOST_TASKS = 20_000
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
     wide = vectors.astype(np.float64)
+    wide = wide / np.abs(wide).max(axis=1, keepdims=True)
     return wide / np.linalg.norm(wide, axis=1, keepdims=True)
 
 
@@ -202,10 +211,6 @@ class Graph:
         return np.concatenate(out_q) if out_q else np.zeros(0, int), np.concatenate(out_v) if out_v else np.zeros(0, int)
 
 
-def _pack(vectors: pd.Series, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), np.float64).reshape(-1, width)
-
-
 def verified(queries: np.ndarray, vectors: np.ndarray, q: np.ndarray, v: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs have a cosine of the threshold or more in double precision."""
     out = np.zeros(len(q), bool)
@@ -227,12 +232,24 @@ def exact(queries: np.ndarray, vectors: np.ndarray, threshold: float) -> tuple[n
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+def probes(own: np.ndarray, threshold: float, random: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """(queries, vectors): vectors of the shard turned at random until their cosine to the vector is just the threshold."""
+    place = random.permutation(len(own))[:AUDIT]
+    aside = random.normal(size=(len(place), own.shape[1]))
+    aside -= np.einsum("nd,nd->n", aside, own[place])[:, None] * own[place]
+    size = np.linalg.norm(aside, axis=1)
+    some = size > 1e-6
+    place, aside = place[some], aside[some] / size[some, None]
+    near = min(1.0, threshold + 1e-6)
+    return near * own[place] + math.sqrt(1 - near * near) * aside, place
+
+
 def search(
     graph: Graph, vectors: np.ndarray, queries: np.ndarray, threshold: float, reps: np.ndarray, q_reps: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """(query, vector, beam): links between different ids, with the beam that passed the audit (all vectors: brute force)."""
     wide, own = unit(queries), unit(vectors)
-    order = np.random.default_rng(11).permutation(len(wide))
+    random = np.random.default_rng(11)
 
     def links(some: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         if beam:
@@ -244,84 +261,104 @@ def search(
         other = q_reps[some[q]] != reps[v]
         return some[q[other]], v[other]
 
-    truth, linked, done = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0, 0
-    while done < len(order) and linked < LINKED:
-        truth.append(links(order[done : done + STEP], 0))
-        linked += len(np.unique(truth[-1][0]))
-        done = min(done + STEP, len(order))
-    q, v = np.concatenate([t[0] for t in truth]), np.concatenate([t[1] for t in truth])
-    if done == len(order):
-        return q, v, len(own)
-    audit, rest = order[:done], order[done:]
-    true = np.bincount(q, minlength=len(wide))
-    some = np.flatnonzero(true)
+    turned, origin = probes(own, threshold, random)
+    audit = random.permutation(len(wide))[:AUDIT]
+    true = np.bincount(links(audit, 0)[0], minlength=len(wide))
+    linked = np.flatnonzero(true)
     beam = BEAM
     while beam <= WIDEST:
-        found = np.bincount(links(audit, beam)[0], minlength=len(wide))[some]
-        if min(found.sum() / true[some].sum(), (found / true[some]).mean()) >= RECALL:
+        q, v = graph.within(turned, threshold, min(beam, len(own)))
+        recall = len(np.unique(q[v == origin[q]])) / max(1, len(turned))
+        good = recall >= PROBE_RECALL
+        if good and len(linked):
+            found = np.bincount(links(audit, beam)[0], minlength=len(wide))[linked]
+            good = min(found.sum() / true[linked].sum(), (found / true[linked]).mean()) >= RECALL
+        if good:
             break
         beam *= 2
-    more = links(rest, beam if beam <= WIDEST else 0)
-    return np.concatenate((q, more[0])), np.concatenate((v, more[1])), beam if beam <= WIDEST else len(own)
-
-
-def _build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("rep").reset_index(drop=True)
-    width = int(pdf["width"].iloc[0])
-    vectors = _pack(pdf["vector"], width)
-    graph = Graph(unit(vectors))
-    sizes = [len(m) for m in graph.members]
-    return pd.DataFrame(
-        {
-            "width": [width],
-            "shard": [pdf["shard"].iloc[0]],
-            "reps": [pdf["rep"].to_numpy(np.int64).tobytes()],
-            "copies": [pdf["copies"].to_numpy(np.int64).tobytes()],
-            "vectors": [vectors.tobytes()],
-            "sizes": [np.array(sizes, np.int64).tobytes()],
-            "members": [b"".join(m.astype(np.int64).tobytes() for m in graph.members)],
-            "neighbours": [b"".join(t.tobytes() for t in graph.neighbours)],
-        }
-    )
-
+    q, v = links(np.arange(len(wide)), beam if beam <= WIDEST else 0)
+    return q, v, beam if beam <= WIDEST else len(own)
+
+
+@dataclass
+class Shard:
+    """The file of a shard: ids, copies and vectors by place, and the graph."""
+
+    reps: np.ndarray
+    copies: np.ndarray
+    vectors: np.ndarray
+
+    def dump(self) -> bytes:
+        graph, out = Graph(unit(self.vectors)), io.BytesIO()
+        np.savez(
+            out,
+            reps=self.reps,
+            copies=self.copies,
+            vectors=self.vectors,
+            sizes=np.array([len(m) for m in graph.members], np.int64),
+            members=np.concatenate(graph.members),
+            neighbours=np.concatenate(graph.neighbours),
+        )
+        return out.getvalue()
+
+    @classmethod
+    def load_rows(cls, path: str) -> Shard:
+        fs, inner = filesystem(path)
+        with fs.open_input_file(inner) as source:
+            saved = np.load(io.BytesIO(source.read()))
+        return cls(saved["reps"], saved["copies"], saved["vectors"])
+
+    @classmethod
+    def load(cls, data: bytes) -> tuple[Shard, Graph]:
+        saved = np.load(io.BytesIO(data))
+        shard = cls(saved["reps"], saved["copies"], saved["vectors"])
+        graph = Graph.__new__(Graph)
+        graph.v = unit(shard.vectors).astype(np.float32)
+        ends = np.cumsum(saved["sizes"])[:-1]
+        graph.members, graph.neighbours = np.split(saved["members"], ends), np.split(saved["neighbours"], ends)
+        graph.place = []
+        for m in graph.members:
+            place = np.zeros(len(graph.v), np.int32)
+            place[m] = np.arange(len(m))
+            graph.place.append(place)
+        return shard, graph
+
+
+def _build_shard(folder: str):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep").reset_index(drop=True)
+        width, shard = int(pdf["width"].iloc[0]), int(pdf["shard"].iloc[0])
+        vectors = np.frombuffer(b"".join(pdf["vector"]), np.float64).reshape(-1, width)
+        name = f"{width}-{shard}-{uuid.uuid4().hex}"
+        write_file(f"{folder}/{name}", [Shard(pdf["rep"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64), vectors).dump()])
+        return pd.DataFrame({"width": [width], "shard": [shard], "file": [name], "n": [len(pdf)]})
 
-INDEX = "width int, shard int, reps binary, copies binary, vectors binary, sizes binary, members binary, neighbours binary"
+    return run
 
 
-def _load(row: dict) -> Graph:
-    vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["width"])
-    graph = Graph.__new__(Graph)
-    graph.v = unit(vectors).astype(np.float32)
-    sizes = np.frombuffer(row["sizes"], np.int64)
-    members = np.split(np.frombuffer(row["members"], np.int64), np.cumsum(sizes)[:-1])
-    tables = np.frombuffer(row["neighbours"], np.int32).reshape(-1, 2 * NEIGHBOURS)
-    graph.members = members
-    graph.neighbours = np.split(tables, np.cumsum(sizes)[:-1])
-    graph.place = []
-    for m in members:
-        place = np.zeros(len(vectors), np.int32)
-        place[m] = np.arange(len(m))
-        graph.place.append(place)
-    return graph
+@lru_cache(maxsize=1)
+def _load(path: str) -> tuple[Shard, Graph]:
+    fs, inner = filesystem(path)
+    with fs.open_input_file(inner) as source:
+        return Shard.load(source.read())
 
 
-def _search_shard(threshold: float):
+def _search_block(folder: str, threshold: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for row in pdf.to_dict("records"):
-                graph = _load(row)
-                own = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["width"])
-                queries = np.frombuffer(row["q_vectors"], np.float64).reshape(-1, row["width"])
-                reps, q_reps = np.frombuffer(row["reps"], np.int64), np.frombuffer(row["q_reps"], np.int64)
-                copies = np.frombuffer(row["copies"], np.int64)
-                q, v, beam = search(graph, own, queries, threshold, reps, q_reps)
-                links = np.bincount(q, copies[v], len(q_reps)).astype(np.int64)
-                tree = forest(q_reps[q], reps[v])
+            for task in pdf.to_dict("records"):
+                shard, graph = _load(f"{folder}/{task['file']}")
+                asked = shard if task["queries"] == task["file"] else Shard.load_rows(f"{folder}/{task['queries']}")
+                rows = slice(task["at"], task["at"] + BLOCK_ROWS)
+                q_reps = asked.reps[rows]
+                q, v, beam = search(graph, shard.vectors, asked.vectors[rows], threshold, shard.reps, q_reps)
+                links = np.bincount(q, shard.copies[v], len(q_reps)).astype(np.int64)
+                tree = forest(q_reps[q], shard.reps[v])
                 some = np.flatnonzero(links)
                 yield pd.DataFrame(
                     {
                         "a": np.concatenate((q_reps[some], q_reps[q[tree]])),
-                        "b": np.concatenate((q_reps[some], reps[v[tree]])),
+                        "b": np.concatenate((q_reps[some], shard.reps[v[tree]])),
                         "links": np.concatenate((links[some], np.zeros(len(tree), np.int64))),
                         "beam": beam,
                     }
@@ -330,9 +367,11 @@ def _search_shard(threshold: float):
     return run
 
 
-def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, shards: int = SHARDS) -> DataFrame:
-    """vec_id, n_links, component_id, kept of every row of (vec_id, embedding)."""
-    ship(rows.sparkSession)
+def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, shards: int = 1, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every row of (vec_id, embedding); `shards`: at least so many for a width."""
+    spark = rows.sparkSession
+    ship(spark)
+    folder = new_folder(spark, "hnsw")
     vector = F.col("embedding").cast("array<double>")
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     usable = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: number(x)) & F.exists("embedding", lambda x: x != 0)
@@ -347,21 +386,19 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, shards: int =
         .groupBy("k1", "k2")
         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     )
-    known = reps.where("rep is not null")
-    total = known.count()
-    n_shards = max(shards, math.ceil(total / SHARD_ROWS))
-    dealt = known.select(
-        "rep",
-        "copies",
-        F.size("embedding").alias("width"),
-        _bytes("embedding").alias("vector"),
-        F.pmod(F.xxhash64("rep"), F.lit(n_shards)).cast("int").alias("shard"),
+    known = reps.where("rep is not null").withColumn("width", F.size("embedding"))
+    parts = F.ceil(F.count("*") * F.col("width") * 8 / F.lit(shard_bytes)).cast("int")
+    sizes = known.groupBy("width").agg(F.greatest(F.lit(shards), parts).alias("shards"))
+    dealt = known.join(sizes, "width").select(
+        "rep", "copies", "width", _bytes("embedding").alias("vector"), F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int").alias("shard")
     )
-    index = cut(dealt.groupBy("width", "shard").applyInPandas(_build_shard, INDEX))
-    # every block of queries meets every shard of its width
-    blocks = index.select("width", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), F.col("reps").alias("q_reps"), F.col("vectors").alias("q_vectors"))
-    met = index.join(blocks.hint("shuffle_hash"), ["width", "shard"]).repartition(max(1, n_shards * n_shards), F.xxhash64("reps"), F.xxhash64("q_reps"))
-    found = cut(met.mapInPandas(_search_shard(threshold), "a long, b long, links long, beam long"))
+    index = cut(dealt.groupBy("width", "shard").applyInPandas(_build_shard(folder), "width int, shard int, file string, n long"))
+    # names of files only: every block of queries meets every shard of its width
+    blocks = index.select("width", F.col("file").alias("queries"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(BLOCK_ROWS).cast("long"))).alias("at"))
+    met = index.select("width", "file").join(blocks, "width")
+    n_tasks = index.groupBy("width").agg((F.count("*") * F.sum(F.ceil(F.col("n") / BLOCK_ROWS))).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    met = met.repartition(max(1, min(int(n_tasks), MOST_TASKS)), "file", "queries", "at")
+    found = cut(met.mapInPandas(_search_block(folder, threshold), "a long, b long, links long, beam long"))
     counts = found.where("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     group = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "rep")
     classes = reps.select("k1", "k2", "rep", "copies").join(counts, "rep", "left").join(group, "rep", "left")

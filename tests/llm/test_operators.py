@@ -182,6 +182,33 @@ def test_hnsw_finds_links_and_components(spark):
     assert all(got[600 + k].component_id == got[0].component_id for k in range(5))
 
 
+def test_hnsw_links_vectors_of_any_finite_size(spark):
+    rows = [(1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [1.0, 2.0]), (4, [-1e300, 1e300]), (5, [1e308, 1e308])]
+    got = hnsw_links.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rep", F.lit(1))).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5)}
+
+
+def test_hnsw_of_no_rows(spark):
+    assert hnsw_links.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_hnsw_beam_answers_sparse_links_not_all_products(monkeypatch):
+    """Few links, a beam far narrower than the shard: the graph gives them, and brute force sees only the audit's queries."""
+    random = np.random.default_rng(6)
+    own = random.normal(size=(20_000, 32))
+    queries = random.normal(size=(4_000, 32))
+    queries[:60] = own[:60] + random.normal(size=(60, 32)) * 0.2
+    a, b = hnsw_links.unit(queries), hnsw_links.unit(own)
+    want = set(zip(*map(np.ndarray.tolist, hnsw_links.exact(a, b, 0.95)), strict=True))
+    asked, plain = [], hnsw_links.exact
+    monkeypatch.setattr(hnsw_links, "exact", lambda q, *rest: asked.append(len(q)) or plain(q, *rest))
+    reps = np.arange(20_000)
+    q, v, beam = hnsw_links.search(hnsw_links.Graph(b), own, queries, 0.95, reps, reps[:4_000] + 20_000)
+    assert beam <= hnsw_links.WIDEST and sum(asked) <= hnsw_links.AUDIT
+    got = set(zip(q.tolist(), v.tolist(), strict=True))
+    assert got <= want and len(got) >= 0.95 * len(want) and len(want) >= 40
+
+
 @pytest.mark.parametrize("planted", [40, 1500])
 def test_hnsw_finds_planted_pairs_between_large_shards(planted):
     """Few linked queries are answered exactly; many are held to RECALL, both against brute force."""
@@ -216,7 +243,6 @@ def test_wavelet_store_gives_the_library_s_ids(spark, docs):
     path = public_tokenizers.path("word_bpe_49k.json")
     own = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     start, want = 0, []
     for r in sorted(own.collect(), key=lambda r: r.doc_id):
         ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1]
