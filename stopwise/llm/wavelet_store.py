@@ -38,7 +38,7 @@ RANK_BITS = 512
 #: Distinct words that a task keeps encoded; beyond it the memory starts anew.
 KNOWN_WORDS = 1 << 20
 MANIFEST = "part int, number int, path string, n_docs long, n_tokens long"
-DOCUMENTS = "part int, number int, place int, doc_id long, inner_start long, n_tokens long, ids_crc32 long"
+DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def planes_of(ids: np.ndarray, bits: int) -> tuple[list[bytes], list[int]]:
@@ -243,7 +243,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, shard_toke
     ship(spark)
     folder = folder or new_folder(spark, "wavelet")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     ordered.mapInArrow(_writer(f"{folder}/shards", tokenizer, shard_tokens), MANIFEST).write.parquet(f"{folder}/manifest")
     return folder
 
@@ -258,15 +258,13 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             view = memoryview(words).cast("B")
             ends = np.cumsum(shard.lengths)
             starts = ends - shard.lengths
+            before = r["first"]
             sums = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             n = shard.docs
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(n, r["part"], np.int32)),
-                    pa.array(np.full(n, r["number"], np.int32)),
-                    pa.array(np.arange(n, dtype=np.int32)),
                     pa.array(shard.doc_ids, mask=shard.named == 0),
-                    pa.array(starts),
+                    pa.array(starts + before),
                     pa.array(shard.lengths),
                     pa.array(np.array(sums, np.int64)),
                 ],
@@ -285,10 +283,8 @@ def read(spark, folder: str) -> DataFrame:
     firsts = (
         manifest.withColumn("inner", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
         .join(parts, "part")
-        .select("part", "number", (F.col("before") + F.col("inner")).alias("first"))
-    )
-    # one task per shard: a number that is given is not merged, however few bytes the paths have
-    docs = manifest.repartition(max(1, manifest.count()), "path").mapInArrow(_reader, DOCUMENTS)
-    return docs.join(firsts, ["part", "number"]).select(
-        "doc_id", (F.col("first") + F.col("inner_start")).alias("start"), "n_tokens", "ids_crc32"
+        .select("path", (F.col("before") + F.col("inner")).alias("first"))
     )
+    # names of shards with the tokens before them are all that moves; one task per shard: a number that is given is
+    # not merged, however few bytes the paths have
+    return firsts.repartition(max(1, manifest.count()), "path").mapInArrow(_reader, DOCUMENTS)
