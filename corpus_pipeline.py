@@ -1,8 +1,7 @@
 """A training-data pipeline over `documents`: quality, language, near-duplicates, benchmark passages, tokens.
 
 Each stage gets all documents that the one before it kept. All but the last return the columns of `documents`. Rows
-with null or repeated values pass as the operators define; rows without a doc_id cannot be referred to and
-stay through the near-duplicate stage.
+with null or repeated values pass as the operators define; the near-duplicate stage keeps one row of those that repeat id and text.
 """
 
 from __future__ import annotations
@@ -37,13 +36,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
+def with_row_key(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """docs with `_key`, one row for each pair of doc_id and text: the doc_id where it stands on one row, else a number above
+    2^62 made of id and text. Of rows that repeat id and text, the one of smallest values stays."""
+    often = cut(docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_often")))
+    marked = docs.join(often, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    once = marked.where("_often is null").drop("_often").withColumn("_key", F.col("doc_id").cast("long"))
+    both = F.xxhash64(F.col("doc_id"), F.col("text").isNull(), F.col("text"), F.reverse("text"))
+    rest = marked.where("_often").drop("_often").withColumn("_key", F.lit(1 << 62) + both.bitwiseAND((1 << 61) - 1))
+    single = rest.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*", "_key")
+    return once.unionByName(single)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of near copies; rows that repeat it stay once."""
-    found = bag_minhash.near_duplicates(docs).where("kept").groupBy("doc_id").count()
-    found = cut(found)
-    once = docs.join(found.where("count = 1"), "doc_id", "left_semi")
-    often = docs.join(found.where("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.union(often).union(docs.where("doc_id is null")).select(*docs.columns)
+    """Keeps the document of smallest id of each group of near copies. Rows are told apart by id and text, so texts that
+    share an id are neither lost nor brought back by it, and rows without id take part."""
+    keyed = with_row_key(spark, docs)
+    found = bag_minhash.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text")).where("kept")
+    return keyed.join(cut(found.select(F.col("doc_id").alias("_key"))), "_key", "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +64,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, and whether they decode to the text."""
     ranks = byte_ranks()
-    coded = byte_bpe.encode(docs.select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_sha256"), "text"), ranks)
+    rows = docs.select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_sha256"), "text")
+    # the ids are written before they are decoded, so that the tables of both directions never stand in one plan
+    path = f"{new_folder(spark, 'ids')}/ids"
+    byte_bpe.encode(rows, ranks).write.parquet(path)
+    coded = spark.read.parquet(path)
     return coded.select(
         "doc_id",
         "lang",
