@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by folds over distinct words.
 
 Texts are split before every space that precedes a character other than white space, and between a Latin letter
-and a mark of ASCII. No match of the tokenizer's pattern crosses such a place, so the ids of a text are those of its units in order. Documents are
-stored once, in compressed files of about `group_bytes` of text in the shared folder; they are not shuffled. Each distinct unit of a
+and a mark of ASCII. No match of the tokenizer's pattern crosses such a place, so the ids of a text are those of its units in order. A task numbers the words and units of its
+documents and stores these numbers beside the other columns, in compressed files of about `group_bytes` of text in the shared folder; texts are neither stored nor shuffled. Each distinct unit of a
 file is sent once, with the numbers of the file and of the unit in it, to where the unit is encoded: a higher-order fold takes the
 pattern's matches as arrays of bytes and merges, again and again, the neighbouring pair of lowest rank (the first of equal ones)
 until no pair has a rank. Ranks are a literal: an array of pairs of ids and the ranks they
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -35,7 +36,9 @@ from pyspark.sql import functions as F
 from stopwise.llm import textarrays as ta
 from stopwise.llm.shared import filesystem, new_folder, ship, write_file
 
-GROUP_BYTES = 40 << 20
+GROUP_BYTES = 32 << 20
+#: Input partitions whose files share the list of a unit; beyond them a unit is encoded once more.
+BLOCK_PARTITIONS = 1024
 BUCKETS = 8192
 #: Places of the table of pairs: enough for all pairs of a vocabulary of 50,000 tokens.
 FIRST_PLACES = 250_007
@@ -190,46 +193,87 @@ def _nullable(kind: pa.DataType) -> pa.DataType:
     return kind
 
 
+class _Numbers:
+    """The words of each text, the units of each word, and the units; all numbered in order of first appearance."""
+
+    def __init__(self):
+        self.word_number: defaultdict[str, int] = defaultdict()
+        self.word_number.default_factory = self.word_number.__len__
+        self.words: list[np.ndarray] = []
+
+    def add(self, texts: list[str | None]) -> None:
+        for text in texts:
+            words = _words(text) if text else []
+            self.words.append(np.fromiter(map(self.word_number.__getitem__, words), np.int32, len(words)))
+
+    def close(self) -> tuple[list[list[int]], list[str]]:
+        """The units of each word, and all units."""
+        unit_number: defaultdict[str, int] = defaultdict()
+        unit_number.default_factory = unit_number.__len__
+        parts = [[unit_number[u] for u in _units(w)] for w in self.word_number]
+        return parts, list(unit_number)
+
+
+def _ipc(table: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as stream:
+        stream.write_table(table)
+    return out.getvalue()
+
+
+def _lists(values: list) -> pa.Array:
+    sizes = np.fromiter(map(len, values), np.int64, len(values))
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    flat = np.concatenate(values) if values and isinstance(values[0], np.ndarray) else np.fromiter((k for v in values for k in v), np.int32, int(sizes.sum()))
+    return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+
+
 def _store(folder: str, group_bytes: int):
-    """Writes documents into files of about group_bytes of text; gives the number of each file."""
+    """Writes the other columns and the numbered words of documents into files of about group_bytes of text; gives the units of
+    each file and a row without unit for the file itself. A file is named at random, so what a repeated task emits and
+    writes belongs together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = TaskContext.get().partitionId() << 32
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal g, size
-            out = pa.BufferOutputStream()
-            with pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as stream:
-                for part in held:
-                    stream.write_batch(part)
-            write_file(f"{folder}/{g}.arrow", [out.getvalue()])
-            held.clear()
-            g, size = g + 1, 0
-            return pa.RecordBatch.from_arrays([pa.array([g - 1], pa.int64())], ["g"])
+        block = TaskContext.get().partitionId() // BLOCK_PARTITIONS
+        held: list[pa.Array] = []
+        numbers, size = _Numbers(), 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            g = uuid.uuid4().int >> 65
+            parts, units = numbers.close()
+            row = pa.chunked_array(held)
+            write_file(f"{folder}/{g}.rows", [_ipc(pa.table({"row": row, "words": _lists(numbers.words)}))])
+            write_file(f"{folder}/{g}.parts", [_ipc(pa.table({"units": _lists(parts)}))])
+            for k in range(0, len(units) + 1, 50_000):
+                some = pa.array([*units[k : k + 50_000], *([None] if k + 50_000 > len(units) else [])], pa.string())
+                number = np.arange(k, k + len(some), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), g)), pa.array(np.full(len(some), block, np.int32)), pa.array(number), some], ["g", "block", "k", "unit"]
+                )
 
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
             at = 0
             while at < batch.num_rows:
                 # rows up to the one that fills the file
-                upto = at + int(np.searchsorted(np.cumsum(sizes[at:]), group_bytes - size)) + 1
-                held.append(batch.slice(at, upto - at))
+                upto = min(batch.num_rows, at + int(np.searchsorted(np.cumsum(sizes[at:]), group_bytes - size)) + 1)
+                held.append(batch.column("row").slice(at, upto - at))
+                numbers.add(batch.column("text").slice(at, upto - at).to_pylist())
                 size += int(sizes[at:upto].sum())
                 at = upto
                 if size >= group_bytes:
-                    yield flush()
+                    yield from close()
+                    held, numbers, size = [], _Numbers(), 0
         if held:
-            yield flush()
+            yield from close()
 
     return run
 
 
-def _stored(folder: str, g: int) -> pa.Table:
-    fs, inner = filesystem(f"{folder}/{g}.arrow")
+def _read(path: str) -> pa.Table:
+    fs, inner = filesystem(path)
     with fs.open_input_file(inner) as source:
-        return pa.ipc.open_stream(source.read()).read_all()
+        return pa.ipc.open_stream(source.read()).read_all().combine_chunks()
 
 
 def _words(text: str) -> list[str]:
@@ -245,33 +289,6 @@ def _units(word: str) -> list[str]:
     return [word] if word[1:].isalpha() and word[0] == " " else [p for p in EXACT_MARK_CUT.split(word) if p]
 
 
-def _numbered(texts: list[str | None]) -> tuple[list[np.ndarray], list[list[int]], list[str]]:
-    """The words of each text, the units of each word, and the units; all numbered in order of first appearance."""
-    word_number: defaultdict[str, int] = defaultdict()
-    word_number.default_factory = word_number.__len__
-    unit_number: defaultdict[str, int] = defaultdict()
-    unit_number.default_factory = unit_number.__len__
-    found = []
-    for text in texts:
-        words = _words(text) if text else []
-        found.append(np.fromiter(map(word_number.__getitem__, words), np.int32, len(words)))
-    parts = [[unit_number[u] for u in _units(w)] for w in word_number]
-    return found, parts, list(unit_number)
-
-
-def _distinct_units(folder: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for g in batch.column("g").to_pylist():
-                units = _numbered(_stored(folder, g).column("text").to_pylist())[2]
-                for k in range(0, len(units), 50_000):
-                    some = pa.array(units[k : k + 50_000], pa.string())
-                    number = np.arange(k, k + len(some), dtype=np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), g)), pa.array(number), some], ["g", "k", "unit"])
-
-    return run
-
-
 class _Lists:
     """Lists of numbers, one after the other."""
 
@@ -285,51 +302,53 @@ class _Lists:
 
 
 def _assembler(folder: str, least: int):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        """left: the number of a file. right: the numbers of its units and their ids, less `least`."""
-        ids = right["ids"].combine_chunks()
-        ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
+    def run(coded: pa.Table) -> pa.Table:
+        """The numbers of a file's units and their ids, less `least`; the row without ids stands for the file."""
+        g = coded["g"][0].as_py()
+        coded = coded.filter(pc.is_valid(coded["ids"])).combine_chunks()
+        ids = coded["ids"].combine_chunks()
+        ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
         flat = np.asarray(ids.flatten().to_numpy(zero_copy_only=False)).astype(np.int32) + np.int32(least)
-        sizes = np.diff(np.asarray(ids.offsets)).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
-        coded = _Lists(flat, sizes)
+        lists = _Lists(flat, np.diff(np.asarray(ids.offsets)).astype(np.int64) if len(ids) else np.zeros(0, np.int64))
         # place[k]: where the ids of unit k came
-        place = np.argsort(right["k"].to_numpy())
-        docs = _stored(folder, left["g"][0].as_py())
-        found, parts, _ = _numbered(docs["text"].to_pylist())
-        units = np.fromiter((k for p in parts for k in p), np.int64)
-        words = _Lists(place[units], np.fromiter(map(len, parts), np.int64, len(parts)))
-        del parts, units
-        rows = [coded.of(words.of(f)) for f in found]
+        place = np.argsort(coded["k"].to_numpy())
+        docs = _read(f"{folder}/{g}.rows")
+        parts = _column(_read(f"{folder}/{g}.parts"), "units")
+        found = _column(docs, "words")
+        words = _Lists(place[parts.values.to_numpy()], np.diff(parts.offsets.to_numpy()))
+        bounds, flat_words = found.offsets.to_numpy(), found.values.to_numpy()
+        rows = [lists.of(words.of(flat_words[a:b])) for a, b in zip(bounds[:-1], bounds[1:])]
         lengths = [len(r) for r in rows]
         offsets = np.concatenate(([0], np.cumsum(lengths)))
         values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
         kind, place_type = (pa.LargeListArray, np.int64) if offsets[-1] >= 1 << 31 else (pa.ListArray, np.int32)
-        lists = kind.from_arrays(pa.array(offsets.astype(place_type)), values)
-        return pa.table({"row": docs["row"].cast(_nullable(docs.schema.field("row").type)), "ids": lists})
+        out = kind.from_arrays(pa.array(offsets.astype(place_type)), values)
+        return pa.table({"row": docs["row"].cast(_nullable(docs.schema.field("row").type)), "ids": out})
 
     return run
 
 
+def _column(table: pa.Table, name: str) -> pa.LargeListArray:
+    column = table[name]
+    return column.chunk(0) if column.num_chunks else pa.array([], column.type)
+
+
 def encode(docs: DataFrame, ranks: Ranks, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """docs without `text`, with a last column `ids` (array<int>). Stores the documents at once, in a new shared folder."""
+    """docs without `text`, with a last column `ids` (array<int>)."""
     spark = docs.sparkSession
     ship(spark)
-    folder = new_folder(spark, "bpe")
+    folder = f"{new_folder(spark, 'bpe')}/documents"
     names = [n for n in docs.columns if n not in ("text", "ids")]
     rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col("text").cast("string").alias("text"))
-    rows.mapInArrow(_store(f"{folder}/documents", group_bytes), "g long").write.parquet(f"{folder}/files")
-    files = spark.read.schema("g long").parquet(f"{folder}/files")
-    # a task for each file
-    own = files.repartition(max(1, files.count()), "g").mapInArrow(_distinct_units(f"{folder}/documents"), "g long, k int, unit string")
-    # the units of a file are distinct, so nothing can be gathered before the shuffle
-    units = own.repartition("unit").groupBy("unit").agg(F.collect_list(F.struct("g", "k")).alias("at"))
+    own = rows.mapInArrow(_store(folder, group_bytes), "g long, block int, k int, unit string")
+    # the units of a file are distinct, and a block has few files, so the list of a unit in a block is short
+    units = own.repartition("unit", "block").groupBy("unit", "block").agg(F.collect_list(F.struct("g", "k")).alias("at"))
     # ids travel as short numbers where they all fit
     least, number = (32768, "short") if max(ranks.ranks.values()) < 65536 else (0, "int")
     short = F.transform("ids", lambda i: (i - least).cast(number)).alias("ids")
     coded = encode_units(units, "unit", ranks).select("at", short).select(F.explode("at").alias("at"), "ids").select("at.g", "at.k", "ids")
     kind = rows.schema["row"].dataType.simpleString()
-    assemble = _assembler(f"{folder}/documents", least)
-    out = files.groupBy("g").cogroup(coded.groupBy("g")).applyInArrow(assemble, f"row {kind}, ids array<int>")
+    out = coded.groupBy("g").applyInArrow(_assembler(folder, least), f"row {kind}, ids array<int>")
     return out.select(*[F.col("row")[n].alias(n) for n in names], "ids")
 
 
