@@ -1,4 +1,4 @@
-"""The layers once more in DuckDB SQL, written independently of the Spark code.
+"""The layers once more in DuckDB SQL, from their descriptions: runs and axes as lists, ends and names as maps, holidays as single days.
 
 `CTES` maps a name to its SQL; `statement` puts the needed ones in front of a query.
 """
@@ -206,13 +206,11 @@ def _add_source(x: str, trips: str) -> None:
         FROM candidates{x} c JOIN (SELECT DISTINCT service_day, trip_id FROM reports{x}) b ON b.service_day = c.service_day
         LEFT JOIN trips{x} f ON f.trip_id = b.trip_id AND f.schedule_version = c.schedule_version
         GROUP BY 1, 2 HAVING count(*) >= {MIN_TRIPS}"""
-    CTES[f"chosen{x}"] = f"""SELECT j.service_day, coalesce(g.schedule_version, j.newest) AS schedule_version,
-        (SELECT min(schedule_version) FROM trips{x}) AS oldest_version,
-        round(CAST(g.resolved AS DOUBLE) / g.observed, 4) AS resolved_share, g.schedule_version IS NOT NULL AS version_measured
-        FROM (SELECT d.service_day, max(c.schedule_version) AS newest FROM (SELECT DISTINCT service_day FROM reports{x}) d
-              LEFT JOIN candidates{x} c ON c.service_day = d.service_day GROUP BY 1) j
-        LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY service_day ORDER BY resolved DESC, schedule_version DESC) AS r
-                   FROM scores{x}) g ON g.service_day = j.service_day AND g.r = 1"""
+    CTES[f"chosen{x}"] = f"""WITH best AS (SELECT service_day, max({{'hits': resolved, 'version': schedule_version, 'trips': observed}}) AS b FROM scores{x} GROUP BY 1),
+        newest AS (SELECT service_day, max(schedule_version) AS version FROM candidates{x} GROUP BY 1)
+        SELECT service_day, coalesce(b.version, newest.version) AS schedule_version, (SELECT min(schedule_version) FROM trips{x}) AS oldest_version,
+        round(b.hits::DOUBLE / b.trips, 4) AS resolved_share, b IS NOT NULL AS version_measured
+        FROM (SELECT DISTINCT service_day FROM reports{x}) LEFT JOIN best USING (service_day) LEFT JOIN newest USING (service_day)"""
     CTES[f"days{x}"] = f"""SELECT service_day, coalesce(schedule_version, oldest_version) AS schedule_version,
         schedule_version IS NULL AS version_substituted FROM chosen{x}"""
     CTES[f"regular{x}"] = f"""SELECT t.*, c.service_id FROM days{x} t JOIN calendar{x} c ON c.schedule_version = t.schedule_version
@@ -261,49 +259,38 @@ def _add_source(x: str, trips: str) -> None:
 _add_source("", "trips")
 _add_source("2", "trips2b")
 
-CTES["unmatched"] = """SELECT service_day, max(schedule_version) AS schedule_version, count(DISTINCT trip_id) AS observed_trips,
-    count(DISTINCT trip_id) FILTER (WHERE u) AS unmatched_trips, count(*) AS observed_stops, count(*) FILTER (WHERE u) AS unmatched_stops
-    FROM (SELECT b.service_day, b.trip_id, g.schedule_version, f.trip_id IS NULL AS u
-          FROM (SELECT DISTINCT service_day, trip_id, stop_id, stop_sequence FROM reports WHERE stop_id IS NOT NULL) b
-          JOIN days g ON g.service_day = b.service_day
-          LEFT JOIN trips f ON f.trip_id = b.trip_id AND f.schedule_version = g.schedule_version) GROUP BY 1"""
+CTES["reported_stops"] = """SELECT DISTINCT service_day, trip_id, stop_id, stop_sequence FROM reports WHERE stop_id IS NOT NULL"""
+CTES["unmatched"] = """SELECT service_day, schedule_version, len(list_distinct(trip_list)) AS observed_trips,
+    len(list_distinct(list_filter(trip_list, lambda t, i: NOT listed[i]))) AS unmatched_trips, len(trip_list) AS observed_stops,
+    len(list_filter(listed, lambda x: NOT x)) AS unmatched_stops
+    FROM (SELECT service_day, d.schedule_version, list(trip_id) AS trip_list, list((trip_id, d.schedule_version) IN (SELECT (trip_id, schedule_version) FROM trips)) AS listed
+          FROM reported_stops JOIN days d USING (service_day) GROUP BY service_day, d.schedule_version)"""
 
 # -- directions -------------------------------------------------------------------------------
 
-CTES["shapes"] = """SELECT f.route_id, f.direction, f.trip_id, f.schedule_version, max(n) AS stops,
-    max(CASE WHEN nr = n THEN name END) AS last_stop, max(CASE WHEN nr = 1 THEN station_id END) AS first_station,
-    max(CASE WHEN nr = n THEN station_id END) AS last_station,
-    max(CASE WHEN nr = greatest(2, CAST(n * 0.25 AS INT)) THEN name END) AS quarter_stop
-    FROM trips f JOIN (SELECT sh.trip_id, sh.schedule_version, h.station_id, coalesce(h.station_name, h.stop_name, sh.stop_id) AS name,
-          row_number() OVER (PARTITION BY sh.trip_id, sh.schedule_version ORDER BY stop_sequence) AS nr,
-          count(*) OVER (PARTITION BY sh.trip_id, sh.schedule_version) AS n
-          FROM stop_times sh LEFT JOIN stops h ON h.stop_id = sh.stop_id AND h.schedule_version = sh.schedule_version) x
-      ON x.trip_id = f.trip_id AND x.schedule_version = f.schedule_version GROUP BY 1, 2, 3, 4"""
-CTES["shape_trip"] = """SELECT route_id, direction, trip_id, max(last_stop) AS last_stop, max(first_station) AS first_station,
-    max(last_station) AS last_station, max(quarter_stop) AS quarter_stop FROM shapes GROUP BY 1, 2, 3"""
-for _name, _col in (("top_end", "last_stop"), ("top_quarter", "quarter_stop")):
-    CTES[_name] = f"""SELECT route_id, direction, {_col}, count(*) AS n FROM shape_trip WHERE {_col} IS NOT NULL GROUP BY 1, 2, 3
-        QUALIFY row_number() OVER (PARTITION BY route_id, direction ORDER BY count(*) DESC, {_col}) = 1"""
-CTES["names"] = """SELECT r.route_id, r.direction,
-    CASE WHEN k.shared AND v.quarter_stop IS NOT NULL THEN 'via ' || v.quarter_stop ELSE e.last_stop END AS direction_name,
-    CASE WHEN k.shared AND v.quarter_stop IS NOT NULL THEN 'via' ELSE 'last_stop' END AS name_rule,
-    e.n AS trips_to_it, r.trips, round(1 - CAST(e.n AS DOUBLE) / r.trips, 4) AS short_run_share,
-    round(CAST(r.loops AS DOUBLE) / r.trips, 4) AS loop_share
-    FROM (SELECT route_id, direction, count(*) AS trips, count(*) FILTER (WHERE first_station = last_station) AS loops
-          FROM shape_trip GROUP BY 1, 2) r
-    LEFT JOIN top_end e ON e.route_id = r.route_id AND e.direction IS NOT DISTINCT FROM r.direction
-    LEFT JOIN top_quarter v ON v.route_id = r.route_id AND v.direction IS NOT DISTINCT FROM r.direction
-    LEFT JOIN (SELECT route_id, count(*) > count(DISTINCT last_stop) AS shared FROM top_end GROUP BY 1) k ON k.route_id = r.route_id"""
+CTES["trip_ways"] = """SELECT trip_id, schedule_version, list(coalesce(h.station_name, h.stop_name, t.stop_id) ORDER BY stop_sequence) AS called,
+    list(h.station_id ORDER BY stop_sequence) AS way FROM stop_times t LEFT JOIN stops h USING (stop_id, schedule_version) GROUP BY 1, 2"""
+CTES["shapes"] = """SELECT route_id, direction, trip_id, schedule_version, len(way) AS stops, called[-1] AS last_stop, way[1] AS first_station, way[-1] AS last_station,
+    called[greatest(2, CAST(len(way) * 0.25 AS INT))] AS quarter_stop FROM trip_ways JOIN trips USING (trip_id, schedule_version)"""
+_FIRST_BY_COUNT = "list_sort(list_transform(map_entries({0}), lambda e: {{'less': -e.value::BIGINT, 'stop': e.key}}))[1]"
+CTES["line_ends"] = f"""SELECT route_id, direction, trips, loops, {_FIRST_BY_COUNT.format("ends")} AS top, {_FIRST_BY_COUNT.format("quarters")} AS quarter
+    FROM (SELECT route_id, direction, count(*) AS trips, count(*) FILTER (WHERE a = z) AS loops, histogram(last_stop) AS ends, histogram(quarter_stop) AS quarters
+          FROM (SELECT route_id, direction, trip_id, max(first_station) AS a, max(last_station) AS z, max(last_stop) AS last_stop, max(quarter_stop) AS quarter_stop
+                FROM shapes GROUP BY ALL) GROUP BY route_id, direction)"""
+CTES["names"] = """WITH told AS (SELECT route_id, list(top.stop) FILTER (WHERE top IS NOT NULL) AS tops FROM line_ends GROUP BY route_id),
+    ruled AS (SELECT *, quarter IS NOT NULL AND len(tops) > len(list_distinct(tops)) AS by_quarter FROM line_ends JOIN told USING (route_id))
+    SELECT route_id, direction, if(by_quarter, 'via ' || quarter.stop, top.stop) AS direction_name, if(by_quarter, 'via', 'last_stop') AS name_rule,
+    -top.less AS trips_to_it, trips, round(1 - (-top.less)::DOUBLE / trips, 4) AS short_run_share, round(loops::DOUBLE / trips, 4) AS loop_share FROM ruled"""
 CTES["partials"] = """SELECT f.schedule_version, f.route_id, h.station_id, sum(CAST(s.stop_sequence AS DOUBLE) / g.last_seq) AS position_sum,
     count(*) AS position_n FROM trips f JOIN stop_times s USING (trip_id, schedule_version)
     JOIN (SELECT trip_id, schedule_version, max(stop_sequence) AS last_seq FROM stop_times GROUP BY 1, 2) g USING (trip_id, schedule_version)
     JOIN stops h ON h.stop_id = s.stop_id AND h.schedule_version = s.schedule_version WHERE f.direction = 0 GROUP BY 1, 2, 3"""
 CTES["pos_mean"] = "SELECT route_id, station_id, sum(position_sum) / sum(position_n) AS position FROM partials GROUP BY 1, 2"
-CTES["pairs"] = """SELECT DISTINCT f.schedule_version, f.route_id, f.direction, a.station_id AS first_station, b.station_id AS last_station
-    FROM trips f JOIN (SELECT trip_id, schedule_version, arg_min(stop_id, stop_sequence) AS fs, arg_max(stop_id, stop_sequence) AS ls
-                       FROM stop_times GROUP BY 1, 2) e USING (trip_id, schedule_version)
-    JOIN stops a ON a.stop_id = e.fs AND a.schedule_version = f.schedule_version
-    JOIN stops b ON b.stop_id = e.ls AND b.schedule_version = f.schedule_version"""
+CTES["station_maps"] = "SELECT schedule_version, map_from_entries(list((stop_id, station_id))) AS station FROM stops GROUP BY 1"
+CTES["pairs"] = """SELECT DISTINCT schedule_version, route_id, direction, station[stop_list[1]] AS first_station, station[stop_list[-1]] AS last_station
+    FROM (SELECT trip_id, schedule_version, list(stop_id ORDER BY stop_sequence) AS stop_list FROM stop_times GROUP BY 1, 2)
+    JOIN trips USING (trip_id, schedule_version) JOIN station_maps USING (schedule_version)
+    WHERE station[stop_list[1]] IS NOT NULL AND station[stop_list[-1]] IS NOT NULL"""
 CTES["runs2"] = """SELECT f.route_id, f.trip_id, f.schedule_version, h.station_id, s.stop_sequence, g.first_seq, g.last_seq,
     CAST(s.stop_sequence AS DOUBLE) / g.last_seq AS position
     FROM trips2b f JOIN stop_times2 s USING (trip_id, schedule_version)
@@ -312,13 +299,13 @@ CTES["runs2"] = """SELECT f.route_id, f.trip_id, f.schedule_version, h.station_i
     JOIN stops2 h ON h.stop_id = s.stop_id AND h.schedule_version = s.schedule_version"""
 CTES["corr2"] = """SELECT o.route_id, o.trip_id, o.schedule_version, count(*) AS common_stops, corr(o.position, v.position) AS r
     FROM runs2 o JOIN pos_mean v ON v.route_id = o.route_id AND v.station_id = o.station_id GROUP BY 1, 2, 3"""
-CTES["crosscheck2"] = """SELECT e.route_id, e.trip_id, e.schedule_version, coalesce(p.direction, n.direction) AS direction_by_ends
-    FROM (SELECT route_id, trip_id, schedule_version, max(CASE WHEN stop_sequence = first_seq THEN station_id END) AS fs,
-                 max(CASE WHEN stop_sequence = last_seq THEN station_id END) AS ls FROM runs2 GROUP BY 1, 2, 3) e
-    LEFT JOIN (SELECT route_id, first_station, last_station, min(direction) AS direction FROM pairs GROUP BY 1, 2, 3
-               HAVING count(DISTINCT direction) = 1) p ON p.route_id = e.route_id AND p.first_station = e.fs AND p.last_station = e.ls
-    LEFT JOIN (SELECT route_id, last_station, min(direction) AS direction FROM pairs GROUP BY 1, 2
-               HAVING count(DISTINCT direction) = 1) n ON n.route_id = e.route_id AND n.last_station = e.ls"""
+CTES["end_votes"] = """SELECT route_id, first_station, last_station, list_distinct(list(direction)) AS votes FROM pairs
+    GROUP BY GROUPING SETS ((route_id, first_station, last_station), (route_id, last_station))"""
+CTES["crosscheck2"] = """WITH told AS (SELECT map_from_entries(list(((route_id, first_station, last_station), votes[1]))) AS vote FROM end_votes WHERE len(votes) = 1),
+    run_ends AS (SELECT route_id, trip_id, schedule_version, any_value(station_id) FILTER (WHERE stop_sequence = first_seq) AS a,
+                 any_value(station_id) FILTER (WHERE stop_sequence = last_seq) AS z FROM runs2 GROUP BY ALL)
+    SELECT route_id, trip_id, schedule_version,
+      coalesce(CASE WHEN a IS NOT NULL THEN vote[(route_id, a, z)] END, vote[(route_id, CAST(NULL AS VARCHAR), z)]) AS direction_by_ends FROM run_ends, told"""
 CTES["inferred"] = """SELECT k.route_id, k.trip_id, k.schedule_version, k.common_stops, round(k.r, 4) AS correlation,
     CAST(CASE WHEN k.r > 0 THEN 0 ELSE 1 END AS TINYINT) AS direction, c.direction_by_ends
     FROM corr2 k JOIN crosscheck2 c USING (route_id, trip_id, schedule_version)
@@ -348,40 +335,61 @@ CTES["fact_second"] = f"""SELECT h.service_day, r.route_id, r.direction, h.trip_
       ON vs.station_id = oh.station_id AND vs.schedule_version = vv.schedule_version"""
 CTES["fact"] = "SELECT * FROM fact_first UNION ALL SELECT * FROM fact_second"
 
+# -- the second source as a candidate ------------------------------------------------------
+
+CTES["offered2"] = """SELECT DISTINCT service_day, line, mode, trip_id FROM chosen2 JOIN calendar2 USING (schedule_version) JOIN trips2 USING (schedule_version, service_id)
+    JOIN lines2 USING (schedule_version, route_id) WHERE weekday = lower(dayname(service_day)) AND service_day >= start_date AND service_day <= end_date"""
+CTES["told2"] = """SELECT DISTINCT service_day, line, mode, reports2.trip_id FROM reports2 JOIN chosen2 USING (service_day)
+    JOIN trips2 ON (trips2.trip_id, trips2.schedule_version) = (reports2.trip_id, chosen2.schedule_version)
+    JOIN lines2 ON (lines2.route_id, lines2.schedule_version) = (trips2.route_id, trips2.schedule_version)"""
+CTES["offer"] = """SELECT line, mode, count(*) AS planned_trips, count(DISTINCT service_day) AS days,
+      (SELECT count(*) FROM told2 SEMI JOIN offered2 o USING (service_day, line, mode) WHERE told2.line = p.line AND told2.mode = p.mode) AS seen_trips
+    FROM offered2 p GROUP BY line, mode"""
+CTES["first_lines"] = f"""SELECT route_id, line, mode, count(*) AS first_planned_stops, count(*) FILTER (WHERE state IN ('measured', 'departure_only')) AS first_assessable_stops,
+    count(DISTINCT service_day) AS first_days FROM states JOIN trips USING (trip_id, schedule_version) JOIN lines USING (route_id, schedule_version) GROUP BY ALL"""
+
 # -- axis -----------------------------------------------------------------------------------
 
 
 def place(runs: str, reference: str, group: list[str]) -> str:
+    """Known stations keep their number. Each run is a list of stations next to a list of their numbers; a station without number
+    lies between the last number before it and the first one after it, and shares that gap with the others of the run that do."""
     g = ", ".join(group)
-    lg = ", ".join(f"l.{c}" for c in group)
     on = " AND ".join(f"r.{c} IS NOT DISTINCT FROM l.{c}" for c in group)
-    return f"""SELECT {g}, station_id, CAST(nr AS DOUBLE) AS pos FROM {reference} UNION ALL
-    SELECT {lg}, l.station_id, l.pos FROM (
-      SELECT {g}, station_id, median(CASE WHEN b IS NOT NULL AND a IS NOT NULL THEN b + CAST(k * (a - b) AS DOUBLE) / (m + 1)
-             WHEN b IS NOT NULL THEN b + CAST(k AS DOUBLE) / (m + 1) WHEN a IS NOT NULL THEN a - CAST(m + 1 - k AS DOUBLE) / (m + 1) END) AS pos
-      FROM (SELECT *, row_number() OVER (PARTITION BY {g}, run_id, b, a ORDER BY step) AS k, count(*) OVER (PARTITION BY {g}, run_id, b, a) AS m
-            FROM (SELECT {lg}, l.run_id, l.step, l.station_id, r.nr,
-                  last_value(r.nr IGNORE NULLS) OVER (PARTITION BY {lg}, l.run_id ORDER BY l.step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b,
-                  first_value(r.nr IGNORE NULLS) OVER (PARTITION BY {lg}, l.run_id ORDER BY l.step ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS a
-                  FROM {runs} l LEFT JOIN {reference} r ON {on} AND r.station_id = l.station_id) WHERE nr IS NULL)
-      GROUP BY {g}, station_id) l
-    WHERE l.pos IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {reference} r WHERE {on} AND r.station_id = l.station_id)"""
+    lg = ", ".join(f"l.{c}" for c in group)
+    listed = f"""SELECT {lg}, l.run_id, list(l.station_id ORDER BY l.step) AS way, list(r.nr ORDER BY l.step) AS known
+        FROM {runs} l LEFT JOIN {reference} r ON {on} AND r.station_id = l.station_id GROUP BY ALL"""
+    fenced = f"""SELECT *, list_transform(range(1, len(way) + 1), lambda i: CASE WHEN known[i] IS NULL THEN
+        [list_filter(known[1 : i], lambda x: x IS NOT NULL)[-1], list_filter(known[i : len(known)], lambda x: x IS NOT NULL)[1]] END) AS gaps FROM ({listed})"""
+    single = f"SELECT {g}, way, gaps, unnest(range(1, len(way) + 1)) AS i FROM ({fenced})"
+    counted = f"""SELECT {g}, way[i] AS station_id, gaps[i][1] AS low, gaps[i][2] AS high, len(list_filter(gaps[1 : i], lambda x: x = gaps[i])) AS k,
+        len(list_filter(gaps, lambda x: x = gaps[i])) + 1 AS parts FROM ({single}) WHERE gaps[i] IS NOT NULL"""
+    between = "coalesce(low + (k * (high - low))::DOUBLE / parts, low + k::DOUBLE / parts, high - (parts - k)::DOUBLE / parts)"
+    return f"""SELECT {g}, station_id, nr::DOUBLE AS pos FROM {reference}
+        UNION ALL SELECT {g}, station_id, median({between}) FROM ({counted}) GROUP BY ALL HAVING median({between}) IS NOT NULL"""
+
+
+def numbered(lists: str, group: list[str], name: str) -> str:
+    """Stations of a list with the place of their first visit."""
+    g = ", ".join(group)
+    return f"SELECT {g}, station_id, min(place) AS {name} FROM (SELECT {g}, unnest(way) AS station_id, generate_subscripts(way, 1) AS place FROM ({lists})) GROUP BY ALL"
+
+
+def ordered(placed: str, group: list[str], name: str) -> str:
+    """Stations that have a position, numbered along the line."""
+    g = ", ".join(group)
+    return numbered(f"SELECT {g}, list(station_id ORDER BY pos, station_id) AS way FROM {placed} WHERE pos IS NOT NULL GROUP BY ALL", group, name)
 
 
 def _add_axis(x: str, runs_sql: str) -> None:
+    group = ["schedule_version", "route_id", "direction"]
     CTES[f"runs_axis{x}"] = runs_sql
-    CTES[f"ref_run{x}"] = f"""SELECT schedule_version, route_id, direction, run_id, count(*) AS stops FROM runs_axis{x} GROUP BY 1, 2, 3, 4
-        QUALIFY row_number() OVER (PARTITION BY schedule_version, route_id, direction ORDER BY count(*) DESC, run_id) = 1"""
-    CTES[f"ref{x}"] = f"""SELECT schedule_version, route_id, direction, station_id, nr FROM (
-        SELECT l.schedule_version, l.route_id, l.direction, l.station_id,
-        row_number() OVER (PARTITION BY l.schedule_version, l.route_id, l.direction ORDER BY l.step) AS nr,
-        row_number() OVER (PARTITION BY l.schedule_version, l.route_id, l.direction, l.station_id ORDER BY l.step) AS visit
-        FROM runs_axis{x} l JOIN ref_run{x} r ON r.schedule_version = l.schedule_version AND r.route_id = l.route_id
-         AND r.direction IS NOT DISTINCT FROM l.direction AND r.run_id = l.run_id) WHERE visit = 1"""
-    CTES[f"placed{x}"] = place(f"runs_axis{x}", f"ref{x}", ["schedule_version", "route_id", "direction"])
-    CTES[f"axis{x}"] = f"""SELECT schedule_version, route_id, direction, station_id,
-        row_number() OVER (PARTITION BY schedule_version, route_id, direction ORDER BY pos, station_id) AS nr
-        FROM placed{x} WHERE pos IS NOT NULL"""
+    CTES[f"ways{x}"] = f"SELECT schedule_version, route_id, direction, run_id, list(station_id ORDER BY step) AS way FROM runs_axis{x} GROUP BY ALL"
+    CTES[f"ref_run{x}"] = f"SELECT schedule_version, route_id, direction, arg_min(run_id, (-len(way), run_id)) AS run_id, max(len(way)) AS stops FROM ways{x} GROUP BY ALL"
+    longest = f"SELECT schedule_version, route_id, direction, arg_min(way, (-len(way), run_id)) AS way FROM ways{x} GROUP BY ALL"
+    CTES[f"ref{x}"] = numbered(longest, group, "nr")
+    CTES[f"placed{x}"] = place(f"runs_axis{x}", f"ref{x}", group)
+    CTES[f"axis{x}"] = ordered(f"placed{x}", group, "nr")
 
 
 _add_axis(
@@ -397,14 +405,12 @@ _add_axis(
     JOIN inferred f ON f.trip_id = s.trip_id AND f.schedule_version = s.schedule_version""",
 )
 CTES["axis_sources"] = """SELECT 'first' AS source, * FROM axis UNION ALL SELECT 'second', * FROM axis2"""
-CTES["ref_all"] = """SELECT q.route_id, q.direction, q.station_id, q.nr FROM axis_sources q JOIN (
-    SELECT route_id, direction, source, schedule_version FROM (SELECT DISTINCT route_id, direction, source, schedule_version FROM axis_sources)
-    QUALIFY row_number() OVER (PARTITION BY route_id, direction ORDER BY source, schedule_version DESC) = 1) w
-    ON w.route_id = q.route_id AND w.direction IS NOT DISTINCT FROM q.direction AND w.source = q.source AND w.schedule_version = q.schedule_version"""
+CTES["newest_ways"] = """SELECT route_id, direction, arg_min(way, (source, -epoch(schedule_version))) AS way FROM (
+    SELECT source, schedule_version, route_id, direction, list(station_id ORDER BY nr) AS way FROM axis_sources GROUP BY ALL) GROUP BY ALL"""
+CTES["ref_all"] = numbered("SELECT * FROM newest_ways", ["route_id", "direction"], "nr")
 CTES["runs_all"] = """SELECT route_id, direction, source || ' ' || CAST(schedule_version AS VARCHAR) AS run_id, nr AS step, station_id FROM axis_sources"""
 CTES["placed_all"] = place("runs_all", "ref_all", ["route_id", "direction"])
-CTES["stop_axis"] = """SELECT route_id, direction, station_id, row_number() OVER (PARTITION BY route_id, direction ORDER BY pos, station_id) AS position
-    FROM placed_all WHERE pos IS NOT NULL"""
+CTES["stop_axis"] = ordered("placed_all", ["route_id", "direction"], "position")
 
 # -- marts ----------------------------------------------------------------------------------
 
@@ -428,24 +434,22 @@ def on_time(*minutes: int) -> str:
     )
 
 
-CTES["line_profile"] = f"""SELECT b.service_day, b.route_id, b.direction, l.line, l.route_text, l.mode, r.direction_name, r.name_rule,
-    bv.route_id IS NOT NULL AS on_demand, max(b.source) AS source, {COUNTS}, count(DISTINCT b.trip_id) AS trips,
+CTES["line_profile"] = f"""SELECT service_day, route_id, direction, line, route_text, mode, direction_name, name_rule,
+    route_id IN (SELECT route_id FROM on_demand) AS on_demand, max(source) AS source, {COUNTS}, len(list_distinct(list(trip_id))) AS trips,
     {state_counts('trip_cancelled', 'skipped', 'unreported', 'not_captured')}, {MEAN}, {MEDIAN}, {on_time(*ONTIME)}
-    FROM fact b JOIN lines l ON l.route_id = b.route_id AND l.schedule_version = b.schedule_version
-    LEFT JOIN names r ON r.route_id = b.route_id AND r.direction = b.direction
-    LEFT JOIN on_demand bv ON bv.route_id = b.route_id GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9"""
+    FROM fact JOIN (SELECT route_id, schedule_version, line, route_text, mode FROM lines) USING (route_id, schedule_version)
+    LEFT JOIN (SELECT route_id, direction, direction_name, name_rule FROM names) USING (route_id, direction) GROUP BY ALL"""
 CTES["hour_profile"] = f"""SELECT service_day, route_id, direction, service_hour, {COUNTS}, {state_counts('trip_cancelled', 'skipped')},
     {MEAN}, {on_time(*ONTIME)} FROM fact WHERE service_hour IS NOT NULL GROUP BY 1, 2, 3, 4"""
 CTES["growth"] = """SELECT service_day, route_id, direction, trip_id, stop_sequence, station_id, stop_name, delay_arr,
     lag(delay_arr) OVER w AS delay_before, delay_arr - lag(delay_arr) OVER w AS growth_sec FROM fact WHERE delay_arr IS NOT NULL
     WINDOW w AS (PARTITION BY service_day, trip_id ORDER BY stop_sequence, stop_id)"""
-CTES["stop_profile"] = f"""SELECT h.*, z.growth_mean_sec, z.growth_median_sec, z.growth_cases, CAST(lw.position AS INTEGER) AS position FROM (
-      SELECT service_day, route_id, direction, station_id, min(stop_name) AS stop_name, {COUNTS},
-             {state_counts('skipped', 'trip_cancelled')}, {MEAN}, {MEDIAN}, {on_time(3)} FROM fact GROUP BY 1, 2, 3, 4) h
-    LEFT JOIN stop_axis lw ON lw.route_id = h.route_id AND lw.direction IS NOT DISTINCT FROM h.direction AND lw.station_id = h.station_id
-    LEFT JOIN (SELECT service_day, route_id, direction, station_id, avg(growth_sec) AS growth_mean_sec, median(growth_sec) AS growth_median_sec,
-                      count(growth_sec) AS growth_cases FROM growth WHERE growth_sec IS NOT NULL GROUP BY 1, 2, 3, 4) z
-      ON z.service_day = h.service_day AND z.route_id = h.route_id AND z.direction = h.direction AND z.station_id = h.station_id"""
+CTES["growths"] = """SELECT service_day, route_id, direction, station_id, list(growth_sec) AS grown FROM growth WHERE growth_sec IS NOT NULL GROUP BY ALL"""
+CTES["stop_profile"] = f"""WITH known AS (SELECT map_from_entries(list(((route_id, direction, station_id), position))) AS place FROM stop_axis),
+    seen AS (SELECT service_day, route_id, direction, station_id, min(stop_name) AS stop_name, {COUNTS}, {state_counts('skipped', 'trip_cancelled')}, {MEAN}, {MEDIAN}, {on_time(3)}
+             FROM fact GROUP BY ALL)
+    SELECT seen.*, list_avg(grown) AS growth_mean_sec, list_median(grown) AS growth_median_sec, len(grown) AS growth_cases,
+    place[(route_id, direction, station_id)]::INTEGER AS position FROM seen LEFT JOIN growths USING (service_day, route_id, direction, station_id), known"""
 CTES["cancellations"] = """SELECT service_day, route_id, direction, count(*) AS trips, count(*) FILTER (WHERE c) AS trips_cancelled,
     CAST(sum(skipped) AS BIGINT) AS stops_skipped, CAST(sum(planned) AS BIGINT) AS planned_stops,
     count(*) FILTER (WHERE NOT c AND unusable = planned) AS trips_without_report
@@ -467,24 +471,24 @@ CTES["forecast"] = """SELECT b.service_day, l.mode, count(*) AS cases, median(ch
     FROM history b JOIN chosen v ON v.service_day = b.service_day
     JOIN trips f ON f.trip_id = b.trip_id AND f.schedule_version = v.schedule_version
     JOIN lines l ON l.route_id = f.route_id AND l.schedule_version = f.schedule_version GROUP BY 1, 2"""
-CTES["quality"] = f"""SELECT j.*, coalesce(e.captured_hours, 0) AS captured_hours, coalesce(e.missing_hours, 0) AS missing_hours,
-    round(CAST(j.assessable_stops AS DOUBLE) / j.planned_stops, 4) AS coverage, coalesce(e.missing_hours, 0) = 0 AS complete,
-    coalesce(f.observed_trips, 0) AS observed_trips, coalesce(f.unmatched_trips, 0) AS unmatched_trips, coalesce(f.unmatched_stops, 0) AS unmatched_stops
-    FROM (SELECT service_day, {COUNTS}, {state_counts('unreported', 'not_captured')}, count(DISTINCT trip_id) AS trips, count(DISTINCT route_id) AS lines,
-          min(observed_at) AS first_report, max(observed_at) AS last_report, count(DISTINCT schedule_version) AS versions FROM fact GROUP BY 1) j
-    LEFT JOIN (SELECT service_day, count(*) FILTER (WHERE captured) AS captured_hours, count(*) FILTER (WHERE NOT captured) AS missing_hours
-               FROM gaps GROUP BY 1) e ON e.service_day = j.service_day
-    LEFT JOIN unmatched f ON f.service_day = j.service_day"""
-CTES["day_state"] = """SELECT t.service_day, a.state, a.listed_until, count(f.first_day) > 0 AS in_holiday, min(f.name) AS holiday_name
-    FROM (SELECT DISTINCT service_day FROM fact) t
-    CROSS JOIN (SELECT state, max(last_day) AS listed_until FROM holidays GROUP BY 1) a
-    LEFT JOIN holidays f ON f.state = a.state AND t.service_day BETWEEN f.first_day AND f.last_day GROUP BY 1, 2, 3"""
-CTES["school"] = """SELECT *, CASE WHEN holiday_bw IS NULL OR holiday_rp IS NULL OR holiday_he IS NULL THEN NULL
-    WHEN holiday_bw AND holiday_rp AND holiday_he THEN 'all' WHEN holiday_bw OR holiday_rp OR holiday_he THEN 'partly' ELSE 'none' END AS situation
-    FROM (SELECT service_day, max(CASE WHEN state = 'BW' THEN h END) AS holiday_bw, max(CASE WHEN state = 'RP' THEN h END) AS holiday_rp,
-          max(CASE WHEN state = 'HE' THEN h END) AS holiday_he, max(CASE WHEN state = 'BW' THEN n END) AS holiday_name
-          FROM (SELECT service_day, state, CASE WHEN service_day <= listed_until THEN in_holiday END AS h,
-                CASE WHEN service_day <= listed_until AND in_holiday THEN holiday_name END AS n FROM day_state) GROUP BY 1)"""
+CTES["hours"] = "SELECT service_day, list(captured) AS caught FROM gaps GROUP BY 1"
+CTES["quality"] = f"""WITH per_day AS (SELECT service_day, {COUNTS}, {state_counts('unreported', 'not_captured')}, count(DISTINCT trip_id) AS trips,
+      count(DISTINCT route_id) AS lines, min(observed_at) AS first_report, max(observed_at) AS last_report, count(DISTINCT schedule_version) AS versions FROM fact GROUP BY 1),
+    lost AS (SELECT service_day, len(list_filter(caught, lambda c: c)) AS captured_hours, len(list_filter(caught, lambda c: NOT c)) AS missing_hours FROM hours)
+    SELECT per_day.*, ifnull(captured_hours, 0) AS captured_hours, ifnull(missing_hours, 0) AS missing_hours, round(assessable_stops / planned_stops::DOUBLE, 4) AS coverage,
+    ifnull(missing_hours, 0) = 0 AS complete, ifnull(observed_trips, 0) AS observed_trips, ifnull(unmatched_trips, 0) AS unmatched_trips, ifnull(unmatched_stops, 0) AS unmatched_stops
+    FROM per_day LEFT JOIN lost USING (service_day) LEFT JOIN (SELECT * EXCLUDE (schedule_version, observed_stops) FROM unmatched) USING (service_day)"""
+CTES["holiday_days"] = """SELECT state, CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS service_day, name FROM holidays"""
+CTES["listed_states"] = "SELECT state, max(last_day) AS listed_until FROM holidays GROUP BY 1"
+CTES["day_state"] = """WITH free AS (SELECT state, service_day, min(name) AS holiday_name FROM holiday_days GROUP BY ALL),
+    wanted AS (SELECT service_day, unnest((SELECT list(s) FROM listed_states s), recursive := true) FROM (SELECT DISTINCT service_day FROM fact))
+    SELECT service_day, state, listed_until, holiday_name IS NOT NULL AS in_holiday, holiday_name FROM wanted LEFT JOIN free USING (state, service_day)"""
+CTES["school"] = """WITH told AS (SELECT service_day, map_from_entries(list((state, in_holiday))) AS free, map_from_entries(list((state, holiday_name))) AS named
+      FROM day_state WHERE service_day <= listed_until GROUP BY 1),
+    flags AS (SELECT service_day, free['BW'] AS holiday_bw, free['RP'] AS holiday_rp, free['HE'] AS holiday_he, named['BW'] AS holiday_name
+      FROM (SELECT DISTINCT service_day FROM day_state) LEFT JOIN told USING (service_day))
+    SELECT *, CASE [holiday_bw, holiday_rp, holiday_he]::INT[] WHEN [1, 1, 1] THEN 'all' WHEN [0, 0, 0] THEN 'none'
+      ELSE if(holiday_bw IS NULL OR holiday_rp IS NULL OR holiday_he IS NULL, NULL, 'partly') END AS situation FROM flags"""
 
 
 def statement(body: str, dates: tuple[str, ...] = (), extra: dict[str, str] | None = None) -> str:

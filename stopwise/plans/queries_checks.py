@@ -262,19 +262,10 @@ register("dq18_check_holiday_ranges", lambda c: checks.check_holiday_ranges(c.ho
          """SELECT 'reversed' AS finding, state, name AS name_a, CAST(NULL AS VARCHAR) AS name_b FROM holidays WHERE last_day < first_day UNION ALL
             SELECT 'overlap', a.state, a.name, b.name FROM holidays a JOIN holidays b ON b.state = a.state AND b.first_day > a.first_day AND b.first_day <= a.last_day""")
 register("dq19_check_candidates", lambda c: checks.check_candidates(c.candidates).select("route_id", "line", "second_coverage"),
-         """SELECT v.route_id, v.line, o.second_coverage FROM (SELECT f.route_id, l.line, l.mode, regexp_replace(l.line, '^Net ', '') AS short,
-              count(*) FILTER (WHERE state IN ('measured', 'departure_only')) AS ok FROM states h JOIN trips f USING (trip_id, schedule_version)
-              JOIN lines l ON l.route_id = f.route_id AND l.schedule_version = h.schedule_version GROUP BY 1, 2, 3, 4) v
-            JOIN (SELECT s.line, s.mode, round(CAST(sum(coalesce(i.n, 0)) AS DOUBLE) / sum(s.n), 4) AS second_coverage, CAST(sum(coalesce(i.n, 0)) AS DOUBLE) / sum(s.n) AS exact
-              FROM (SELECT t.service_day, l.line, l.mode, count(DISTINCT f.trip_id) AS n FROM chosen2 t
-                    JOIN calendar2 k ON k.schedule_version = t.schedule_version AND k.weekday = lower(dayname(t.service_day)) AND t.service_day BETWEEN k.start_date AND k.end_date
-                    JOIN trips2 f ON f.schedule_version = t.schedule_version AND f.service_id = k.service_id
-                    JOIN lines2 l ON l.route_id = f.route_id AND l.schedule_version = f.schedule_version GROUP BY 1, 2, 3) s
-              LEFT JOIN (SELECT b.service_day, l.line, l.mode, count(DISTINCT b.trip_id) AS n FROM reports2 b JOIN chosen2 t ON t.service_day = b.service_day
-                    JOIN trips2 f ON f.trip_id = b.trip_id AND f.schedule_version = t.schedule_version
-                    JOIN lines2 l ON l.route_id = f.route_id AND l.schedule_version = f.schedule_version GROUP BY 1, 2, 3) i
-                ON i.service_day = s.service_day AND i.line = s.line AND i.mode = s.mode GROUP BY 1, 2) o ON o.line = v.short AND o.mode = v.mode
-            WHERE v.ok = 0 AND o.exact >= 0.25 AND v.route_id NOT IN (SELECT route_id FROM on_demand) AND v.route_id NOT IN (SELECT route_id FROM takeover)""")
+         """SELECT f.route_id, f.line, round(seen_trips::DOUBLE / planned_trips, 4) AS second_coverage
+            FROM first_lines f JOIN offer o ON (o.line, o.mode) = (replace(replace(f.line, 'Net ', ''), 'Moonliner ', 'M'), f.mode)
+            WHERE first_assessable_stops = 0 AND 4 * seen_trips >= planned_trips
+              AND f.route_id NOT IN (SELECT route_id FROM on_demand UNION ALL SELECT route_id FROM takeover)""")
 register("dq20_check_source_still_blind", lambda c: checks.check_source_still_blind(c.first.states, c.takeover),
          """SELECT f.route_id, count(*) FILTER (WHERE state IN ('measured', 'departure_only')) AS assessable_stops FROM states h JOIN trips f USING (trip_id, schedule_version)
             WHERE f.route_id IN (SELECT route_id FROM takeover) GROUP BY 1 HAVING count(*) FILTER (WHERE state IN ('measured', 'departure_only')) > 0""")

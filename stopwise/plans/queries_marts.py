@@ -48,26 +48,13 @@ register("ag18_forecast_quality", lambda c: c.forecast_quality, "SELECT * FROM f
 register("ag19_data_quality", lambda c: c.data_quality, "SELECT * FROM quality", "service_day first_report last_report")
 register("ag20_school_calendar", lambda c: c.school_calendar, "SELECT * FROM school", DAY)
 register("ag21_source_candidates", lambda c: c.candidates,
-         """SELECT v.*, coalesce(o.planned_trips, 0) AS second_planned_trips, coalesce(o.seen_trips, 0) AS second_seen_trips, coalesce(o.days, 0) AS second_days,
-            round(CAST(coalesce(o.seen_trips, 0) AS DOUBLE) / nullif(o.planned_trips, 0), 4) AS second_coverage,
-            d.route_id IS NOT NULL AS on_demand, s.route_id IS NOT NULL AS taken_over,
-            v.first_assessable_stops = 0 AND CAST(coalesce(o.seen_trips, 0) AS DOUBLE) / nullif(o.planned_trips, 0) >= 0.25
-              AND d.route_id IS NULL AND s.route_id IS NULL AS candidate
-            FROM (SELECT f.route_id, l.line, l.mode, regexp_replace(regexp_replace(l.line, '^Net ', ''), '^Moonliner ', 'M') AS line_short,
-                  count(*) AS first_planned_stops, count(*) FILTER (WHERE state IN ('measured', 'departure_only')) AS first_assessable_stops,
-                  count(DISTINCT h.service_day) AS first_days FROM states h JOIN trips f USING (trip_id, schedule_version)
-                  JOIN lines l ON l.route_id = f.route_id AND l.schedule_version = h.schedule_version GROUP BY 1, 2, 3, 4) v
-            LEFT JOIN (SELECT s.line_short, s.mode, CAST(sum(s.n) AS BIGINT) AS planned_trips, CAST(sum(coalesce(i.n, 0)) AS BIGINT) AS seen_trips, count(DISTINCT s.service_day) AS days
-              FROM (SELECT t.service_day, l.line AS line_short, l.mode, count(DISTINCT f.trip_id) AS n FROM chosen2 t
-                    JOIN calendar2 k ON k.schedule_version = t.schedule_version AND k.weekday = lower(dayname(t.service_day)) AND t.service_day BETWEEN k.start_date AND k.end_date
-                    JOIN trips2 f ON f.schedule_version = t.schedule_version AND f.service_id = k.service_id
-                    JOIN lines2 l ON l.route_id = f.route_id AND l.schedule_version = f.schedule_version GROUP BY 1, 2, 3) s
-              LEFT JOIN (SELECT b.service_day, l.line AS line_short, l.mode, count(DISTINCT b.trip_id) AS n FROM reports2 b JOIN chosen2 t ON t.service_day = b.service_day
-                    JOIN trips2 f ON f.trip_id = b.trip_id AND f.schedule_version = t.schedule_version
-                    JOIN lines2 l ON l.route_id = f.route_id AND l.schedule_version = f.schedule_version GROUP BY 1, 2, 3) i
-                ON i.service_day = s.service_day AND i.line_short = s.line_short AND i.mode = s.mode GROUP BY 1, 2) o
-              ON o.line_short = v.line_short AND o.mode = v.mode
-            LEFT JOIN on_demand d ON d.route_id = v.route_id LEFT JOIN takeover s ON s.route_id = v.route_id""")
+         """SELECT * FROM (WITH named AS (SELECT *, replace(replace(line, 'Net ', ''), 'Moonliner ', 'M') AS line_short FROM first_lines),
+            met AS (SELECT n.*, o.* EXCLUDE (line, mode), seen_trips::DOUBLE / planned_trips AS ratio,
+                      n.route_id IN (SELECT route_id FROM on_demand) AS on_demand, n.route_id IN (SELECT route_id FROM takeover) AS taken_over
+                    FROM named n LEFT JOIN offer o ON (o.line, o.mode) = (n.line_short, n.mode))
+            SELECT route_id, line, mode, line_short, first_planned_stops, first_assessable_stops, first_days, ifnull(planned_trips, 0) AS second_planned_trips,
+              ifnull(seen_trips, 0) AS second_seen_trips, ifnull(days, 0) AS second_days, round(ratio, 4) AS second_coverage, on_demand, taken_over,
+              CASE WHEN first_assessable_stops > 0 OR on_demand OR taken_over THEN false ELSE ratio >= 0.25 END AS candidate FROM met)""")
 
 _TOTALS = """SELECT route_id, CAST(sum(planned_stops) AS BIGINT) AS planned_stops, CAST(sum(assessable_stops) AS BIGINT) AS assessable_stops,
     CAST(sum(on_time_3min) AS BIGINT) AS on_time_3min, CAST(sum(trips) AS BIGINT) AS trips, bool_or(on_demand) AS on_demand,
@@ -259,10 +246,12 @@ def _reference(c: Context) -> DataFrame:
 
 register("wn3_nearest_anchors",
          lambda c: ax.nearest_anchors(c.first.runs, _reference(c), _GROUP).select(*_GROUP, "run_id", "step", "station_id", "nr", "before", "after"),
-         """SELECT l.schedule_version, l.route_id, l.direction, l.run_id, l.step, l.station_id, CAST(r.nr AS INTEGER) AS nr,
-            CAST(last_value(r.nr IGNORE NULLS) OVER (PARTITION BY l.schedule_version, l.route_id, l.direction, l.run_id ORDER BY l.step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS before,
-            CAST(first_value(r.nr IGNORE NULLS) OVER (PARTITION BY l.schedule_version, l.route_id, l.direction, l.run_id ORDER BY l.step ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS INTEGER) AS after
-            FROM runs_axis l LEFT JOIN ref r ON r.schedule_version = l.schedule_version AND r.route_id = l.route_id AND r.direction IS NOT DISTINCT FROM l.direction AND r.station_id = l.station_id""",
+         """SELECT schedule_version, route_id, direction, run_id, steps[i] AS step, way[i] AS station_id, CAST(known[i] AS INTEGER) AS nr,
+            CAST(list_filter(known[1 : i], lambda x: x IS NOT NULL)[-1] AS INTEGER) AS before, CAST(list_filter(known[i : len(known)], lambda x: x IS NOT NULL)[1] AS INTEGER) AS after
+            FROM (SELECT *, unnest(range(1, len(way) + 1)) AS i FROM (
+              SELECT a.schedule_version, a.route_id, a.direction, run_id, list(step ORDER BY step) AS steps, list(a.station_id ORDER BY step) AS way, list(nr ORDER BY step) AS known
+              FROM runs_axis a LEFT JOIN ref ON (ref.schedule_version, ref.route_id, ref.station_id) = (a.schedule_version, a.route_id, a.station_id)
+                AND ref.direction IS NOT DISTINCT FROM a.direction GROUP BY ALL))""",
          "schedule_version")
 register("wn4_place_between_anchors", lambda c: rounded(ax.place_between_anchors(c.first.runs, _reference(c), _GROUP), "pos"),
          f"SELECT * REPLACE ({r6('pos')}) FROM placed", "schedule_version")
