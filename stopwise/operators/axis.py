@@ -210,50 +210,28 @@ def duplicate_names(shown: DataFrame) -> DataFrame:
     )
 
 
-def _depths(step: DataFrame, rounds: int, keep) -> DataFrame:
-    """(g, a, end, depth): where following `step` (g, a, b) ends, by pointer doubling; `open` where it does not end."""
-    jump = keep(step.select("g", "a", F.col("b").alias("end"), F.lit(1).cast("long").alias("depth")))
-    for _ in range(rounds):
-        onward = jump.select("g", F.col("a").alias("end"), F.col("end").alias("_end"), F.col("depth").alias("_depth"))
-        jump = keep(
-            jump.join(onward, ["g", "end"], "left").select(
-                "g", "a", F.coalesce("_end", "end").alias("end"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")
-            )
-        )
-    still = jump.select("g", F.col("a").alias("end")).withColumn("open", F.lit(True))
-    return jump.join(still, ["g", "end"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-
-
 def cyclic_groups(pairs: DataFrame, spark_checkpoint=None) -> DataFrame:
     """Line-directions whose successor graph has a cycle.
 
-    Each station follows one of its successors. Pointer doubling finds in a logarithmic number of rounds how
-    far that leads: into a cycle, or to an end after some steps. If no edge leads to a station at least as deep as its
-    own, the depths prove that there is no cycle; else the stations concerned follow their deepest successor from
-    then on. Depths only grow, so this ends; a line without branches is done after the first time.
+    Stations without successor and stations without predecessor are trimmed off round by round, on all graphs at
+    once; what stays lies on a cycle or between two. A round shortens the longest acyclic path from both
+    ends, so the number of rounds is half the length of a line in stops. The number of
+    edges falls strictly until the loop ends, so no limit of rounds is needed.
     """
     keep = spark_checkpoint or (lambda df: df.checkpoint())
     named = pairs.select(F.to_json(F.struct(*LINE_DIR), {"ignoreNullFields": "false"}).alias("g"), *LINE_DIR, "a", "b").distinct()
-    names = keep(named.select("g", *LINE_DIR).distinct())
+    names = named.select("g", *LINE_DIR).distinct()
     edges = keep(named.select("g", "a", "b"))
-    step = keep(edges.groupBy("g", "a").agg(F.max("b").alias("b")))
-    found = None
+    remaining = edges.count()
     while True:
-        longest = step.groupBy("g").count().agg(F.max("count")).first()[0]
-        if longest is None:
+        leads_on = edges.select("g", F.col("a").alias("b")).distinct()
+        led_to = edges.select("g", F.col("b").alias("a")).distinct()
+        edges = keep(edges.join(leads_on, ["g", "b"], "left_semi").join(led_to, ["g", "a"], "left_semi"))
+        left = edges.count()
+        if left in (0, remaining):
             break
-        reached = keep(_depths(step, longest.bit_length(), keep))
-        cyclic = keep(reached.where("open").select("g").distinct())
-        found = cyclic if found is None else found.union(cyclic)
-        depths = reached.select("g", "a", "depth")
-        to = depths.select("g", F.col("a").alias("b"), F.col("depth").alias("_to"))
-        open_edges = edges.join(cyclic, "g", "left_anti").join(depths, ["g", "a"]).join(to, ["g", "b"], "left")
-        deeper = open_edges.withColumn("_to", F.coalesce("_to", F.lit(0)))
-        wrong = keep(deeper.where(F.col("depth") <= F.col("_to")).select("g").distinct())
-        edges = keep(edges.join(wrong, "g", "left_semi"))
-        step = keep(deeper.join(wrong, "g", "left_semi").groupBy("g", "a").agg(F.max_by("b", F.struct("_to", "b")).alias("b")))
-    groups = names.limit(0) if found is None else names.join(found, "g", "left_semi")
-    return groups.select(*LINE_DIR)
+        remaining = left
+    return names.join(edges.select("g").distinct(), "g", "left_semi").select(*LINE_DIR)
 
 
 def is_cyclic(pairs: DataFrame, spark_checkpoint=None) -> DataFrame:
