@@ -352,6 +352,36 @@ register(
 )
 
 
+_DOCUMENT = ["service_day", "direction", "planned_stops", "assessable_stops"]
+
+
+def _documents_read_back(c: Context, document: DataFrame, name: str, kinds: str, keys: list[str], arrays: list[str]) -> DataFrame:
+    """Documents written as JSON by year and read again."""
+    folder = f"{c.store.root}/documents/{name}"
+    sinks.export_columnar_json(document, folder, "year")
+    return _document_text(c.spark.read.schema(f"{kinds}, year int").json(folder), arrays, [*keys, "year"])
+
+
+register(
+    "snk5_line_documents",
+    lambda c: _documents_read_back(
+        c, sinks.line_document(c.mart("line_profile")), "lines",
+        "route_id string, service_day array<string>, direction array<int>, planned_stops array<bigint>, assessable_stops array<bigint>", ["route_id"], _DOCUMENT),
+    "SELECT route_id, CAST(year(service_day) AS INTEGER) AS year, "
+    + ", ".join(f"string_agg(coalesce(CAST({f} AS VARCHAR), '-'), ',' ORDER BY service_day, direction NULLS LAST) AS {f}" for f in _DOCUMENT)
+    + " FROM line_profile GROUP BY 1, 2",
+)
+register(
+    "snk5_network_documents",
+    lambda c: _documents_read_back(
+        c, sinks.network_document(c.mart("network_profile")), "network",
+        "service_day array<string>, mode array<string>, planned_stops array<bigint>, lines array<bigint>", [], ["service_day", "mode", "planned_stops", "lines"]),
+    "SELECT CAST(year(service_day) AS INTEGER) AS year, "
+    + ", ".join(f"string_agg(CAST({f} AS VARCHAR), ',' ORDER BY service_day, mode) AS {f}" for f in ("service_day", "mode", "planned_stops", "lines"))
+    + " FROM network GROUP BY 1",
+)
+
+
 def _lookup(c: Context) -> DataFrame:
     """The holiday list written as CSV and read back with explicit types."""
     path = f"{c.store.root}/school_holidays.csv"

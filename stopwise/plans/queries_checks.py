@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.operators import frame, rollup
-from stopwise.plans.oracle_base import ONTIME
+from stopwise.operators import direction, frame, rollup
+from stopwise.plans.oracle_base import MIN_TRIPS, ONTIME
 from stopwise.plans.queries import LINE_DIR, Context, r6, register, rounded
 from stopwise.plans.queries_marts import _MASTER, _TOTALS, _agree
+from stopwise.plans.warehouse import Warehouse
 from stopwise.quality import checks
+from stopwise.sources.store import TableStore
 from stopwise.streaming import increments, ingest
+from stopwise.streaming.version_store import VersionStore
 
 DAY = "service_day"
 
@@ -189,6 +193,30 @@ register("str4_recompute_trip_reports",
 register("str5_recompute_newest_version",
          lambda c: rounded(increments.recompute_newest_version(c.position_partials, increments.newest_value(c.first.all_trips, "schedule_version")), "position_sum"),
          f"SELECT * REPLACE ({r6('position_sum')}) FROM partials WHERE schedule_version >= (SELECT max(schedule_version) FROM trips)", "schedule_version")
+
+
+def _incremental_fact(c: Context) -> DataFrame:
+    """The days of the window, built by a warehouse that looks at nothing before them."""
+    start = increments.window_start(c.mart("line_profile"))
+    return Warehouse(c.raw, MIN_TRIPS, TableStore(c.spark, f"{c.sf_dir} from {start}").keep, start).fact.where(F.col(DAY) >= F.lit(start))
+
+
+register("str4_incremental_fact", lambda c: _incremental_fact(c).select(DAY, "route_id", "direction", "trip_id", "stop_sequence", "station_id", "state", "source"),
+         """SELECT service_day, route_id, direction, trip_id, stop_sequence, station_id, state, source FROM fact
+            WHERE service_day >= (SELECT max(service_day) FROM line_profile) - INTERVAL 2 DAY""", DAY)
+
+
+def _versions_in_two_runs(c: Context) -> DataFrame:
+    """Partial sums of all versions but the newest first; the second run adds the newest alone."""
+    store = VersionStore(c.spark, f"{c.store.root}/versions-{uuid.uuid4().hex}")
+    s = c.first
+    newest = s.trips.agg(F.max("schedule_version")).scalar()
+    build = lambda cut: direction.position_partials(cut(s.trips), cut(s.stop_times), cut(s.stops))
+    store.layer("position_partials", s.trips.where(F.col("schedule_version") < newest), build)
+    return rounded(store.layer("position_partials", s.trips, build), "position_sum")
+
+
+register("str5_version_store", _versions_in_two_runs, f"SELECT * REPLACE ({r6('position_sum')}) FROM partials", "schedule_version")
 register("str6_hourly_capture_stream",
          lambda c: ingest.hourly_capture_stream(c.feed_rows.select(F.timestamp_seconds("observed_at").alias("observed_ts"))),
          "SELECT date_trunc('hour', to_timestamp(observed_at) AT TIME ZONE 'UTC') AS hour_start, count(*) AS reports FROM feed GROUP BY 1", "hour_start")

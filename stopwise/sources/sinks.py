@@ -191,8 +191,9 @@ def columnar(df: DataFrame, by: list[str], order: list[Column | str], fields: li
 
 
 def line_document(line_profile: DataFrame) -> DataFrame:
-    """Daily figures of a line, columns side by side, on-time counts by threshold as a map."""
-    rounded = dates_as_text(line_profile).withColumn(
+    """Daily figures of a line and year, columns side by side, on-time counts by threshold as a map. A year bounds a document,
+    however long the history is."""
+    rounded = dates_as_text(line_profile.withColumn("year", F.year("service_day"))).withColumn(
         "delay_mean_sec", vl.round1(F.coalesce("delay_mean_sec", F.lit(0.0)))
     )
     on_time = [f"on_time_{t}min" for t in vl.THRESHOLDS_MIN]
@@ -207,7 +208,7 @@ def line_document(line_profile: DataFrame) -> DataFrame:
         "delay_mean_sec",
         *on_time,
     ]
-    doc = columnar(rounded, ["route_id"], ["service_day", "direction"], fields)
+    doc = columnar(rounded, ["route_id", "year"], ["service_day", "direction"], fields)
     by_threshold = F.create_map(
         *[x for t in vl.THRESHOLDS_MIN for x in (F.lit(str(t)), F.col(f"on_time_{t}min"))]
     )
@@ -215,11 +216,12 @@ def line_document(line_profile: DataFrame) -> DataFrame:
 
 
 def network_document(network: DataFrame) -> DataFrame:
-    rounded = dates_as_text(network).withColumn(
+    """Daily figures of all lines of a mode, a document a year."""
+    rounded = dates_as_text(network.withColumn("year", F.year("service_day"))).withColumn(
         "delay_mean_sec", vl.round1(F.coalesce("delay_mean_sec", F.lit(0.0)))
     )
-    fields = [c for c in rounded.columns if c != "delay_median_sec"]
-    return columnar(rounded, [], ["service_day", "mode"], fields)
+    fields = [c for c in rounded.columns if c not in ("delay_median_sec", "year")]
+    return columnar(rounded, ["year"], ["service_day", "mode"], fields)
 
 
 def export_columnar_json(documents: DataFrame, folder: str, by: str | None = None) -> None:
