@@ -333,10 +333,19 @@ def _column(table: pa.Table, name: str) -> pa.LargeListArray:
     return column.chunk(0) if column.num_chunks else pa.array([], column.type)
 
 
+def short_plans(spark) -> None:
+    """Texts of plans with literal tables run to tens of megabytes and are written again at each change of a plan; unless the
+    session has set a limit itself, it gets one."""
+    name = "spark.sql.maxPlanStringLength"
+    if int(spark.conf.get(name, str((1 << 31) - 16))) >= (1 << 31) - 16:
+        spark.conf.set(name, str(1 << 16))
+
+
 def encode(docs: DataFrame, ranks: Ranks, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """docs without `text`, with a last column `ids` (array<int>)."""
     spark = docs.sparkSession
     ship(spark)
+    short_plans(spark)
     folder = f"{new_folder(spark, 'bpe')}/documents"
     names = [n for n in docs.columns if n not in ("text", "ids")]
     rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col("text").cast("string").alias("text"))
