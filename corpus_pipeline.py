@@ -36,10 +36,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
+def stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Writes rows as Parquet to the shared folder and reads them back; their size is known from then on."""
+    path = f"{new_folder(spark, name)}/rows"
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def with_row_key(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs with `_key`, one row for each pair of doc_id and text: the doc_id where it stands on one row, else a number above
     2^62 made of id and text. Of rows that repeat id and text, the one of smallest values stays."""
-    often = cut(docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_often")))
+    often = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_often"))
+    often = stored(spark, often, "repeated")
     marked = docs.join(often, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
     once = marked.where("_often is null").drop("_often").withColumn("_key", F.col("doc_id").cast("long"))
     both = F.xxhash64(F.col("doc_id"), F.col("text").isNull(), F.col("text"), F.reverse("text"))
@@ -51,7 +59,7 @@ def with_row_key(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of each group of near copies. Rows are told apart by id and text, so texts that
     share an id are neither lost nor brought back by it, and rows without id take part."""
-    keyed = with_row_key(spark, docs)
+    keyed = stored(spark, with_row_key(spark, docs), "keyed")
     found = bag_minhash.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text")).where("kept")
     return keyed.join(cut(found.select(F.col("doc_id").alias("_key"))), "_key", "left_semi").select(*docs.columns)
 
@@ -66,9 +74,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = byte_ranks()
     rows = docs.select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_sha256"), "text")
     # the ids are written before they are decoded, so that the tables of both directions never stand in one plan
-    path = f"{new_folder(spark, 'ids')}/ids"
-    byte_bpe.encode(rows, ranks).write.parquet(path)
-    coded = spark.read.parquet(path)
+    coded = stored(spark, byte_bpe.encode(rows, ranks), "ids")
     return coded.select(
         "doc_id",
         "lang",
