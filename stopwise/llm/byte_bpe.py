@@ -23,6 +23,7 @@ import base64
 import re
 import uuid
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -83,7 +84,7 @@ class Ranks:
         """
         if max(self.ranks.values()) + 1 >= SPAN:
             raise ValueError(f"ranks must stay below {SPAN - 1}")
-        table = [-1] * (FIRST_PLACES + SECOND_PLACES)
+        table = array("q", [-1]) * (FIRST_PLACES + SECOND_PLACES)
         for token, rank in self.ranks.items():
             for at in range(1, len(token)):
                 left, right = self.ranks.get(token[:at]), self.ranks.get(token[at:])
@@ -100,7 +101,9 @@ class Ranks:
                     place = pair % FIRST_PLACES if place == second else second
                 else:
                     raise ValueError("the table of pairs is too small for this vocabulary")
-        return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+        # written in parts, so that no list of all numbers as texts stands in memory
+        text = ",".join(",".join(map(str, table[k : k + 4096])) for k in range(0, len(table), 4096))
+        return F.split(F.lit(text), ",").cast("array<bigint>")
 
     def byte_literal(self) -> Column:
         """Ids of the 256 bytes."""
