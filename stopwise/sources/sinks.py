@@ -132,14 +132,16 @@ def read_allow_list(spark: SparkSession, path: str) -> DataFrame:
 
 def refresh_allow_list(spark: SparkSession, root: str, table: str, path: str, n: int) -> tuple[int, list[str]]:
     """Builds the list from the newest n versions whose files can be read; returns its size and the files left out."""
+    from stopwise.operators.staging import stage_trips
     from stopwise.operators.versions import allow_list
+    from stopwise.sources import schemas
     from stopwise.sources.scan import VERSION_IN_PATH
 
     good, bad = readable_versions(spark, root, table)
     if not good:
         raise ValueError("no readable trip list; the previous one stays")
     version = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), VERSION_IN_PATH, 1))
-    trips = spark.read.parquet(*good).withColumn("schedule_version", version)
+    trips = stage_trips(spark.read.schema(schemas.TRIPS).parquet(*good).withColumn("v", version))
     return write_allow_list(allow_list(trips, n), path), bad
 
 
