@@ -52,10 +52,8 @@ def main() -> None:
         df.write.mode("overwrite").format("noop").save()
 
     context = Context(spark, sf_dir)
-    first, second = context.first, context.second
-    layers = ["reports", "all_trips", "lines", "stop_times", "stops", "calendar"]
-    timed("stage_inputs", lambda: [getattr(s, n) for s in (first, second) for n in layers])
-    timed("planned_x_observed", lambda: first.states)
+    timed("stage_inputs", context.stage)
+    timed("planned_x_observed", lambda: context.first.states)
     timed("direction_inference", lambda: context.inferred_directions)
     timed("fact", lambda: context.fact)
     timed("direction_names", lambda: context.direction_names)

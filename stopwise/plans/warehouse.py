@@ -7,6 +7,7 @@ or scans of real files. `keep(name, build)` decides whether a layer is written a
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -192,6 +193,15 @@ class Warehouse:
         tables += ["calendar_dates"] if dated else []
         return lambda name: getattr(self.raw, f"{prefix}_{name}") if name in tables else None
 
+    def stage(self) -> None:
+        """Stores the input layers of both sources side by side: they do not depend on each other, and each alone is too
+        small a job for a cluster."""
+        layers = ["reports", "stop_times", "all_trips", "stops", "lines", "calendar"]
+        with ThreadPoolExecutor(len(layers)) as pool:
+            wanted = [(source, layer) for layer in layers for source in (self.first, self.second)]
+            for done in [pool.submit(getattr, source, layer) for source, layer in wanted]:
+                done.result()
+
     # -- lookups ------------------------------------------------------------------------
 
     @cached_property
