@@ -5,8 +5,9 @@ and a mark of ASCII. No match of the tokenizer's pattern crosses such a place, s
 documents and stores these numbers beside the other columns, in compressed files of about `group_bytes` of text in the shared folder; texts are neither stored nor shuffled. Each distinct unit of a
 file is sent once, with the numbers of the file and of the unit in it, to where the unit is encoded: a higher-order fold takes the
 pattern's matches as arrays of bytes and merges, again and again, the neighbouring pair of lowest rank (the first of equal ones)
-until no pair has a rank. Ranks are a literal: an array of pairs of ids and the ranks they
-join to, in which a pair has two possible places, because a search in a map value reads all of it. The encoded units return to
+until no pair has a rank. Ranks are a literal map: an array of pairs of ids and the ranks they
+join to, in which a pair has two possible places, because a search in a map value reads all of it. It enters the plan as the
+value of a one-row table, since an array written out in a plan fills the driver with its boxed numbers and texts. The encoded units return to
 their files, where each document is put together.
 
 Decoding looks up the bytes of each id in a literal array and concatenates the pieces.
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import textarrays as ta
@@ -68,16 +69,26 @@ class Ranks:
         # the pattern as Spark's regular expressions read it: white space and its complement in full
         self.pattern = pattern.replace(r"[^\s", rf"[^{SPACE}").replace(r"(?!\S)", rf"(?![^{SPACE}])").replace(r"\s", rf"[{SPACE}]")
 
-    def token_literal(self) -> Column:
-        """array<map<hex, rank>> in order of checksum modulo BUCKETS; constant-folded into one literal."""
-        buckets: list[list[str]] = [[] for _ in range(BUCKETS)]
+    def tables(self, spark: SparkSession) -> Column:
+        """The maps of tokens, the table of pairs and the ids of the 256 bytes: one row of one struct, as a scalar. Its value
+        enters the tasks as a literal, but packed, and no text of a plan spells it out."""
+        held = pa.table({
+            "tokens": pa.array([self._token_maps()], pa.list_(pa.map_(pa.string(), pa.int32()))),
+            "pairs": pa.ListArray.from_arrays(pa.array([0, FIRST_PLACES + SECOND_PLACES], pa.int32()), pa.array(self._pair_table())),
+            "single": pa.array([[self.ranks[bytes([b])] for b in range(256)]], pa.list_(pa.int32())),
+        })
+        return spark.createDataFrame(held).select(F.struct("tokens", "pairs", "single")).scalar()
+
+    def _token_maps(self) -> list[list[tuple[str, int]]]:
+        """Maps of hex token to rank in order of checksum modulo BUCKETS."""
+        buckets: list[list[tuple[str, int]]] = [[] for _ in range(BUCKETS)]
         for token, rank in self.ranks.items():
             key = token.hex().upper()
-            buckets[zlib.crc32(key.encode()) % BUCKETS].append(f'"{key}":{rank}')
-        return F.from_json(F.lit("[" + ",".join("{" + ",".join(b) + "}" for b in buckets) + "]"), "array<map<string,int>>")
+            buckets[zlib.crc32(key.encode()) % BUCKETS].append((key, rank))
+        return buckets
 
-    def pair_literal(self) -> Column:
-        """All pairs of tokens that join to one, and the ranks they join to, as an array<bigint> of pair * SPAN + rank.
+    def _pair_table(self) -> np.ndarray:
+        """All pairs of tokens that join to one, and the ranks they join to, as numbers pair * SPAN + rank.
 
         A pair stands at one of two places: the pair modulo FIRST_PLACES, or FIRST_PLACES and the pair modulo
         SECOND_PLACES. A pair that finds a place taken moves the other one on to its other place.
@@ -101,13 +112,7 @@ class Ranks:
                     place = pair % FIRST_PLACES if place == second else second
                 else:
                     raise ValueError("the table of pairs is too small for this vocabulary")
-        # written in parts, so that no list of all numbers as texts stands in memory
-        text = ",".join(",".join(map(str, table[k : k + 4096])) for k in range(0, len(table), 4096))
-        return F.split(F.lit(text), ",").cast("array<bigint>")
-
-    def byte_literal(self) -> Column:
-        """Ids of the 256 bytes."""
-        return F.array(*[F.lit(self.ranks[bytes([b])]) for b in range(256)])
+        return np.frombuffer(table, np.int64)
 
     def piece_literal(self) -> Column:
         """array<hex> in order of id."""
@@ -181,10 +186,12 @@ def encode_units(units: DataFrame, column: str, ranks: Ranks) -> DataFrame:
         piece = lambda m: _let(F.hex(F.encode(m, "UTF-8")), lambda h: merge(m, h, tokens, pairs, single))
         return F.flatten(F.transform(matches, piece))
 
-    # each literal stands in the plan once and is bound to a name; plans with many copies of it take long to print
-    with_single = lambda t, p: _let(ranks.byte_literal(), lambda s: encoded(t, p, s))
-    with_pairs = lambda t: _let(ranks.pair_literal(), lambda p: with_single(t, p))
-    return units.withColumn("ids", _let(ranks.token_literal(), with_pairs))
+    # each table is bound to a name, so that it is taken out of the row once for a unit
+    with_single = lambda r, t, p: _let(r["single"], lambda s: encoded(t, p, s))
+    with_pairs = lambda r, t: _let(r["pairs"], lambda p: with_single(r, t, p))
+    with_tokens = lambda r: _let(r["tokens"], lambda t: with_pairs(r, t))
+    with_tables = units.withColumn("_tables", ranks.tables(units.sparkSession))
+    return with_tables.withColumn("ids", _let(F.col("_tables"), with_tokens)).drop("_tables")
 
 
 def _nullable(kind: pa.DataType) -> pa.DataType:
