@@ -41,6 +41,8 @@ from stopwise.llm.shared import filesystem, new_folder, ship, write_file
 GROUP_BYTES = 32 << 20
 #: Input partitions whose files share the list of a unit; beyond them a unit is encoded once more.
 BLOCK_PARTITIONS = 1024
+#: Words whose ids are put together at once.
+PASS_WORDS = 1 << 20
 BUCKETS = 8192
 #: Places of the table of pairs: enough for all pairs of a vocabulary of 50,000 tokens.
 FIRST_PLACES = 250_007
@@ -325,11 +327,13 @@ def _assembler(folder: str, least: int):
         docs = _read(f"{folder}/{g}.rows")
         parts = _column(_read(f"{folder}/{g}.parts"), "units")
         found = _column(docs, "words")
-        words = _Lists(place[parts.values.to_numpy()], np.diff(parts.offsets.to_numpy()))
-        bounds, flat_words = found.offsets.to_numpy(), found.values.to_numpy()
-        rows = [lists.of(words.of(flat_words[a:b])) for a, b in zip(bounds[:-1], bounds[1:])]
-        lengths = [len(r) for r in rows]
-        offsets = np.concatenate(([0], np.cumsum(lengths)))
+        # the ids of each word
+        units = place[parts.values.to_numpy()]
+        ends = np.concatenate(([0], np.cumsum(lists.sizes[units])))[parts.offsets.to_numpy()]
+        words = _Lists(lists.of(units), np.diff(ends))
+        flat_words = found.values.to_numpy()
+        rows = [words.of(flat_words[k : k + PASS_WORDS]) for k in range(0, len(flat_words), PASS_WORDS)]
+        offsets = np.concatenate(([0], np.cumsum(words.sizes[flat_words])))[found.offsets.to_numpy()]
         values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
         kind, place_type = (pa.LargeListArray, np.int64) if offsets[-1] >= 1 << 31 else (pa.ListArray, np.int32)
         out = kind.from_arrays(pa.array(offsets.astype(place_type)), values)
