@@ -1,13 +1,16 @@
 """License scans by canonical digest lookup, in DataFrame functions alone.
 
-A text is brought to a canonical form: copyright lines go, letters become lower case, every run of
-characters that are neither letters nor digits becomes one space, and equivalent spellings become one.
+A text is brought to a canonical form: the lines before a license go (a known title, copyright lines with or without a year,
+"All rights reserved"), as do copyright lines with a year further on and the marks of lists; letters become lower case, every run of
+characters that are neither letters nor digits becomes one space, equivalent spellings and the names that a BSD license protects become
+one, and directions for use after the end of the terms go where they are no longer than 3,000 characters.
 The SHA-256 digest of the canonical text is looked up in a table of known digests by a hash join. `scan` looks up
 entire texts, and, by the same digests, lines that are statements of their own in a longer text.
 
 Defined cases: null texts, and texts whose canonical form is empty, match nothing; repeated rows match each;
 a license given in several spellings under one name counts once; where one canonical text has several names, the
-first in alphabetical order counts. Every line is looked up, of whatever length and words. Other columns are not read. An empty table of licenses matches nothing.
+first in alphabetical order counts. Every line is looked up, of whatever length and words, and texts
+of any length are read whole. Other columns are not read. An empty table of licenses matches nothing.
 """
 
 from __future__ import annotations
@@ -51,8 +54,20 @@ LICENSES = [
     ),
 ]
 
+BLANK = r"[ \t\r\f]"
+#: What stands before the words of a line in comments.
+COMMENT = r"(?:[/*#;!-]+[ \t]*)?"
 #: A line that names a holder or year of copyright and nothing else.
-COPYRIGHT_LINE = r"(?mi)^[^\S\n]*(?:copyright\b[^\n]*\d{4}|\(c\)|©)[^\n]*$"
+COPYRIGHT_LINE = rf"(?mid)^{BLANK}*{COMMENT}(?:copyright\b[^\n]*[0-9]{{4}}|copyright[ \t]*(?:\(c\)|©|\[yyyy\]|<year>)|\(c\)|©)[^\n]*$"
+#: The number or letter of a list entry or section.
+LIST_MARK = rf"(?mid)^{BLANK}*{COMMENT}(?:[0-9]{{1,2}}|[a-z])[.)][ \t]+"
+# Titles of licenses whose files carry one or none.
+TITLE = (
+    r"(?:the )?(?:mit|expat|isc|zlib|zlib/libpng|(?:(?:new|simplified|revised|modified) )?bsd(?:[ -](?:[0-9]|zero)[ -]clause)?"
+    r"(?: \"?(?:simplified|new|revised)\"?(?: or \"?revised\"?)?)?) licen[cs]e(?: \([^\n]*\))?|(?:the )?unlicense"
+)
+#: The lines before a license: its title, holders of copyright with or without year, and the reservation of rights.
+HEAD = rf"(?i)\A[\s/*#;!=-]*(?:(?:{TITLE}|copyright\b[^\n]*|\(c\)[^\n]*|©[^\n]*|all rights reserved\.?){BLANK}*\n[\s/*#;!=-]*){{1,40}}"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 # Spellings that count as one.
 SPELLINGS = [
@@ -61,12 +76,29 @@ SPELLINGS = [
     (r"\bnon infring", "noninfring"),
     (r"\bcopyright owner", "copyright holder"),
     (r"\bwhilst\b", "while"),
+    (r"\bneither the names? of (?:[^ ]+ ){1,12}nor\b", "neither the name of the copyright holder nor"),
 ]
+#: Where the terms of some licenses end, and how the directions for use begin that may follow.
+END_OF_TERMS = " end of terms and conditions"
+DIRECTIONS = rf"^{END_OF_TERMS}( (?:appendix )?how to apply .*)?$"
+#: Directions for use have at most so many characters; what is longer is a text of its own.
+LONGEST_DIRECTIONS = 3000
+
+
+def without_head(text: Column) -> Column:
+    """The text without the lines that stand before a license; a text of nothing else keeps them."""
+    rest = F.regexp_replace(text, HEAD, " ")
+    return F.when(rest.rlike(r"[\p{L}\p{N}]"), rest).otherwise(text)
+
+
+def _once(value: Column, body) -> Column:
+    """body of value, with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def canonical(text: Column) -> Column:
-    plain = F.lower(F.regexp_replace(text, COPYRIGHT_LINE, " "))
-    plain = F.trim(F.regexp_replace(plain, NOT_WORD, " "))
+    plain = F.regexp_replace(F.regexp_replace(without_head(text), COPYRIGHT_LINE, " "), LIST_MARK, " ")
+    plain = F.trim(F.regexp_replace(F.lower(plain), NOT_WORD, " "))
 
     def respelled(x: Column) -> Column:
         out = x
@@ -74,8 +106,13 @@ def canonical(text: Column) -> Column:
             out = F.regexp_replace(out, pattern, to)
         return F.when(x.rlike("|".join(pattern for pattern, _ in SPELLINGS)), out).otherwise(x)
 
-    # bound to a name, so that the form is made once
-    return F.get(F.transform(F.array(plain), respelled), F.lit(0))
+    def terms(x: Column) -> Column:
+        own = F.substring_index(x, END_OF_TERMS, 1)
+        rest = F.substring(x, F.length(own) + 1, F.length(x))
+        short = F.length(x) - F.length(own) <= LONGEST_DIRECTIONS
+        return F.when(x.contains(END_OF_TERMS), F.when(short & rest.rlike(DIRECTIONS), own).otherwise(x)).otherwise(x)
+
+    return _once(_once(plain, respelled), terms)
 
 
 def full_texts() -> list[tuple[str, str]]:
@@ -87,7 +124,9 @@ def known(spark: SparkSession, licenses: list[tuple[str, str]] | None = None) ->
     """digest, license of known texts."""
     table = spark.createDataFrame(LICENSES + full_texts() if licenses is None else licenses, "license string, text string")
     # on one line, a text keeps what in lines of its own counts as a holder of copyright
-    forms = table.select("license", F.explode(F.array("text", F.regexp_replace("text", r"\s+", " "))).alias("text"))
+    one_line = lambda t: F.regexp_replace(t, r"\s+", " ")
+    body = without_head(F.col("text"))
+    forms = table.select("license", F.explode(F.array(F.col("text"), one_line(F.col("text")), one_line(body))).alias("text"))
     return (
         forms.select("license", canonical(F.col("text")).alias("form"))
         .where("form <> ''")

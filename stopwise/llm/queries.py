@@ -261,8 +261,22 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
 
 
 def _license_sql() -> str:
-    def canonical(text: str) -> str:
-        out = f"lower(regexp_replace({text}, '(?mi)^[^\\S\\n]*(?:copyright\\b[^\\n]*\\d{{4}}|\\(c\\)|©)[^\\n]*$', ' ', 'g'))"
+    blank, mark = "[ \\t\\r\\f]", "(?:[/*#;!-]+[ \\t]*)?"
+    title = (
+        '(?:the )?(?:mit|expat|isc|zlib|zlib/libpng|(?:(?:new|simplified|revised|modified) )?bsd(?:[ -](?:[0-9]|zero)[ -]clause)?'
+        '(?: "?(?:simplified|new|revised)"?(?: or "?revised"?)?)?) licen[cs]e(?: \\([^\\n]*\\))?|(?:the )?unlicense'
+    )
+    skip = "[\\s/*#;!=-]*"
+    before = f"(?i)\\A{skip}(?:(?:{title}|copyright\\b[^\\n]*|\\(c\\)[^\\n]*|©[^\\n]*|all rights reserved\\.?){blank}*\\n{skip}){{1,40}}"
+
+    def body(text: str) -> str:
+        rest = f"regexp_replace({text}, '{before}', ' ')"
+        return f"CASE WHEN regexp_matches({rest}, '[\\p{{L}}\\p{{N}}]') THEN {rest} ELSE {text} END"
+
+    def words(text: str) -> str:
+        line = f"(?mi)^{blank}*{mark}(?:copyright\\b[^\\n]*[0-9]{{4}}|copyright[ \\t]*(?:\\(c\\)|©|\\[yyyy\\]|<year>)|\\(c\\)|©)[^\\n]*$"
+        out = f"regexp_replace({body(text)}, '{line}', ' ', 'g')"
+        out = f"lower(regexp_replace({out}, '(?mi)^{blank}*{mark}(?:[0-9]{{1,2}}|[a-z])[.)][ \\t]+', ' ', 'g'))"
         out = f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
         for a, b in (
             ("\\blicence(s?)\\b", "license\\1"),
@@ -270,22 +284,32 @@ def _license_sql() -> str:
             ("\\bnon infring", "noninfring"),
             ("\\bcopyright owner", "copyright holder"),
             ("\\bwhilst\\b", "while"),
+            ("\\bneither the names? of (?:[^ ]+ ){1,12}nor\\b", "neither the name of the copyright holder nor"),
         ):
             out = f"regexp_replace({out}, '{a}', '{b}', 'g')"
         return out
 
+    # the terms: what stands before their end where only directions for use follow
+    end = " end of terms and conditions"
+    own = f"split_part(f, '{end}', 1)"
+    terms = f"""CASE WHEN contains(f, '{end}') AND length(f) - length({own}) <= 3000
+      AND regexp_matches(substr(f, length({own}) + 1), '^{end}( (?:appendix )?how to apply .*)?$') THEN {own} ELSE f END"""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    rows = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in license_digest.LICENSES)
+    rows = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in license_digest.LICENSES + license_digest.full_texts())
     return f"""
 WITH given(license, text) AS (VALUES {rows}),
-known AS (SELECT sha256({canonical("text")}) AS digest, min(license) AS license FROM given GROUP BY 1),
+spread AS (
+    SELECT license, text FROM given
+    UNION ALL SELECT license, regexp_replace(text, '\\s+', ' ', 'g') FROM given
+    UNION ALL SELECT license, regexp_replace({body("text")}, '\\s+', ' ', 'g') FROM given
+),
+known AS (SELECT sha256({terms}) AS digest, min(license) AS license FROM (SELECT license, {words("text")} AS f FROM spread) s WHERE f <> '' GROUP BY 1),
 unit AS (
     SELECT doc_id, 0 AS place, text AS u FROM documents
     UNION ALL
-    SELECT doc_id, place, u FROM (SELECT doc_id, unnest(range(1, len(x) + 1))::INT AS place, unnest(x) AS u FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents) s) l
-    WHERE length(u) <= 2000 AND regexp_matches(u, '(?i)licen[sc]|reserved|permission')
+    SELECT doc_id, unnest(range(1, len(x) + 1))::INT AS place, unnest(x) AS u FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents) s
 ),
-form AS (SELECT doc_id, place, {canonical("u")} AS f FROM unit),
+form AS (SELECT doc_id, place, {terms} AS f FROM (SELECT doc_id, place, {words("u")} AS f FROM unit) s),
 digest AS (SELECT doc_id, place, CASE WHEN f <> '' THEN sha256(f) END AS digest FROM form)
 SELECT d.doc_id, d.place, d.digest, k.license FROM digest d LEFT JOIN known k ON k.digest = d.digest
 WHERE d.place = 0 OR k.license IS NOT NULL

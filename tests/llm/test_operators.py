@@ -23,6 +23,7 @@ from stopwise.llm import (
     vote_quality,
     wavelet_store,
 )
+from stopwise.llm.queries import SQL
 from stopwise.llm.shared import components
 
 SF = "/root/testdata/sf0.001"
@@ -307,6 +308,59 @@ def test_full_license_texts_and_lines_of_any_kind(spark):
     assert {(r.doc_id, r.place) for r in license_digest.scan(docs, own).where("license = 'Own'").collect()} == {(101, 2)}
 
 
+def _license_files() -> list[tuple[str | None, str]]:
+    """Files as projects ship them, and texts that only resemble them."""
+    full = dict(license_digest.full_texts())
+    mit = next(t for n, t in license_digest.LICENSES if n == "MIT" and len(t) > 100)
+    apache, directions = full["Apache-2.0"].split("END OF TERMS AND CONDITIONS")
+    filled = directions.replace("[yyyy]", "2020").replace("[name of copyright owner]", "Some Corp")
+    named = full["BSD-3-Clause"].replace("the copyright holder nor", "Some Corp nor")
+    commented = "\n".join(" * " + line for line in ["MIT License", "", "Copyright Some Person", "", *mit.split("\n")])
+    return [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Some Person\n\n" + mit),
+        ("MIT", "The MIT License (MIT)\r\nCopyright Some Person\r\n\r\n" + mit),
+        ("MIT", "/*\n" + commented + "\n */"),
+        ("BSD-3-Clause", "Copyright (c) 2020, Some Corp\nAll rights reserved.\n\n" + full["BSD-3-Clause"]),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Some Corp. All rights reserved.\n\n" + named),
+        ("BSD-2-Clause", 'BSD 2-Clause "Simplified" License\nCopyright Some Corp\n' + full["BSD-2-Clause"].replace("1.", "*").replace("2.", "*")),
+        ("Apache-2.0", apache + "END OF TERMS AND CONDITIONS" + filled),
+        ("Apache-2.0", apache + "END OF TERMS AND CONDITIONS\n"),
+        ("Apache-2.0", apache),
+        ("Zlib", "zlib License\n\nCopyright Some Person\n\n" + full["Zlib"]),
+        ("GPL-2.0", full["GPL-2.0"].split("END OF TERMS AND CONDITIONS")[0]),
+        ("All-Rights-Reserved", "All rights reserved.\n"),
+        # a license is not the whole of these
+        (None, apache + "END OF TERMS AND CONDITIONS\n" + "A chapter of another book. " * 20),
+        (None, apache + "END OF TERMS AND CONDITIONS" + filled + "word " * 1000),
+        (None, "MIT License\n\n" + mit + "\nThe Software may not be sold."),
+        (None, "\n" * 20_000 + "Copyright law is old.\n" + "x\n" * 5_000),
+        (None, "MIT License\n"),
+        (None, "word " * 400_000),
+    ]
+
+
+def test_license_files_as_projects_ship_them(spark):
+    import duckdb
+
+    files = _license_files()
+    docs = spark.createDataFrame([(k, t, "x") for k, (_, t) in enumerate(files)], "doc_id long, text string, license string")
+    rows = license_digest.scan(docs, license_digest.known(spark)).collect()
+    got = {r.doc_id: r.license for r in rows if r.place == 0}
+    assert [got[k] for k in range(len(files))] == [n for n, _ in files]
+    # the statement says the same of every text and line
+    con = duckdb.connect()
+    con.register("documents", docs.drop("license").toPandas())
+    want = con.execute(f"SELECT doc_id, place, digest, license FROM ({SQL['op2_license_digest']}) q").fetchall()
+    key = lambda r: (r[0], r[1])
+    assert sorted([(r.doc_id, r.place, r.digest, r.license) for r in rows], key=key) == sorted(want, key=key)
+
+
+def test_license_scan_of_no_rows(spark, nothing):
+    assert license_digest.scan(nothing, license_digest.known(spark)).count() == 0
+    none = spark.createDataFrame([], "digest string, license string")
+    assert [r.license for r in license_digest.scan(spark.createDataFrame([(1, "All rights reserved.")], "doc_id long, text string"), none).collect()] == [None]
+
+
 def test_forward_backward_against_plain_recursion():
     random = np.random.default_rng(0)
     first = np.array([0, 1, 1, 80, 83, 150])
