@@ -35,6 +35,8 @@ FEATURES = 2048
 DIMENSIONS = 48
 NEIGHBOURS = 15
 STRETCH = 4096
+#: Bytes of text whose features are counted at once when fitting.
+FIT_BYTES = 1 << 19
 SHARPNESS = 12.0
 #: A stretch of fewer words counts as one of so many, so that a single odd word does not decide.
 SHORTEST = 30
@@ -132,14 +134,19 @@ def fit_arrays(texts: ta.Texts, labels: np.ndarray, dimensions: int = DIMENSIONS
     if not len(labels):
         return Model(np.ones(size, np.float32), np.zeros((size, 1), np.float32), np.zeros((0, 1), np.float32), labels, prior)
     cutup, owner = stretches(texts)
-    counted = np.concatenate([features(part, size) for _, _, part in ta.passes(cutup)])
-    rarity = np.log((1 + len(counted)) / (1 + (counted > 0).sum(0))) + 0.1
-    weight = rarity.astype(np.float32)
-    scaled = (counted * weight).astype(np.float64)
-    values, axes = np.linalg.eigh(scaled.T @ scaled)
+    # features are counted anew for each use, since all of them at once are the largest thing on the driver
+    counted = lambda: (features(part, size) for _, _, part in ta.passes(cutup, FIT_BYTES))
+    seen = sum((p > 0).sum(0) for p in counted())
+    weight = (np.log((1 + len(cutup)) / (1 + seen)) + 0.1).astype(np.float32)
+    products = np.zeros((size, size))
+    for p in counted():
+        scaled = (p * weight).astype(np.float64)
+        products += scaled.T @ scaled
+    _, axes = np.linalg.eigh(products)
+    del products
     axes = axes[:, ::-1][:, :dimensions].astype(np.float32)
     model = Model(weight, axes, np.zeros((0, dimensions), np.float32), labels[owner].astype(np.float64), prior)
-    model.vectors = model.latent(counted).astype(np.float32)
+    model.vectors = np.concatenate([model.latent(p) for p in counted()]).astype(np.float32)
     return model
 
 
