@@ -8,8 +8,9 @@ lengths, and the planes, each compressed by itself. `Shard` reads such a file: `
 `select` (place of the k-th occurrence) and `decode` (all tokens) work on the planes.
 
 Encoding uses the tokenizers library. White space separates words for the tokenizer, so texts are cut at spaces
-and line feeds, and each distinct word of a task is encoded once. A special token written in a text gets its own id, as the library
-gives it with add_special_tokens=False. Texts of a batch are worked on 512 at a time.
+and line feeds, and the distinct words of a pass into the pieces that the library's model encodes by themselves (`Pieces`). Each distinct piece of a task
+is encoded once; odd words, and all words of a tokenizer that cuts otherwise, are encoded whole. A special token written in a text gets its
+own id, as the library gives it with add_special_tokens=False. A pass takes documents of about `PASS_BYTES` of text.
 
 Defined cases: null and empty texts have the end id alone; rows that share an id stay apart, in order of their text; a null id
 comes first. Other columns are not read. An empty table writes no file.
@@ -20,11 +21,13 @@ from __future__ import annotations
 import json
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +38,9 @@ MAGIC = b"WVLT0001"
 END_ID = 1
 SHARD_TOKENS = 1 << 21
 RANK_BITS = 512
-#: Distinct words that a task keeps encoded; beyond it the memory starts anew.
+#: Text of the documents that are encoded at once.
+PASS_BYTES = 4 << 20
+#: Distinct pieces of words that a task keeps encoded; beyond it the memory starts anew.
 KNOWN_WORDS = 1 << 20
 MANIFEST = "part int, number int, path string, n_docs long, n_tokens long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -44,13 +49,17 @@ DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 def planes_of(ids: np.ndarray, bits: int) -> tuple[list[bytes], list[int]]:
     """Bit-planes and the number of zeros in each."""
     order = ids.astype(np.uint16 if bits <= 16 else np.uint32)
+    after = np.empty_like(order)
     planes, zeros = [], []
     for bit in range(bits - 1, -1, -1):
-        on = (order >> bit) & 1 == 1
+        on = (order & order.dtype.type(1 << bit)) != 0
         planes.append(np.packbits(on).tobytes())
-        low = order[~on]
+        # taking by places is several times as fast as by a mask
+        low, high = np.flatnonzero(~on), np.flatnonzero(on)
         zeros.append(len(low))
-        order = np.concatenate((low, order[on]))
+        np.take(order, low, out=after[: len(low)], mode="clip")
+        np.take(order, high, out=after[len(low) :], mode="clip")
+        order, after = after, order
     return planes, zeros
 
 
@@ -93,8 +102,8 @@ class Shard:
         for bit, (plane, zeros) in enumerate(zip(reversed(self.packed), reversed(self.zeros), strict=True)):
             on = np.unpackbits(plane, count=self.tokens).view(bool)
             above = np.empty_like(out)
-            above[~on] = out[:zeros]
-            above[on] = out[zeros:] | out.dtype.type(1 << bit)
+            above[np.flatnonzero(~on)] = out[:zeros]
+            above[np.flatnonzero(on)] = out[zeros:] | out.dtype.type(1 << bit)
             out = above
         return out
 
@@ -151,52 +160,206 @@ class Shard:
         return low
 
 
+class _Known:
+    """Lists of ids by key, one after the other."""
+
+    def __init__(self, kind: type):
+        self.number: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, kind), 0
+        self.starts = np.zeros(1 << 16, np.int64)
+
+    def add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.number)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while n + len(keys) + 1 > len(self.starts):
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[n + 1 : n + len(keys) + 1] = self.used + np.cumsum(sizes)
+        self.used += len(ids)
+        self.number.update(zip(keys, range(n, n + len(keys)), strict=True))
+
+    def places(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the first id of each key, number of its ids)."""
+        number = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+        return self.starts[number], self.starts[number + 1] - self.starts[number]
+
+
+def _join(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of these places and sizes, one after the other."""
+    shift = starts - (np.cumsum(sizes) - sizes)
+    return flat[np.arange(int(sizes.sum())) + np.repeat(shift, sizes)]
+
+
+class Pieces:
+    """Cuts words into the pieces that the tokenizer encodes each by itself: runs of letters, single digits, runs of others.
+
+    What a character becomes and which class it has is asked of the library's normalizer and pre-tokenizer when it is first seen. A
+    word is odd, and left to the library as a whole, if it is not in normal form, holds an apostrophe (contractions), a special token, a
+    character that Python does not know, or one that becomes several.
+    """
+
+    NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    NEW, SPACE, LETTER, DIGIT, OTHER, ODD = range(6)
+
+    def __init__(self, tokenizer):
+        self.normalizer, self.splitter, self.model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
+        self.becomes = np.arange(0x110000, dtype=np.uint32)
+        self.kind = np.zeros(0x110000, np.uint8)
+        self.kind[ord("\n")] = self.SPACE
+
+    @classmethod
+    def fit(cls, tokenizer) -> bool:
+        """Whether this tokenizer cuts and encodes as described above."""
+        if tokenizer.normalizer is None or tokenizer.pre_tokenizer is None or type(tokenizer.model).__name__ != "BPE" or tokenizer.post_processor is not None:
+            return False
+        steps = json.loads(tokenizer.pre_tokenizer.__getstate__()).get("pretokenizers", [])
+        split = {"type": "Split", "pattern": {"Regex": cls.PATTERN}, "behavior": "Removed", "invert": True}
+        level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+        model, added = tokenizer.model, tokenizer.get_added_tokens_decoder().values()
+        return (
+            json.loads(tokenizer.normalizer.__getstate__()) == cls.NORMALIZER
+            and len(steps) == 2
+            and steps[0] == split
+            and {k: v for k, v in steps[1].items() if k != "trim_offsets"} == level
+            and not model.dropout
+            and not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added)
+            and all(model.token_to_id(chr(c) + end) is not None for c in _byte_letters() if c != 32 for end in ("", model.end_of_word_suffix or ""))
+        )
+
+    def _meet(self, codes: np.ndarray) -> None:
+        for code in np.unique(codes[self.kind[codes] == self.NEW]).tolist():
+            c = chr(code)
+            low = self.normalizer.normalize_str(c)
+            if c == "'" or len(low) != 1 or unicodedata.category(c) == "Cn" or not unicodedata.is_normalized("NFC", c):
+                self.kind[code] = self.ODD
+                continue
+            cut = len(self.splitter.pre_tokenize_str(low + low))
+            alone = self.LETTER if len(self.splitter.pre_tokenize_str("a" + low)) == 1 else self.OTHER
+            self.kind[code] = (self.SPACE, alone, self.DIGIT)[cut]
+            self.becomes[code] = ord(low)
+
+    def odd(self, words: pa.Array) -> np.ndarray:
+        text = _lines(words)
+        codes = _codes(text)
+        self._meet(codes)
+        out = np.zeros(len(words), bool)
+        at = np.flatnonzero(self.kind[codes] == self.ODD)
+        if len(at):
+            out[np.cumsum(codes == 10)[at]] = True
+        if not unicodedata.is_normalized("NFC", text):
+            out |= np.fromiter((not unicodedata.is_normalized("NFC", w) for w in words.to_pylist()), bool, len(words))
+        for s in self.special:
+            if s in text:
+                out |= pc.match_substring(words, s).to_numpy(zero_copy_only=False)
+        return out
+
+    def cut(self, words: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """(the pieces of words that are not odd, number of pieces of each)."""
+        codes = _codes(_lines(words))
+        kind = self.kind[codes]
+        solid = kind != self.SPACE
+        first = solid & ((kind == self.DIGIT) | (kind != np.concatenate(([self.SPACE], kind[:-1]))))
+        counts = np.bincount(np.cumsum(codes == 10)[first], minlength=len(words))
+        starts = np.flatnonzero(first[solid])
+        spaced = np.insert(self.becomes[codes[solid]], starts[1:], 32).astype("<u4").tobytes().decode("utf-32-le")
+        pieces = pc.split_pattern(pa.array([spaced] if len(starts) else [], pa.string()), " ").flatten()
+        return pieces.dictionary_encode(), counts
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, number of ids of each), by the library's model."""
+        raw = np.frombuffer(" ".join(pieces).encode(), np.uint8)
+        spelled = self.letters[raw].tobytes().decode("utf-32-le").split(" ") if pieces else []
+        coded = [[t.id for t in self.model.tokenize(p)] for p in spelled]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        return np.fromiter((i for c in coded for i in c), np.int32, int(sizes.sum())), sizes
+
+
+def _lines(words: pa.Array) -> str:
+    """Words one after the other, a line each."""
+    offsets = pa.array([0, len(words)], pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, words), "\n")[0].as_py()
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+def _byte_letters() -> np.ndarray:
+    """The characters by which byte-level vocabularies spell the 256 bytes; the space, which parts pieces here, stays."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return np.array([b if b in visible or b == 32 else 256 + hidden.index(b) for b in range(256)], "<u4")
+
+
 class WordMemory:
-    """Ids of words, each encoded once; `lookup` gives the ids of many texts."""
+    """Ids of pieces of words (of whole words, where they are odd), each encoded once; `encode` gives the ids of many texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cutter = Pieces(self.tokenizer) if Pieces.fit(self.tokenizer) else None
         self.reset()
 
     def reset(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.int32), 0
-        self.starts = np.zeros(1 << 16, np.int64)
-
-    def learn(self, words: list[str]) -> None:
-        if len(self.number) > KNOWN_WORDS:
-            self.reset()
-        fresh = [w for w in set(words) if w not in self.number]
-        for k in range(0, len(fresh), 4096):
-            some = fresh[k : k + 4096]
+        kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.int32
+        self.pieces, self.whole = _Known(kind), _Known(kind)
+
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of these words, which are not odd, number of ids of each)."""
+        found, counts = self.cutter.cut(words)
+        pieces = found.dictionary.to_pylist()
+        new = [p for p in pieces if p not in self.pieces.number]
+        self.pieces.add(new, *self.cutter.encode(new))
+        starts, sizes = self.pieces.places(pieces)
+        at = found.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes[at])))[np.cumsum(counts)]
+        return _join(self.pieces.flat, starts[at], sizes[at]), np.diff(ends, prepend=0)
+
+    def _odd(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        keys = words.to_pylist()
+        new = [w for w in keys if w not in self.whole.number]
+        for k in range(0, len(new), 4096):
+            some = new[k : k + 4096]
             coded = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            n = len(self.number)
-            ids = np.fromiter((i for c in coded for i in c), self.flat.dtype)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-            while n + len(some) + 1 > len(self.starts):
-                self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.starts[n + 1 : n + len(some) + 1] = self.used + np.cumsum([len(c) for c in coded])
-            self.used += len(ids)
-            self.number.update(zip(some, range(n, n + len(some)), strict=True))
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+            self.whole.add(some, np.fromiter((i for c in coded for i in c), np.int32, int(sizes.sum())), sizes)
+        starts, sizes = self.whole.places(keys)
+        return _join(self.whole.flat, starts, sizes), sizes
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of distinct words, place of the first of each word, number of each)."""
+        if len(self.pieces.number) + len(self.whole.number) > KNOWN_WORDS:
+            self.reset()
+        odd = self.cutter.odd(words) if self.cutter else np.ones(len(words), bool)
+        starts, sizes = np.zeros((2, len(words)), np.int64)
+        parts, used = [], 0
+        for which, ids_of in ((~odd, self._plain), (odd, self._odd)):
+            at = np.flatnonzero(which)
+            if len(at):
+                ids, sizes[at] = ids_of(words.take(pa.array(at)))
+                starts[at] = used + np.cumsum(sizes[at]) - sizes[at]
+                parts.append(ids)
+                used += len(ids)
+        return np.concatenate(parts), starts, sizes
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with end ids, number of ids of each)."""
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        words = [w for s in split for w in s]
-        self.learn(words)
-        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        starts = self.starts[number]
-        sizes = self.starts[number + 1] - starts
-        place = np.cumsum(sizes) - sizes
-        total = int(sizes.sum())
-        ids = self.flat[np.arange(total) + np.repeat(starts - place, sizes)]
-        ends = np.cumsum([len(s) for s in split]) if split else np.zeros(0, np.int64)
-        bounds = np.append(place, total)[ends]
+        lines = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string()), "")
+        if not len(lines):
+            return np.zeros(0, self.pieces.flat.dtype), np.zeros(0, np.int64)
+        split = pc.split_pattern(pc.replace_substring(lines, "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        flat, starts, sizes = self._distinct(words.dictionary)
+        at = words.indices.to_numpy()
+        ids, sizes = _join(flat, starts[at], sizes[at]), sizes[at]
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        bounds = np.concatenate(([0], np.cumsum(sizes)))[ends]
         return np.insert(ids, bounds, END_ID), np.diff(bounds, prepend=0) + 1
 
 
@@ -219,9 +382,15 @@ def _writer(folder: str, tokenizer: str, shard_tokens: int):
             return pa.RecordBatch.from_pylist([row], MANIFEST_TYPE)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                piece = batch.slice(at, 512)
-                tokens, lengths = memory.encode(piece.column("text").to_pylist())
+            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                # as many rows as hold about PASS_BYTES of text, one at least
+                before = upto[at - 1] if at else 0
+                n = max(1, int(np.searchsorted(upto, before + PASS_BYTES, "right")) - at)
+                piece = batch.slice(at, n)
+                at += n
+                tokens, lengths = memory.encode(piece.column("text"))
                 held.append((piece.column("doc_id").to_pylist(), lengths, tokens))
                 size += len(tokens)
                 if size >= shard_tokens:

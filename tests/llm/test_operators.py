@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -266,6 +267,32 @@ def test_wavelet_words_give_the_library_s_special_ids(docs):
     assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == want
 
 
+def test_wavelet_pieces_of_words_are_encoded_once_and_give_the_library_s_ids():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    random = np.random.default_rng(5)
+    known = [chr(c) for c in range(1, 0x3100) if unicodedata.category(chr(c)) != "Cn"] + list("中文한é😀ﬁ")
+    words = [a + c + b for c in known for a, b in (("", ""), ("x", c), ("É", "'s"), ("1", "2b"), ("!", "e\u0301"))]
+    words += ["".join(random.choice(known, 5)) for _ in range(5000)] + ["a<|endoftext|>b", "</w>", "don't", "''s's", "x\ty", "\x00\x1c"]
+    words = [w for w in words if " " not in w and "\n" not in w]
+    tokenizer = Tokenizer.from_file(path)
+    memory = wavelet_store.WordMemory(path)
+    ids, lengths = memory.encode(words)
+    want = [[*e.ids, 1] for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == want
+    # as many words as texts can make of few pieces, and none of them left to the library whole
+    memory = wavelet_store.WordMemory(path)
+    memory.encode(["One one, (one) TWO-one.", "two/one one42", None, ""])
+    assert set(memory.pieces.number) == {"one", "two", ",", "(", ")", "-", ".", "/", "4", "2"} and not memory.whole.number
+    # a tokenizer that cuts otherwise is left to the library
+    from tokenizers.normalizers import NFC
+
+    assert wavelet_store.Pieces.fit(tokenizer)
+    tokenizer.normalizer = NFC()
+    assert not wavelet_store.Pieces.fit(tokenizer)
+
+
 def test_jump_hash_moves_rows_only_to_the_new_shard(docs, nothing):
     rows = jump_shards.shard_documents(docs, 16, 4).collect()
     assert all(r.grown_shard in (r.shard, 16) for r in rows) and {r.shard for r in rows} == set(range(16))
