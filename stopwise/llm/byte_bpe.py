@@ -5,10 +5,11 @@ and a mark of ASCII. No match of the tokenizer's pattern crosses such a place, s
 documents and stores these numbers beside the other columns, in compressed files of about `group_bytes` of text in the shared folder; texts are neither stored nor shuffled. Each distinct unit of a
 file is sent once, with the numbers of the file and of the unit in it, to where the unit is encoded: a higher-order fold takes the
 pattern's matches as arrays of bytes and merges, again and again, the neighbouring pair of lowest rank (the first of equal ones)
-until no pair has a rank. Ranks are a literal map: an array of pairs of ids and the ranks they
+until no pair has a rank. The ids of units leave for their files packed: many units of one file as one row, their numbers as steps and
+all numbers byte by byte, compressed. Ranks are a literal map: an array of pairs of ids and the ranks they
 join to, in which a pair has two possible places, because a search in a map value reads all of it. It enters the plan as the
-value of a one-row table, since an array written out in a plan fills the driver with its boxed numbers and texts. The encoded units return to
-their files, where each document is put together.
+value of a one-row table, since an array written out in a plan fills the driver with its boxed numbers and texts. At its file, each
+document is put together.
 
 Decoding looks up the bytes of each id in a literal array and concatenates the pieces.
 
@@ -41,6 +42,8 @@ from stopwise.llm.shared import filesystem, new_folder, ship, write_file
 GROUP_BYTES = 32 << 20
 #: Input partitions whose files share the list of a unit; beyond them a unit is encoded once more.
 BLOCK_PARTITIONS = 1024
+#: Encoded units that a task holds until they are packed by file.
+PACK_BYTES = 16 << 20
 #: Words whose ids are put together at once.
 PASS_WORDS = 1 << 20
 BUCKETS = 8192
@@ -233,11 +236,24 @@ def _ipc(table: pa.Table) -> bytes:
     return out.getvalue()
 
 
-def _lists(values: list) -> pa.Array:
+def _by_bytes(numbers: np.ndarray) -> np.ndarray:
+    """The lowest bytes of all numbers, then the next ones, and so on: like bytes side by side compress far better."""
+    return np.ascontiguousarray(np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4).T).ravel()
+
+
+def _from_bytes(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+
+
+def _lists(values: list) -> list[bytes]:
+    """Lists of numbers that are given in order of first appearance, as two tables: sizes, and the numbers by bytes, a first
+    appearance as 0 and all others plus 1."""
     sizes = np.fromiter(map(len, values), np.int64, len(values))
-    offsets = np.concatenate(([0], np.cumsum(sizes)))
     flat = np.concatenate(values) if values and isinstance(values[0], np.ndarray) else np.fromiter((k for v in values for k in v), np.int32, int(sizes.sum()))
-    return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+    seen = flat + np.int32(1)
+    seen[:1] = 0
+    seen[1:][flat[1:] > np.maximum.accumulate(flat)[:-1]] = 0
+    return [_ipc(pa.table({"size": sizes})), _ipc(pa.table({"bytes": _by_bytes(seen)}))]
 
 
 def _store(folder: str, group_bytes: int):
@@ -254,8 +270,7 @@ def _store(folder: str, group_bytes: int):
             g = uuid.uuid4().int >> 65
             parts, units = numbers.close()
             row = pa.chunked_array(held)
-            write_file(f"{folder}/{g}.rows", [_ipc(pa.table({"row": row, "words": _lists(numbers.words)}))])
-            write_file(f"{folder}/{g}.parts", [_ipc(pa.table({"units": _lists(parts)}))])
+            write_file(f"{folder}/{g}.rows", [_ipc(pa.table({"row": row})), *_lists(numbers.words), *_lists(parts)])
             for k in range(0, len(units) + 1, 50_000):
                 some = pa.array([*units[k : k + 50_000], *([None] if k + 50_000 > len(units) else [])], pa.string())
                 number = np.arange(k, k + len(some), dtype=np.int32)
@@ -282,10 +297,21 @@ def _store(folder: str, group_bytes: int):
     return run
 
 
-def _read(path: str) -> pa.Table:
+def _read(path: str) -> tuple[pa.Table, _Lists, _Lists]:
+    """The rows of a file, the words of each and the units of each word."""
     fs, inner = filesystem(path)
     with fs.open_input_file(inner) as source:
-        return pa.ipc.open_stream(source.read()).read_all().combine_chunks()
+        raw = pa.BufferReader(source.read())
+    rows, *tables = [pa.ipc.open_stream(raw).read_all() for _ in range(5)]
+
+    def lists(sizes: pa.Table, numbers: pa.Table) -> _Lists:
+        flat = _from_bytes(numbers["bytes"].to_numpy())
+        first = flat == 0
+        flat -= 1
+        flat[first] = np.arange(np.count_nonzero(first))
+        return _Lists(flat, sizes["size"].to_numpy())
+
+    return rows.combine_chunks(), lists(*tables[:2]), lists(*tables[2:])
 
 
 def _words(text: str) -> list[str]:
@@ -312,28 +338,77 @@ class _Lists:
         count = self.sizes[at]
         return self.flat[np.arange(int(count.sum())) + np.repeat(self.starts[at] - (np.cumsum(count) - count), count)]
 
+    @property
+    def ends(self) -> np.ndarray:
+        return np.concatenate(([0], np.cumsum(self.sizes)))
+
+
+def _packer(pack_bytes: int):
+    """Packs encoded units by file: a row has the number of a file, the count of units and ids in it, and their numbers and ids."""
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        coded = pa.Table.from_batches(held).combine_chunks()
+        at, ids = (pa.concat_arrays(coded[name].chunks) for name in ("at", "ids"))
+        lists = _Lists(ids.flatten().to_numpy(zero_copy_only=False), pc.fill_null(pc.list_value_length(ids), 0).to_numpy().astype(np.int64))
+        places = at.flatten()
+        g, k = (places.field(name).to_numpy(zero_copy_only=False) for name in ("g", "k"))
+        unit = np.repeat(np.arange(len(at)), pc.list_value_length(at).to_numpy())
+        order = np.lexsort((k, g))
+        g, k, unit = g[order], k[order], unit[order]
+        valid = ids.is_valid().to_numpy(zero_copy_only=False)
+        rows = []
+        starts = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(g)], strict=True):
+            # the row without ids stands for the file
+            own = valid[unit[a:b]]
+            units, numbers = unit[a:b][own], k[a:b][own]
+            flat = lists.of(units)
+            body = b"".join(_by_bytes(x).tobytes() for x in (np.diff(numbers, prepend=0), lists.sizes[units], flat))
+            rows.append((int(g[a]), len(units), len(flat), pa.Codec("zstd", 3).compress(body, asbytes=True)))
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["g", "n", "m", "body"])
 
-def _assembler(folder: str, least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+            if size >= pack_bytes:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return run
+
+
+def _unpacked(coded: pa.Table) -> tuple[np.ndarray, _Lists]:
+    """The numbers of a file's units, and the ids of each."""
+    found = []
+    for n, m, body in zip(coded["n"].to_pylist(), coded["m"].to_pylist(), coded["body"].to_pylist(), strict=True):
+        raw = np.frombuffer(pa.Codec("zstd").decompress(body, 4 * (2 * n + m)), np.uint8)
+        steps, sizes, ids = (_from_bytes(x) for x in np.split(raw, [4 * n, 8 * n]))
+        found.append((np.cumsum(steps), sizes, ids))
+    k, sizes, flat = (np.concatenate(x) for x in zip(*found, strict=True))
+    return k, _Lists(flat, sizes.astype(np.int64))
+
+
+def _assembler(folder: str):
     def run(coded: pa.Table) -> pa.Table:
-        """The numbers of a file's units and their ids, less `least`; the row without ids stands for the file."""
-        g = coded["g"][0].as_py()
-        coded = coded.filter(pc.is_valid(coded["ids"])).combine_chunks()
-        ids = coded["ids"].combine_chunks()
-        ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
-        flat = np.asarray(ids.flatten().to_numpy(zero_copy_only=False)).astype(np.int32) + np.int32(least)
-        lists = _Lists(flat, np.diff(np.asarray(ids.offsets)).astype(np.int64) if len(ids) else np.zeros(0, np.int64))
+        """The packed units of a file."""
+        k, lists = _unpacked(coded)
         # place[k]: where the ids of unit k came
-        place = np.argsort(coded["k"].to_numpy())
-        docs = _read(f"{folder}/{g}.rows")
-        parts = _column(_read(f"{folder}/{g}.parts"), "units")
-        found = _column(docs, "words")
+        place = np.argsort(k)
+        docs, found, parts = _read(f"{folder}/{coded['g'][0].as_py()}.rows")
         # the ids of each word
-        units = place[parts.values.to_numpy()]
-        ends = np.concatenate(([0], np.cumsum(lists.sizes[units])))[parts.offsets.to_numpy()]
+        units = place[parts.flat]
+        ends = np.concatenate(([0], np.cumsum(lists.sizes[units])))[parts.ends]
         words = _Lists(lists.of(units), np.diff(ends))
-        flat_words = found.values.to_numpy()
+        flat_words = found.flat
         rows = [words.of(flat_words[k : k + PASS_WORDS]) for k in range(0, len(flat_words), PASS_WORDS)]
-        offsets = np.concatenate(([0], np.cumsum(words.sizes[flat_words])))[found.offsets.to_numpy()]
+        offsets = np.concatenate(([0], np.cumsum(words.sizes[flat_words])))[found.ends]
         values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
         kind, place_type = (pa.LargeListArray, np.int64) if offsets[-1] >= 1 << 31 else (pa.ListArray, np.int32)
         out = kind.from_arrays(pa.array(offsets.astype(place_type)), values)
@@ -342,11 +417,6 @@ def _assembler(folder: str, least: int):
     return run
 
 
-def _column(table: pa.Table, name: str) -> pa.LargeListArray:
-    column = table[name]
-    return column.chunk(0) if column.num_chunks else pa.array([], column.type)
-
-
 def short_plans(spark) -> None:
     """Texts of plans with literal tables run to tens of megabytes and are written again at each change of a plan; unless the
     session has set a limit itself, it gets one."""
@@ -366,12 +436,9 @@ def encode(docs: DataFrame, ranks: Ranks, group_bytes: int = GROUP_BYTES) -> Dat
     own = rows.mapInArrow(_store(folder, group_bytes), "g long, block int, k int, unit string")
     # the units of a file are distinct, and a block has few files, so the list of a unit in a block is short
     units = own.repartition("unit", "block").groupBy("unit", "block").agg(F.collect_list(F.struct("g", "k")).alias("at"))
-    # ids travel as short numbers where they all fit
-    least, number = (32768, "short") if max(ranks.ranks.values()) < 65536 else (0, "int")
-    short = F.transform("ids", lambda i: (i - least).cast(number)).alias("ids")
-    coded = encode_units(units, "unit", ranks).select("at", short).select(F.explode("at").alias("at"), "ids").select("at.g", "at.k", "ids")
+    coded = encode_units(units, "unit", ranks).select("at", "ids").mapInArrow(_packer(PACK_BYTES), "g long, n int, m long, body binary")
     kind = rows.schema["row"].dataType.simpleString()
-    out = coded.groupBy("g").applyInArrow(_assembler(folder, least), f"row {kind}, ids array<int>")
+    out = coded.groupBy("g").applyInArrow(_assembler(folder), f"row {kind}, ids array<int>")
     return out.select(*[F.col("row")[n].alias(n) for n in names], "ids")
 
 

@@ -4,9 +4,12 @@ import itertools
 import re
 import unicodedata
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -71,6 +74,47 @@ def test_bpe_of_no_rows(nothing):
     assert byte_bpe.encode(nothing, ranks).count() == 0
 
 
+def test_bpe_of_rows_without_text(spark):
+    ranks = byte_bpe.Ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    rows = spark.createDataFrame([(1, None), (2, ""), (2, "")], "doc_id long, text string").coalesce(1)
+    assert sorted(map(tuple, byte_bpe.encode(rows, ranks).collect())) == [(1, []), (2, []), (2, [])]
+
+
+def test_bpe_packs_ids_by_file():
+    """Rows of units and their files come back whole, in less than half the bytes of a row for each unit and file."""
+    random = np.random.default_rng(8)
+    kind = pa.schema([("at", pa.list_(pa.struct([("g", pa.int64()), ("k", pa.int32())]))), ("ids", pa.list_(pa.int32()))])
+    files, want, rows = [int(g) for g in random.integers(0, 1 << 62, 6)], {}, []
+    for k in range(30_000):
+        ids = random.integers(0, 50_000, random.integers(1, 5)).tolist()
+        at = [{"g": g, "k": k} for g in random.permutation(files)[: random.integers(1, 4)].tolist()]
+        rows.append({"at": at, "ids": ids})
+        want.update({(x["g"], k): ids for x in at})
+    # the rows that stand for files, one of which has no unit
+    rows.append({"at": [{"g": g, "k": 30_000} for g in [*files, 7]], "ids": None})
+    random.shuffle(rows)
+    batches = [pa.RecordBatch.from_pylist(rows[k : k + 1000], kind) for k in range(0, len(rows), 1000)]
+    packed = pa.Table.from_batches(list(byte_bpe._packer(200_000)(iter(batches))))
+    got, named = {}, set()
+    for g in packed["g"].unique().to_pylist():
+        k, lists = byte_bpe._unpacked(packed.filter(pc.equal(packed["g"], g)))
+        named.add(g)
+        got.update({(g, n): lists.of(np.array([i])).tolist() for i, n in enumerate(k.tolist())})
+    assert got == want and named == {*files, 7}
+    plain = sum(8 + 4 + 2 * len(ids) for ids in want.values())
+    assert packed.nbytes < plain / 2
+
+
+def test_bpe_stores_words_in_few_bytes(spark):
+    ranks = byte_bpe.Ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").coalesce(1)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    before = {*Path(spark.conf.get("spark.checkpoint.dir")).rglob("*.*")}
+    byte_bpe.encode(docs, ranks).count()
+    stored = sum(p.stat().st_size for p in {*Path(spark.conf.get("spark.checkpoint.dir")).rglob("*.*")} - before if "bpe-" in str(p) and p.is_file())
+    assert 0 < stored < 0.36 * size
+
+
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
