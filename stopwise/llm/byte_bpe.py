@@ -408,8 +408,11 @@ def _assembler(folder: str):
         words = _Lists(lists.of(units), np.diff(ends))
         flat_words = found.flat
         rows = [words.of(flat_words[k : k + PASS_WORDS]) for k in range(0, len(flat_words), PASS_WORDS)]
-        offsets = np.concatenate(([0], np.cumsum(words.sizes[flat_words])))[found.ends]
         values = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32))
+        del rows
+        upto = np.zeros(len(flat_words) + 1, np.int64)
+        np.cumsum(words.sizes.astype(np.int32)[flat_words], out=upto[1:])
+        offsets = upto[found.ends]
         kind, place_type = (pa.LargeListArray, np.int64) if offsets[-1] >= 1 << 31 else (pa.ListArray, np.int32)
         out = kind.from_arrays(pa.array(offsets.astype(place_type)), values)
         return pa.table({"row": docs["row"].cast(_nullable(docs.schema.field("row").type)), "ids": out})
