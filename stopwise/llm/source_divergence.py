@@ -38,8 +38,12 @@ TERMS = 4096
 #: Rows that a task gathers before it adds them up, and sums that it holds before it sends them.
 GATHERED = 2_000_000
 HELD = 500_000
+#: Shares of the terms that are added up one after the other.
+SHARES = 16
 
 COUNTS = pa.schema([("lang", pa.large_string()), ("source", pa.large_string()), ("term", pa.large_string()), ("n", pa.int64()), ("docs", pa.int64())])
+#: The same in a task, with a number for language and source.
+PASSED = pa.schema([("group", pa.int32()), ("term", pa.large_string()), ("n", pa.int64()), ("docs", pa.int64())])
 
 
 def parts(count, total):
@@ -71,50 +75,79 @@ def _terms(texts: ta.Texts) -> tuple[np.ndarray, pa.DictionaryArray]:
     return found.text_of(), array.dictionary_encode()
 
 
-def _pass(texts: ta.Texts, lang: pa.Array, source: pa.Array) -> pa.Table:
-    """Counts and documents of each (language, source, term) of some texts; a row without term for each group."""
+def _numbers(lang: pa.Array, source: pa.Array, known: dict[tuple[str, str], int]) -> np.ndarray:
+    """The number of each row's (language, source); new ones are added to known."""
+    pairs = zip(lang.to_pylist(), source.to_pylist(), strict=True)
+    return np.fromiter((known.setdefault(p, len(known)) for p in pairs), np.int64, len(lang))
+
+
+def _pass(texts: ta.Texts, group: np.ndarray) -> pa.Table:
+    """Counts and documents of each (group, term) of some texts; group: the number of each text's language and source."""
     text_of, terms = _terms(texts)
     code, width = terms.indices.to_numpy().astype(np.int64), max(1, len(terms.dictionary))
-    names = pd.MultiIndex.from_arrays([lang.to_pandas(), source.to_pandas()])
-    group, groups = pd.factorize(names)
     pairs, n = np.unique(text_of * width + code, return_counts=True)
     keys, inverse = np.unique(group[pairs // width] * width + pairs % width, return_inverse=True)
-    own_lang = pa.array([g[0] for g in groups], pa.large_string())
-    own_source = pa.array([g[1] for g in groups], pa.large_string())
-    which = pa.array(np.concatenate((keys // width, np.arange(len(groups)))))
-    zeros = np.zeros(len(groups), np.int64)
     return pa.table(
         [
-            own_lang.take(which),
-            own_source.take(which),
-            pa.concat_arrays([terms.dictionary.take(pa.array(keys % width)), pa.nulls(len(groups), pa.large_string())]),
-            np.concatenate((np.bincount(inverse, n, len(keys)).astype(np.int64), zeros)),
-            np.concatenate((np.bincount(inverse, minlength=len(keys)), zeros)),
+            (keys // width).astype(np.int32),
+            terms.dictionary.take(pa.array(keys % width)),
+            np.bincount(inverse, n, len(keys)).astype(np.int64),
+            np.bincount(inverse, minlength=len(keys)),
         ],
-        schema=COUNTS,
+        schema=PASSED,
     )
 
 
+def _share(terms: pa.ChunkedArray) -> np.ndarray:
+    """The share of the terms that each belongs to, by its length, first and last byte."""
+    chunks = []
+    for part in terms.chunks:
+        found = ta.from_arrow(part)
+        starts, ends = found.offsets[:-1], found.offsets[1:]
+        first, last = (found.data[at].astype(np.int64) for at in (starts, ends - 1))
+        chunks.append((((ends - starts) * 31 + first) * 31 + last) % SHARES)
+    return np.concatenate(chunks) if chunks else np.zeros(0, np.int64)
+
+
 def _add(tables: list[pa.Table]) -> pa.Table:
-    sums = pa.concat_tables(tables).group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
-    return sums.select(["lang", "source", "term", "n_sum", "docs_sum"]).rename_columns(COUNTS.names)
+    """Sums by group and term; one share of the terms after the other, since the table of all keys at once is the largest thing in a task."""
+    share_of = [_share(t["term"]) for t in tables]
+    sums = []
+    for k in range(SHARES):
+        part = pa.concat_tables([t.filter(pa.array(own == k)) for t, own in zip(tables, share_of, strict=True)])
+        sums.append(part.group_by(["group", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")]))
+    return pa.concat_tables(sums).select(["group", "term", "n_sum", "docs_sum"]).rename_columns(PASSED.names)
+
+
+def _sent(sums: pa.Table, known: dict[tuple[str, str], int], marked: int) -> Iterator[pa.RecordBatch]:
+    """The sums with the names of their groups, and a row without term for each group from number `marked` on."""
+    langs, sources = (pa.array([k[i] for k in known], pa.large_string()) for i in (0, 1))
+    for part in sums.to_batches(1 << 16):
+        yield pa.RecordBatch.from_arrays([langs.take(part["group"]), sources.take(part["group"]), *part.columns[1:]], schema=COUNTS)
+    fresh = len(known) - marked
+    zeros = pa.array(np.zeros(fresh, np.int64))
+    yield pa.RecordBatch.from_arrays([langs[marked:], sources[marked:], pa.nulls(fresh, pa.large_string()), zeros, zeros], schema=COUNTS)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tables, rows = [], 0
+    known: dict[tuple[str, str], int] = {}
+    tables, rows, marked = [], 0, 0
     for batch in batches:
-        lang, source = batch.column(0), batch.column(1)
+        group = _numbers(batch.column(0), batch.column(1), known)
         for first, last, texts in ta.passes(ta.from_arrow(batch.column(2))):
-            tables.append(_pass(texts, lang.slice(first, last - first), source.slice(first, last - first)))
+            tables.append(_pass(texts, group[first:last]))
             rows += tables[-1].num_rows
             if rows >= GATHERED:
                 tables = [_add(tables)]
                 rows = tables[0].num_rows
                 if rows >= HELD:
-                    yield from tables[0].to_batches(1 << 16)
-                    tables, rows = [], 0
-    if tables:
-        yield from _add(tables).to_batches(1 << 16)
+                    yield from _sent(tables.pop(), known, marked)
+                    rows, marked = 0, len(known)
+    if known:
+        yield from _sent(_add([*tables, PASSED.empty_table()]), known, marked)
+    # what one task has freed would else stay with the worker while the next one runs
+    del tables
+    pa.default_memory_pool().release_unused()
 
 
 def term_counts(docs: DataFrame) -> DataFrame:

@@ -2,11 +2,15 @@
 
 import hashlib
 import math
+import os
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -180,6 +184,34 @@ def test_divergence_without_kept_terms_and_without_rows(spark):
     assert source_divergence.audit(docs.limit(0)).count() == 0
 
 
+def many_terms(size=400_000):
+    """Rows of a thousand different words and some words of other rows, from three sources, and batches of them."""
+    names = [f"{k:x}".translate(str.maketrans("0123456789", "ghijklmnop")) for k in range(size)]
+    rows = [("en", f"source {k % 3}", " ".join(names[k * 1000 : k * 1000 + 1000] + names[: k % 7])) for k in range(size // 1000)]
+    return rows, [pa.record_batch([pa.array(c) for c in zip(*rows[k : k + 100])], names=["lang", "source", "text"]) for k in range(0, len(rows), 100)]
+
+
+def peak_of_counting():
+    """Bytes that Arrow held at most while a fresh process counted the terms, for each row."""
+    _, batches = many_terms()
+    rows = sum(out.num_rows for out in source_divergence._count(iter(batches)))
+    print(pa.default_memory_pool().max_memory() / rows)
+
+
+def test_counting_many_terms_is_exact_and_holds_few_bytes_a_row():
+    rows, batches = many_terms()
+    got = []
+    for out in source_divergence._count(iter(batches)):
+        got += [tuple(row.values()) for row in out.to_pylist()]
+    want = Counter((lang, source, w) for lang, source, text in rows for w in text.split())
+    docs = Counter((lang, source, w) for lang, source, text in rows for w in set(text.split()))
+    assert sorted(x for x in got if x[2]) == sorted((*k, n, docs[k]) for k, n in want.items())
+    assert sorted(x for x in got if not x[2]) == [("en", f"source {k}", None, 0, 0) for k in range(3)]
+    here = os.path.dirname(os.path.abspath(__file__))
+    code = f"import sys; sys.path[:0] = {[here, *sys.path]!r}; import {os.path.basename(__file__)[:-3]} as t; t.peak_of_counting()"
+    assert float(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) < 100
+
+
 def test_parts_are_exact():
     total = np.array([7, 10**12 + 39, 9_000_000_000_000_000, 3], np.int64)
     count = np.array([3, 10**12 + 38, 8_999_999_999_999_999, 3], np.int64)
