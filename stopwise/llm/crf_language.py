@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopwise.llm import textarrays as ta
-from stopwise.llm.shared import ship
+from stopwise.llm.shared import made_in_task, ship
 
 PER_LANGUAGE = 150
 TABLE = 1 << 17
@@ -282,7 +282,10 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Field:
     # a filter on the rank lets each task cut its languages before the shuffle
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     rows = known.select("lang", "text", F.xxhash64("doc_id").alias("h")).withColumn("place", place).where(F.col("place") <= per_language)
-    sample = rows.orderBy("lang", "h", "text").select("lang", "text").toArrow()
+    return made_in_task(rows.select("lang", "h", "text"), ["lang", "h", "text"], _fit_rows)
+
+
+def _fit_rows(sample: pa.Table) -> Field:
     named = sample["lang"].to_pylist()
     languages = sorted(set(named))
     if not languages:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+import pickle
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +57,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def made_in_task(rows: DataFrame, order: list[str], make: Callable[[pa.Table], object]) -> object:
+    """What `make` gives for the rows of a bounded sample, in this order, in a task of its own: neither the sample nor the work on it
+    stands in the driver's memory. Without rows there may be no task, and `make` gets none of them here."""
+    ship(rows.sparkSession)
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            made = pickle.dumps(make(pa.Table.from_batches(held)))
+            yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["made"])
+
+    found = rows.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "made binary").toArrow()["made"].to_pylist()
+    return pickle.loads(found[0]) if found else make(pa.table({n: pa.array([], pa.string()) for n in names}))
+
+
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """The store of a path and the path in it: local folders and whatever pyarrow can reach."""
     if "://" not in path and not path.startswith("file:"):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.llm import textarrays as ta
-from stopwise.llm.shared import ship
+from stopwise.llm.shared import made_in_task, ship
 
 PER_CLASS = 1500
 FEATURES = 2048
@@ -159,9 +159,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
         own = marked.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picks = own if picks is None else picks.union(own)
     sample = docs.select("doc_id", F.col("text").cast("string")).where("text is not null").join(F.broadcast(picks), "doc_id")
-    rows = sample.dropDuplicates(["doc_id"]).orderBy("doc_id").select("text", "quality").toArrow()
+    return made_in_task(sample.dropDuplicates(["doc_id"]).select("doc_id", "text", "quality"), ["doc_id"], _fit_rows)
+
+
+def _fit_rows(rows: pa.Table) -> Model:
     texts = ta.from_arrow(rows["text"].combine_chunks())
-    return fit_arrays(texts, np.asarray(rows["quality"].to_numpy(), np.int64))
+    return fit_arrays(texts, rows["quality"].to_numpy().astype(np.int64))
 
 
 def _score(shared, neighbours: int):

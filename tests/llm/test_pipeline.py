@@ -3,10 +3,13 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from stopwise.llm import crf_language, vote_quality
+from stopwise.llm import textarrays as ta
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = "doc_id long, text string, lang string, source string"
@@ -71,3 +74,27 @@ def test_language_and_quality_drop_what_they_reject_and_nothing_else(spark):
         kept = Counter(r.doc_id for r in out.collect())
         before = Counter(r.doc_id for r in real.collect())
         assert all(before[k] >= n for k, n in kept.items()) and sum(kept.values()) > 0.4 * sum(before.values())
+
+
+def test_models_are_fitted_outside_the_driver_with_the_same_result(spark, monkeypatch):
+    real, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    known = real.where("text is not null and doc_id is not null")
+    rows = known.where("lang is not null").select("lang", F.lower("text").alias("text"), F.xxhash64("doc_id").alias("h")).orderBy("lang", "h", "text").toArrow()
+    names = sorted(set(rows["lang"].to_pylist()))
+    want_field = crf_language.fit_arrays(ta.from_arrow(rows["text"].combine_chunks()), np.searchsorted(names, rows["lang"].to_pylist()), names)
+    marked = known.join(labels.where("quality in (0, 1)").select("doc_id", "quality"), "doc_id").orderBy("doc_id").toArrow()
+    sample = ta.from_arrow(marked["text"].combine_chunks())
+    want_model = vote_quality.fit_arrays(sample, marked["quality"].to_numpy().astype(np.int64))
+
+    def here(*_):
+        raise AssertionError("fitted on the driver")
+
+    monkeypatch.setattr(crf_language, "fit_arrays", here)
+    monkeypatch.setattr(vote_quality, "fit_arrays", here)
+    field = crf_language.fit(real, per_language=10**6)
+    assert field.languages == names and np.array_equal(field.lexicon, want_field.lexicon)
+    assert np.allclose(field.weights, want_field.weights, atol=1e-4) and np.allclose(field.moves, want_field.moves, atol=1e-4)
+    model = vote_quality.fit(real, labels, per_class=10**6)
+    counted = vote_quality.features(sample)
+    assert np.array_equal(model.labels, want_model.labels)
+    assert np.allclose(model.score(counted, 15), want_model.score(counted, 15), atol=1e-4)
