@@ -134,7 +134,7 @@ def fit_arrays(texts: ta.Texts, labels: np.ndarray, dimensions: int = DIMENSIONS
     if not len(labels):
         return Model(np.ones(size, np.float32), np.zeros((size, 1), np.float32), np.zeros((0, 1), np.float32), labels, prior)
     cutup, owner = stretches(texts)
-    # features are counted anew for each use, since all of them at once are the largest thing on the driver
+    # features are counted anew for each use, since all of them at once are the largest thing in the task
     counted = lambda: (features(part, size) for _, _, part in ta.passes(cutup, FIT_BYTES))
     seen = sum((p > 0).sum(0) for p in counted())
     weight = (np.log((1 + len(cutup)) / (1 + seen)) + 0.1).astype(np.float32)
