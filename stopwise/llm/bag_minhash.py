@@ -202,8 +202,8 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def links(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b) of representatives: links that connect all representatives at the threshold or above.
+def linked_groups(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, component) of the representatives that have a link at the threshold or above.
 
     reps: rep, bands, sig. texts: doc_id, text.
     """
@@ -247,8 +247,11 @@ def links(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> Da
         "component",
         "text",
     )
-    more = met.groupBy("pivot", "i", "j").applyInArrow(_compare(threshold), "a long, b long")
-    return linked.union(more)
+    more = cut(met.groupBy("pivot", "i", "j").applyInArrow(_compare(threshold), "a long, b long"))
+    if more.isEmpty():
+        return group
+    # the groups found so far enter as stars, so only what joins them is left to do
+    return components(group.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
 
 def _compare(threshold: float):
@@ -303,7 +306,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     reps = cut(full.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
     named = reps.where("rep is not null").select("rep", "bands", "sig")
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    group = components(links(named, texts, threshold))
+    group = linked_groups(named, texts, threshold)
     classes = reps.select(*same, "rep").join(group.withColumnRenamed("node", "rep"), "rep", "left").select(
         *same, "rep", F.coalesce("component", "rep").alias("class_id")
     )

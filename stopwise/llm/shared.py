@@ -127,39 +127,44 @@ def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.concatenate(keep) if keep else np.zeros(0, int)
 
 
+def _ends(graph: DataFrame) -> DataFrame:
+    """(node, lo, other): both ends of each edge, with its lower end and the end opposite."""
+    return graph.select(
+        F.explode(F.array(F.struct(F.col("hi").alias("node"), "lo", F.col("lo").alias("other")), F.struct(F.col("lo").alias("node"), "lo", F.col("hi").alias("other")))).alias("e")
+    ).select("e.*")
+
+
+def _are_stars(graph: DataFrame) -> bool:
+    """Whether each node stands below one node only, or above others only: the lower ends then name the components."""
+    return _ends(graph).groupBy("node").agg(F.min("lo").alias("low"), F.max("lo").alias("high")).where("low < high").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that links reach, for every node of an edge.
 
     Large-star and small-star steps: each points the neighbours of a node at the smallest of them,
     through an aggregate and a join, so no neighbourhood is gathered in one place. The graph is
-    written to the shared folder after each step; the number of steps grows with the logarithm of
-    the longest path. Edges with a null end or two equal ends are left out.
+    written to the shared folder after each step, until it consists of stars; the number of steps grows
+    with the logarithm of the longest path. Edges with a null end or two equal ends are left out.
     """
     graph = cut(
         edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi > lo").distinct()
     )
-    mark = None
-    while True:
-        both = graph.union(graph.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        least = both.groupBy("hi").agg(F.least(F.min("lo"), F.col("hi")).alias("m"))
+    while not _are_stars(graph):
+        least = _ends(graph).groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("m"))
+        # rows that repeat are left for the end of the step: they are no more than the edges
         large = (
-            both.where("lo > hi")
-            .join(least, "hi")
-            .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-            .union(least.where("m < hi").select("hi", F.col("m").alias("lo")))
-            .distinct()
+            graph.join(least.withColumnRenamed("node", "lo"), "lo")
+            .select("hi", F.col("m").alias("lo"))
+            .union(least.where("m < node").select(F.col("node").alias("hi"), F.col("m").alias("lo")))
         )
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = cut(
+        graph = cut(
             large.join(low, "hi")
             .select(F.explode(F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
             .select("e.*")
             .where("hi > lo")
             .distinct()
         )
-        total = small.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if tuple(total) == mark:
-            break
-        mark, graph = tuple(total), small
     star = graph.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     return star.union(graph.select(F.col("lo"), F.col("lo"))).distinct()

@@ -22,6 +22,7 @@ from stopwise.llm import (
     hnsw_links,
     jump_shards,
     license_digest,
+    shared,
     suffix_automaton,
     textarrays,
     vote_quality,
@@ -210,6 +211,22 @@ def test_components_of_a_long_chain(spark):
     assert {tuple(r) for r in components(edges).collect()} == {(k, 0) for k in range(41)} | {(100, 100), (101, 100)}
 
 
+def test_components_take_no_step_on_stars_and_hold_on_random_graphs(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(shared, "cut", lambda df, own=shared.cut: steps.append(1) or own(df))
+    stars = spark.createDataFrame([(0, k) for k in range(1, 9)] + [(20, 10), (10, 20)], "a long, b long")
+    assert {tuple(r) for r in components(stars).collect()} == {(k, 0) for k in range(9)} | {(10, 10), (20, 10)}
+    assert len(steps) == 1
+    random = np.random.default_rng(7)
+    edges = random.integers(0, 120, (90, 2)).tolist()
+    least = {k: k for k in itertools.chain(*edges)}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    linked = {k for a, b in edges if a != b for k in (a, b)}
+    assert {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()} == {(k, least[k]) for k in linked}
+
+
 def test_hnsw_finds_links_and_components(spark):
     random = np.random.default_rng(2)
     centres = random.normal(size=(30, 16))
