@@ -24,6 +24,7 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -168,7 +169,12 @@ class _Known:
         self.flat, self.used = np.zeros(1 << 16, kind), 0
         self.starts = np.zeros(1 << 16, np.int64)
 
+    def find(self, keys: list[str]) -> np.ndarray:
+        """Numbers of keys, -1 for those that are new."""
+        return np.fromiter(map(self.number.get, keys, repeat(-1)), np.int64, len(keys))
+
     def add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Numbers the keys, all new and different, on from those that are known."""
         n = len(self.number)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
@@ -179,9 +185,8 @@ class _Known:
         self.used += len(ids)
         self.number.update(zip(keys, range(n, n + len(keys)), strict=True))
 
-    def places(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(place of the first id of each key, number of its ids)."""
-        number = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+    def places(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the first id of each numbered key, number of its ids)."""
         return self.starts[number], self.starts[number + 1] - self.starts[number]
 
 
@@ -273,9 +278,14 @@ class Pieces:
         """(ids of all pieces, number of ids of each), by the library's model."""
         raw = np.frombuffer(" ".join(pieces).encode(), np.uint8)
         spelled = self.letters[raw].tobytes().decode("utf-32-le").split(" ") if pieces else []
-        coded = [[t.id for t in self.model.tokenize(p)] for p in spelled]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        return np.fromiter((i for c in coded for i in c), np.int32, int(sizes.sum())), sizes
+        tokenize = self.model.tokenize
+        ids: list[int] = []
+        sizes: list[int] = []
+        for piece in spelled:
+            coded = tokenize(piece)
+            sizes.append(len(coded))
+            ids.extend([t.id for t in coded])
+        return np.array(ids, np.int32), np.array(sizes, np.int64)
 
 
 def _lines(words: pa.Array) -> str:
@@ -284,6 +294,11 @@ def _lines(words: pa.Array) -> str:
     return pc.binary_join(pa.ListArray.from_arrays(offsets, words), "\n")[0].as_py()
 
 
+def _strings(words: pa.Array) -> list[str]:
+    """The words as Python has them; `to_pylist` takes several times as long, as it makes a scalar of each first."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), "<u4")
 
@@ -313,23 +328,26 @@ class WordMemory:
     def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of these words, which are not odd, number of ids of each)."""
         found, counts = self.cutter.cut(words)
-        pieces = found.dictionary.to_pylist()
-        new = [p for p in pieces if p not in self.pieces.number]
+        pieces = _strings(found.dictionary)
+        number = self.pieces.find(pieces)
+        at = np.flatnonzero(number < 0)
+        number[at] = len(self.pieces.number) + np.arange(len(at))
+        new = [pieces[k] for k in at.tolist()]
         self.pieces.add(new, *self.cutter.encode(new))
-        starts, sizes = self.pieces.places(pieces)
+        starts, sizes = self.pieces.places(number)
         at = found.indices.to_numpy()
         ends = np.concatenate(([0], np.cumsum(sizes[at])))[np.cumsum(counts)]
         return _join(self.pieces.flat, starts[at], sizes[at]), np.diff(ends, prepend=0)
 
     def _odd(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        keys = words.to_pylist()
+        keys = _strings(words)
         new = [w for w in keys if w not in self.whole.number]
         for k in range(0, len(new), 4096):
             some = new[k : k + 4096]
             coded = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             sizes = np.fromiter(map(len, coded), np.int64, len(coded))
             self.whole.add(some, np.fromiter((i for c in coded for i in c), np.int32, int(sizes.sum())), sizes)
-        starts, sizes = self.whole.places(keys)
+        starts, sizes = self.whole.places(self.whole.find(keys))
         return _join(self.whole.flat, starts, sizes), sizes
 
     def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -522,3 +522,16 @@ def test_words_of_switched_text_get_their_own_language(spark):
     field = crf_language.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     found = [(w, language) for w, language, _ in crf_language.words("the thing erstion of anly les eaumentelle aiauxaux du la", field)]
     assert [x for _, x in found[:5]] == ["en"] * 5 and [x for _, x in found[5:]] == ["fr"] * 5
+
+
+def test_known_pieces_are_found_and_new_ones_encoded_once():
+    memory = wavelet_store.WordMemory(public_tokenizers.path("word_bpe_49k.json"))
+    coded = []
+    memory.cutter.encode = lambda pieces, own=memory.cutter.encode: coded.append(list(pieces)) or own(pieces)
+    texts = ["some words, 12 more words", "words of a second text: some more", None, "", "\u00dcber caf\u00e9 don't"]
+    for _ in range(2):
+        ids, sizes = memory.encode(texts)
+        plain = [memory.tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+        assert (ids.tolist(), sizes.tolist()) == ([i for p in plain for i in p], [len(p) for p in plain])
+    assert len(set(coded[0])) == len(coded[0]) and not any(coded[1:])
+    assert memory.pieces.find([coded[0][2], "unseen"]).tolist() == [2, -1]
