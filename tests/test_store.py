@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from stopwise import registry  # noqa: F401  (the queries register)
+from stopwise.plans.queries import Context
 from stopwise.sources.store import TableStore
 
 LIMIT = 10 << 20  # Spark's threshold for broadcasts unless a cluster sets another
@@ -45,3 +47,15 @@ def test_layers_follow_the_settings_of_their_session(spark, folder):
         assert "hashpartitioning(k" in (plan := rows.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()) and ", 3)" in plan
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_joins_of_the_timetable_broadcast_none_of_its_tables(spark):
+    """At sf0.01 the stops of all versions take 12 kB in files and several hundred kB as rows; a limit between the two stands for larger tables."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        c = Context(spark, "/root/testdata/sf0.01")
+        for table in (c.first.planned, c.first.runs, c.end_pairs, c.trip_shapes, c.second.planned):
+            assert "BroadcastHashJoin" not in planned(table)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
