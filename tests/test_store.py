@@ -50,7 +50,7 @@ def test_layers_follow_the_settings_of_their_session(spark, folder):
 
 
 def test_joins_of_the_timetable_broadcast_none_of_its_tables(spark):
-    """At sf0.01 the stops of all versions take 12 kB in files and several hundred kB as rows; a limit between the two stands for larger tables."""
+    """At sf0.01 the stops of all versions take 8 kB in files and 790 kB as rows; a limit between the two stands for larger tables."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
     try:
